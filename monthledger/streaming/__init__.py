@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reconciliation is a batch job over complete monthly feeds; it has no
+watermark, window or state to carry between micro-batches, so nothing here
+is built.  Running the batch job on a schedule (or from ``foreachBatch`` over
+newly landed feed files) is the way to refresh the report.
+"""
