@@ -225,13 +225,14 @@ def price_rise_simple_accrual(
     month = first_of_month(claim_month)
     end = date_lit(ACCRUAL_END)
     twelfths = b * 12
+    years = T.DecimalType(4, 0)  # small counts keep the decimal products exact
     for start, growth in O2_ACCRUAL_GROWTH:
         s = date_lit(start)
-        k = F.floor(month_diff(s, month) / 12)
+        k = F.floor(month_diff(s, month) / 12).cast(years)
         grown = k * b * dec(growth)
         term = grown * 12 + (b + grown) * dec(growth)
         cond = (conn < s) & (fy >= s) & (fy < end)
         twelfths = twelfths + F.when(cond, term).otherwise(dec("0"))
-    flat = F.floor(month_diff(end, month) / 12) * dec(FIXED_ADD_AMOUNT) + dec(ACCRUAL_FLAT_ADD)
+    flat = F.floor(month_diff(end, month) / 12).cast(years) * dec(FIXED_ADD_AMOUNT) + dec(ACCRUAL_FLAT_ADD)
     twelfths = twelfths + F.when(_c(claim_month) >= end, flat * 12).otherwise(dec("0"))
     return F.round(twelfths / 12, scale).cast(T.DecimalType(18, scale))
