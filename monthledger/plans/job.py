@@ -2,16 +2,22 @@
 
 Plan shape (each arrow is lazy; Catalyst sees one plan):
 
-    sales ─filter─► ⟕ disconnections ⟕ upgrades   (contract grain, key usi)
+    sales ─filter─► hash-partition by usi ─► ⟕ disconnections ⟕ upgrades
            └─► explode months up to the payment horizon (Generate, no shuffle)
                ⟕ rate card by month (broadcast after a size check)
                price rise → pro-rata → net of VAT → tiered commission
                disconnection / upgrade rules
-               ⟕ billing status   on (usi, claim_month)
-               ⟕ monthly payments on (usi, claim_month) → 25-key aggregate
-               classify → claim rows → spans → 19-column report
-
-The payment horizon is an uncorrelated scalar subquery (one small job).
+               ⟕ billing status   on (usi, claim_month)   [right side hashed by usi]
+               ⟕ monthly payments on (usi, claim_month)   [pre-aggregated, hashed by usi]
+               25-key aggregate → classify → spans by usi → 19-column report
+
+Every month-level operator (both joins, the 25-key aggregate, the span
+window) needs its input clustered by keys that include ``usi``; with all
+inputs hash-partitioned by ``usi`` on the same partition count, Spark plans
+them with no exchange, so the 36x month rows are never shuffled.  Only the
+contract-grain sales and the right-hand feeds cross the network, each once.
+Partitioning by contract before the explode also fixes the parallelism of
+the month work at the shuffle partition count instead of the input splits.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from monthledger.functions.pricing import PriceRiseRules, rules_for
 from monthledger.operators.adjustments import (
@@ -41,7 +48,7 @@ from monthledger.operators.sources_clean import (
     upgrades_clean,
 )
 from monthledger.sources.tables import SourceLocation, read_source, write_result
-from monthledger.session import shared_dir
+from monthledger.session import shared_dir, use_job_conf
 
 
 @dataclass(frozen=True)
@@ -74,16 +81,36 @@ def monthly_payments(src: ReconSources) -> DataFrame:
 
 
 def payment_horizon_scalar(src: ReconSources):
-    """Latest paid month over both feeds.  Taken from the parsed union rather
-    than the grouped payments: same maximum, and the subquery scan prunes to
-    the period columns."""
+    """Latest paid month over both feeds, as a lazy scalar subquery Column.
+
+    Taken from the parsed union rather than the grouped payments: same
+    maximum, and the subquery scan prunes to the period columns.
+    """
     return horizon_month(payments_union(src.postpay, src.ftu))
 
 
+def payment_horizon_value(src: ReconSources):
+    """The same month evaluated once, up front, as a DATE literal Column.
+
+    One small aggregate job returning a single value; the literal then folds
+    into the spine bound and the rate-card cap (the subquery form would be
+    planned once per reference).  NULL when there are no payments.
+    """
+    latest = payments_union(src.postpay, src.ftu).agg(F.max("period_date_converted")).first()[0]
+    return F.lit(latest).cast("date")
+
+
+def by_contract(df: DataFrame) -> DataFrame:
+    """Hash-partition on ``usi`` (the shared partitioning of the month stage)."""
+    return df.repartition("usi")
+
+
 def contracts(src: ReconSources, network: str | None = "O2") -> DataFrame:
     """Sales of ``network`` with disconnections and upgrades attached (usi grain)."""
     sales = sales_clean(src.sales, network).withColumnRenamed("monthly_recurring_charge", "gross_mrc")
-    return attach_upgrades(attach_disconnections(sales, src.disconnections), upgrades_clean(src.base_movements))
+    return attach_upgrades(
+        attach_disconnections(by_contract(sales), src.disconnections), upgrades_clean(src.base_movements)
+    )
 
 
 def adjusted_months(
@@ -93,11 +120,11 @@ def adjusted_months(
     rate_strategy: str = "auto",
 ) -> DataFrame:
     """Priced contract months after disconnection, upgrade and non-billing rules."""
-    horizon = payment_horizon_scalar(src)
+    horizon = payment_horizon_value(src)
     spine = month_spine(contracts(src, network), horizon)
     priced = priced_months(spine, rates_for(src.rates, network), rules or rules_for(network), rate_strategy, horizon)
     adjusted = with_upgrade_rules(with_disconnection_rule(priced))
-    return apply_non_billing(adjusted, non_billing_clean(src.base_movements))
+    return apply_non_billing(adjusted, by_contract(non_billing_clean(src.base_movements)))
 
 
 def classified_months(
@@ -107,8 +134,9 @@ def classified_months(
     rate_strategy: str = "auto",
 ) -> DataFrame:
     """Every reconciled contract month with its claim type and status."""
+    use_job_conf(src.sales.sparkSession)
     months = adjusted_months(src, network, rules, rate_strategy)
-    return classify(reconcile_payments(months, monthly_payments(src)))
+    return classify(reconcile_payments(months, by_contract(monthly_payments(src))))
 
 
 def _materialized_claims(classified: DataFrame) -> DataFrame:

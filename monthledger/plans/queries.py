@@ -37,7 +37,8 @@ from monthledger.plans.job import (
     adjusted_months,
     classified_months,
     monthly_payments,
-    payment_horizon_scalar,
+    by_contract,
+    payment_horizon_value,
     reconcile,
 )
 from monthledger.plans.oracle import CLAIMS_PERIOD
@@ -82,12 +83,12 @@ def _sales(src: ReconSources, network: str | None = "O2") -> DataFrame:
 
 
 def _horizon_spine(src: ReconSources, network: str | None = "O2") -> DataFrame:
-    return month_spine(_sales(src, network), payment_horizon_scalar(src))
+    return month_spine(by_contract(_sales(src, network)), payment_horizon_value(src))
 
 
 def _priced(src: ReconSources, rate_strategy: str = "auto") -> DataFrame:
     return priced_months(
-        _horizon_spine(src), rates_for(src.rates, "O2"), rate_strategy=rate_strategy, horizon=payment_horizon_scalar(src)
+        _horizon_spine(src), rates_for(src.rates, "O2"), rate_strategy=rate_strategy, horizon=payment_horizon_value(src)
     )
 
 
@@ -167,7 +168,7 @@ def _non_billing_clean(src):
 @query("month_spine")
 def _month_spine(src):
     """Every sale times 36 months."""
-    return month_spine(_sales(src)).select("usi", "connection_date", *CM)
+    return month_spine(by_contract(_sales(src))).select("usi", "connection_date", *CM)
 
 
 @query("month_spine_horizon")
@@ -200,7 +201,7 @@ def _rate_lookup(src):
 @query("rate_lookup_by_month")
 def _rate_lookup_by_month(src):
     """Same lookup through the month-expanded rate card (equi-join)."""
-    df = rate_lookup(_horizon_spine(src), rates_for(src.rates, "O2"), "by_month", payment_horizon_scalar(src))
+    df = rate_lookup(_horizon_spine(src), rates_for(src.rates, "O2"), "by_month", payment_horizon_value(src))
     return df.select(*CM, "vat", "commission_rate_1", "commission_rate_2")
 
 
