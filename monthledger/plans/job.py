@@ -101,8 +101,15 @@ def payment_horizon_value(src: ReconSources):
 
 
 def by_contract(df: DataFrame) -> DataFrame:
-    """Hash-partition on ``usi`` (the shared partitioning of the month stage)."""
-    return df.repartition("usi")
+    """Hash-partition on ``usi`` (the shared partitioning of the month stage).
+
+    The count is fixed at ``spark.sql.shuffle.partitions`` for every input of
+    the stage: it keeps them co-partitioned, and stops AQE from coalescing
+    the small contract-grain shuffle by its bytes when each contract becomes
+    up to 36 priced months downstream.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, "usi")
 
 
 def contracts(src: ReconSources, network: str | None = "O2") -> DataFrame:
