@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from monthledger.functions.dates import first_of_month, month_diff
 from monthledger.functions.money import as_money, prorate, round_money
+from monthledger.operators.copies import collapse_copies
 
 UPGRADE_ZEROES_AFTER_MONTHS = 21
 NON_BILLED = "NON BILLED"
@@ -25,14 +26,20 @@ def matchable(feed: DataFrame) -> DataFrame:
     return feed.where(F.col("usi").isNotNull())
 
 
-def attach_disconnections(df: DataFrame, disconnections: DataFrame) -> DataFrame:
+def _feed(df: DataFrame, copies: str | None) -> DataFrame:
+    return collapse_copies(df, copies) if copies else df
+
+
+def attach_disconnections(df: DataFrame, disconnections: DataFrame, copies: str | None = None) -> DataFrame:
+    """LEFT join on usi.  With ``copies``, identical feed rows arrive collapsed
+    with their count in that column instead of as separate rows."""
     d = matchable(disconnections).select("usi", "disconnection_date", "disconnection_reason")
-    return df.join(d, "usi", "left")
+    return df.join(_feed(d, copies), "usi", "left")
 
 
-def attach_upgrades(df: DataFrame, upgrades: DataFrame) -> DataFrame:
+def attach_upgrades(df: DataFrame, upgrades: DataFrame, copies: str | None = None) -> DataFrame:
     u = matchable(upgrades).select("usi", "last_upgrade_date", "upgrade_channel", "base_indicator")
-    return df.join(u, "usi", "left")
+    return df.join(_feed(u, copies), "usi", "left")
 
 
 def disconnection_rule_col() -> Column:
@@ -79,7 +86,7 @@ def apply_upgrade(months: DataFrame, upgrades: DataFrame) -> DataFrame:
     return with_upgrade_rules(attach_upgrades(months, upgrades))
 
 
-def apply_non_billing(months: DataFrame, non_billing: DataFrame) -> DataFrame:
+def apply_non_billing(months: DataFrame, non_billing: DataFrame, copies: str | None = None) -> DataFrame:
     """Left join billing status on (usi, claim month); NON BILLED zeroes it."""
     nb = matchable(non_billing).select(
         "usi",
@@ -87,7 +94,7 @@ def apply_non_billing(months: DataFrame, non_billing: DataFrame) -> DataFrame:
         "billed_status",
         F.col("period_start_of_month").alias("_nb_month"),
     )
-    joined = months.join(nb, ["usi", "claim_month"], "left")
+    joined = months.join(_feed(nb, copies), ["usi", "claim_month"], "left")
     zero = (F.col("billed_status") == NON_BILLED) & (F.col("claim_month") == F.col("_nb_month"))
     return joined.withColumn(
         "final_expected_commission",

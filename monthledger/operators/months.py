@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from monthledger.functions.dates import date_lit, days_in_month, first_of_month, fiscal_year_start, month_diff
 from monthledger.functions.money import prorate, round_money
 from monthledger.functions.pricing import O2, PriceRiseRules, price_rise
+from monthledger.operators.copies import collapse_copies
 
 CONTRACT_MONTHS = 36
 FIRST_TIER_MONTHS = 24
@@ -109,6 +110,7 @@ def rate_lookup(
     strategy: str = "auto",
     horizon: Column | None = None,
     max_broadcast_rows: int = 10_000,
+    copies: str | None = None,
 ) -> DataFrame:
     """Left-join the rate row valid at each claim month (``active <= m <= end``).
 
@@ -117,15 +119,19 @@ def rate_lookup(
     ``auto`` counts the (operator-filtered) rate card first: up to
     ``max_broadcast_rows`` rows it broadcasts the month-expanded card into a
     hash join; a larger card is joined without a hint so Spark/AQE choose.
-    Overlapping rate windows duplicate months, as the interval join does.
+    Overlapping rate windows duplicate months, as the interval join does;
+    with ``copies`` identical rate rows arrive collapsed with their count.
     """
     if strategy == "range":
-        r = F.broadcast(rates.select(*RATE_COLUMNS, "active_date", "end_date"))
+        r = rates.select(*RATE_COLUMNS, "active_date", "end_date")
+        r = F.broadcast(collapse_copies(r, copies) if copies else r)
         cond = (r["active_date"] <= spine["claim_month"]) & (r["end_date"] >= spine["claim_month"])
         return spine.join(r, cond, "left").drop("active_date", "end_date")
     if strategy not in ("auto", "by_month"):
         raise ValueError(f"unknown rate lookup strategy {strategy!r}")
     months = rate_months(rates, horizon)
+    if copies:
+        months = collapse_copies(months, copies)
     if strategy == "auto" and rates.count() <= max_broadcast_rows:
         months = F.broadcast(months)
     return spine.join(months, "claim_month", "left")
@@ -177,10 +183,11 @@ def priced_months(
     rules: PriceRiseRules = O2,
     rate_strategy: str = "auto",
     horizon: Column | None = None,
+    copies: str | None = None,
 ) -> DataFrame:
     """Spine -> calendar -> rate lookup -> uplift -> pro-rata -> net -> expected."""
     df = with_prorata_days(with_calendar(spine))
-    df = rate_lookup(df, rates, rate_strategy, horizon)
+    df = rate_lookup(df, rates, rate_strategy, horizon, copies=copies)
     return with_commission(with_uplift(df, rules))
 
 

@@ -55,13 +55,24 @@ def payment_rows(monthly: DataFrame) -> DataFrame:
     )
 
 
-def reconcile_payments(months: DataFrame, monthly_payments: DataFrame) -> DataFrame:
+def reconcile_payments(months: DataFrame, monthly_payments: DataFrame, copies: str | None = None) -> DataFrame:
     """Join payments to contract months and aggregate (one row per contract
-    month and payment period text / codes; unpaid months get one row)."""
-    joined = months.select(*CONTRACT_MONTH_KEYS).join(payment_rows(monthly_payments), ["usi", "claim_month"], "left")
-    paid = F.sum("commission_value")
+    month and payment period text / codes; unpaid months get one row).
+
+    With ``copies`` the month rows are distinct and carry their copy count:
+    each payment then counts and sums once per copy.
+    """
+    cols = [*CONTRACT_MONTH_KEYS, copies] if copies else list(CONTRACT_MONTH_KEYS)
+    joined = months.select(*cols).join(payment_rows(monthly_payments), ["usi", "claim_month"], "left")
+    cv = F.col("commission_value")
+    if copies:
+        w = F.col(copies)
+        paid = F.sum(cv * w).cast("decimal(28,2)")
+        count = F.coalesce(F.sum(F.when(cv.isNotNull(), w)), F.lit(0))
+    else:
+        paid, count = F.sum(cv), F.count(cv)
     return joined.groupBy(*CONTRACT_MONTH_KEYS, *PAYMENT_GROUP_KEYS).agg(
-        F.count("commission_value").alias("payment_count"),
+        count.alias("payment_count"),
         paid.alias("commission_paid"),
         round_money(F.coalesce(paid, F.lit(0)) - F.coalesce(F.col("final_expected_commission"), F.lit(0))).alias(
             "variance"

@@ -37,6 +37,7 @@ from monthledger.operators.adjustments import (
     with_upgrade_rules,
 )
 from monthledger.operators.claims import claim_report, claim_rows, classify
+from monthledger.operators.copies import COPIES, collapse_copies, combined_copies
 from monthledger.operators.months import month_spine, priced_months, rates_for
 from monthledger.operators.reconcile import reconcile_payments
 from monthledger.operators.sources_clean import (
@@ -112,12 +113,20 @@ def by_contract(df: DataFrame) -> DataFrame:
     return df.repartition(n, "usi")
 
 
+SALES_COLUMNS = ("opportunity_number", "usi", "ctn", "connection_date", "gross_mrc", "network", "product_segment")
+COPY_COUNTS = ["_copies_sale", "_copies_disc", "_copies_upgrade", "_copies_rate", "_copies_billing"]
+
+
 def contracts(src: ReconSources, network: str | None = "O2") -> DataFrame:
-    """Sales of ``network`` with disconnections and upgrades attached (usi grain)."""
+    """Sales of ``network`` with disconnections and upgrades attached (usi grain).
+
+    Every feed arrives collapsed to distinct rows with a copy count, so a hot
+    group of identical rows shrinks map-side before the contract shuffle.
+    """
     sales = sales_clean(src.sales, network).withColumnRenamed("monthly_recurring_charge", "gross_mrc")
-    return attach_upgrades(
-        attach_disconnections(by_contract(sales), src.disconnections), upgrades_clean(src.base_movements)
-    )
+    sales = collapse_copies(sales.select(*SALES_COLUMNS), "_copies_sale")
+    with_disc = attach_disconnections(by_contract(sales), src.disconnections, copies="_copies_disc")
+    return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies="_copies_upgrade")
 
 
 def adjusted_months(
@@ -126,12 +135,20 @@ def adjusted_months(
     rules: PriceRiseRules | None = None,
     rate_strategy: str = "auto",
 ) -> DataFrame:
-    """Priced contract months after disconnection, upgrade and non-billing rules."""
+    """Priced contract months after disconnection, upgrade and non-billing rules.
+
+    One row per distinct contract month; ``_copies`` holds how many identical
+    rows the un-collapsed join would have produced (``expand_copies`` restores
+    them).
+    """
     horizon = payment_horizon_value(src)
     spine = month_spine(contracts(src, network), horizon)
-    priced = priced_months(spine, rates_for(src.rates, network), rules or rules_for(network), rate_strategy, horizon)
+    priced = priced_months(
+        spine, rates_for(src.rates, network), rules or rules_for(network), rate_strategy, horizon, copies="_copies_rate"
+    )
     adjusted = with_upgrade_rules(with_disconnection_rule(priced))
-    return apply_non_billing(adjusted, by_contract(non_billing_clean(src.base_movements)))
+    months = apply_non_billing(adjusted, by_contract(non_billing_clean(src.base_movements)), copies="_copies_billing")
+    return months.withColumn(COPIES, combined_copies(COPY_COUNTS)).drop(*COPY_COUNTS)
 
 
 def classified_months(
@@ -143,7 +160,7 @@ def classified_months(
     """Every reconciled contract month with its claim type and status."""
     use_job_conf(src.sales.sparkSession)
     months = adjusted_months(src, network, rules, rate_strategy)
-    return classify(reconcile_payments(months, by_contract(monthly_payments(src))))
+    return classify(reconcile_payments(months, by_contract(monthly_payments(src)), copies=COPIES))
 
 
 def _materialized_claims(classified: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from monthledger.operators.months import (
     with_calendar,
     with_prorata_days,
 )
+from monthledger.operators.copies import COPIES, expand_copies
 from monthledger.operators.reconcile import reconcile_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
@@ -266,10 +267,15 @@ def _expected_commission(src):
 
 
 # ------------------------------------------------------------ adjustments --
+def _months(src: ReconSources) -> DataFrame:
+    """The job's adjusted months, copies expanded back to one row each."""
+    return expand_copies(adjusted_months(src))
+
+
 @query("apply_disconnection")
 def _apply_disconnection(src):
     """Disconnection rule."""
-    return adjusted_months(src).select(
+    return _months(src).select(
         *CM, "expected_commission", "disconnection_date", "disconnection_reason",
         "expected_commission_after_disconnection",
     )
@@ -278,7 +284,7 @@ def _apply_disconnection(src):
 @query("apply_upgrade")
 def _apply_upgrade(src):
     """Upgrade rule."""
-    return adjusted_months(src).select(
+    return _months(src).select(
         *CM, "last_upgrade_date", "upgrade_channel", "base_indicator", "expected_commission_after_upgrade"
     )
 
@@ -286,18 +292,18 @@ def _apply_upgrade(src):
 @query("ftu_flag")
 def _ftu_flag(src):
     """FTU flag."""
-    return adjusted_months(src).select(*CM, "last_upgrade_date", "ftu_flag")
+    return _months(src).select(*CM, "last_upgrade_date", "ftu_flag")
 
 
 @query("apply_non_billing")
 def _apply_non_billing(src):
     """Non-billing rule."""
-    return adjusted_months(src).select(*CM, "billed_status", "final_expected_commission")
+    return _months(src).select(*CM, "billed_status", "final_expected_commission")
 
 
 # --------------------------------------------------------- reconciliation --
 def _reconciled(src: ReconSources) -> DataFrame:
-    return reconcile_payments(adjusted_months(src), monthly_payments(src))
+    return reconcile_payments(adjusted_months(src), by_contract(monthly_payments(src)), copies=COPIES)
 
 
 @query("reconcile_payments")
