@@ -123,6 +123,8 @@ def rate_lookup(
     with ``copies`` identical rate rows arrive collapsed with their count.
     """
     if strategy == "range":
+        if rates.count() > max_broadcast_rows:
+            raise ValueError("rate card too large to broadcast for the interval join; use 'by_month'")
         r = rates.select(*RATE_COLUMNS, "active_date", "end_date")
         r = F.broadcast(collapse_copies(r, copies) if copies else r)
         cond = (r["active_date"] <= spine["claim_month"]) & (r["end_date"] >= spine["claim_month"])

@@ -117,16 +117,22 @@ SALES_COLUMNS = ("opportunity_number", "usi", "ctn", "connection_date", "gross_m
 COPY_COUNTS = ["_copies_sale", "_copies_disc", "_copies_upgrade", "_copies_rate", "_copies_billing"]
 
 
-def contracts(src: ReconSources, network: str | None = "O2") -> DataFrame:
+def contracts(src: ReconSources, network: str | None = "O2", collapse: bool = True) -> DataFrame:
     """Sales of ``network`` with disconnections and upgrades attached (usi grain).
 
     Every feed arrives collapsed to distinct rows with a copy count, so a hot
     group of identical rows shrinks map-side before the contract shuffle.
     """
     sales = sales_clean(src.sales, network).withColumnRenamed("monthly_recurring_charge", "gross_mrc")
-    sales = collapse_copies(sales.select(*SALES_COLUMNS), "_copies_sale")
-    with_disc = attach_disconnections(by_contract(sales), src.disconnections, copies="_copies_disc")
-    return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies="_copies_upgrade")
+    sales = sales.select(*SALES_COLUMNS)
+    if collapse:
+        sales = collapse_copies(sales, "_copies_sale")
+    with_disc = attach_disconnections(by_contract(sales), src.disconnections, copies=_c("_copies_disc", collapse))
+    return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies=_c("_copies_upgrade", collapse))
+
+
+def _c(name: str, collapse: bool) -> str | None:
+    return name if collapse else None
 
 
 def adjusted_months(
@@ -134,21 +140,30 @@ def adjusted_months(
     network: str = "O2",
     rules: PriceRiseRules | None = None,
     rate_strategy: str = "auto",
+    collapse: bool = True,
 ) -> DataFrame:
     """Priced contract months after disconnection, upgrade and non-billing rules.
 
     One row per distinct contract month; ``_copies`` holds how many identical
     rows the un-collapsed join would have produced (``expand_copies`` restores
-    them).
+    them).  ``collapse=False`` carries every copy as its own row instead
+    (``_copies`` is then 1).
     """
     horizon = payment_horizon_value(src)
-    spine = month_spine(contracts(src, network), horizon)
+    spine = month_spine(contracts(src, network, collapse), horizon)
     priced = priced_months(
-        spine, rates_for(src.rates, network), rules or rules_for(network), rate_strategy, horizon, copies="_copies_rate"
+        spine,
+        rates_for(src.rates, network),
+        rules or rules_for(network),
+        rate_strategy,
+        horizon,
+        copies=_c("_copies_rate", collapse),
     )
     adjusted = with_upgrade_rules(with_disconnection_rule(priced))
-    months = apply_non_billing(adjusted, by_contract(non_billing_clean(src.base_movements)), copies="_copies_billing")
-    return months.withColumn(COPIES, combined_copies(COPY_COUNTS)).drop(*COPY_COUNTS)
+    nb = by_contract(non_billing_clean(src.base_movements))
+    months = apply_non_billing(adjusted, nb, copies=_c("_copies_billing", collapse))
+    present = [c for c in COPY_COUNTS if c in months.columns]
+    return months.withColumn(COPIES, combined_copies(present) if present else F.lit(1).cast("long")).drop(*present)
 
 
 def classified_months(
@@ -156,10 +171,11 @@ def classified_months(
     network: str = "O2",
     rules: PriceRiseRules | None = None,
     rate_strategy: str = "auto",
+    collapse: bool = True,
 ) -> DataFrame:
     """Every reconciled contract month with its claim type and status."""
     use_job_conf(src.sales.sparkSession)
-    months = adjusted_months(src, network, rules, rate_strategy)
+    months = adjusted_months(src, network, rules, rate_strategy, collapse)
     return classify(reconcile_payments(months, by_contract(monthly_payments(src)), copies=COPIES))
 
 
@@ -183,6 +199,7 @@ def reconcile(
     rate_strategy: str = "auto",
     period: tuple | None = None,
     rules: PriceRiseRules | None = None,
+    collapse: bool = True,
 ) -> DataFrame:
     """The claim report: months to claim for, with first/last missing months.
 
@@ -190,7 +207,7 @@ def reconcile(
     ``materialized`` (claim rows written to the shared checkpoint folder, then
     aggregate + join; falls back to ``join`` without such a folder).
     """
-    classified = classified_months(src, network, rules, rate_strategy)
+    classified = classified_months(src, network, rules, rate_strategy, collapse)
     if span_strategy == "materialized":
         claims = _materialized_claims(classified)
         if claims is not None:

@@ -98,6 +98,15 @@ def test_copies_multiply_across_feeds(spark):
     assert months.count() == 1 and expand_copies(months).count() == 6
 
 
+def test_collapsed_and_uncollapsed_plans_agree(spark):
+    s, dc, up = sale("1"), ("1", d("2023-03-20"), "x"), ("1", "15/03/2023 10:00", "w", "BASE OFF", 202302, "NON BILLED")
+    p = [pay("1", "Jan-23", "5.00"), pay("1", "Jan-23", "5.00"), pay("1", "Feb-23", "0.00", mpn="m2")]
+    src = sources(spark, sales=[s, s, sale("2")], postpay=p, disc=[dc, dc], bm=[up, up, up])
+    a = job.classified_months(src, collapse=True).drop("_copies")
+    b = job.classified_months(src, collapse=False).drop("_copies")
+    assert _rows(a) == _rows(b) and _rows(a)
+
+
 def test_mixed_case_period_text_is_two_groups(spark):
     src = sources(spark, sales=[sale("1")], postpay=[pay("1", "Jan-23", "1.00"), pay("1", "JAN-23", "2.00")])
     rows = job.classified_months(src).where("claim_month = date'2023-01-01'").collect()
