@@ -45,32 +45,41 @@ CONTRACT_MONTH_KEYS = (
 PAYMENT_GROUP_KEYS = ("period_date", "lvl5", "sos_code", "period_date_converted")
 
 
-def payment_rows(monthly: DataFrame) -> DataFrame:
-    """Monthly payment rows shaped for the (usi, month) join."""
-    return monthly.where(F.col("usi").isNotNull() & F.col("period_date_converted").isNotNull()).select(
-        "usi",
-        F.col("period_date_converted").alias("claim_month"),
-        *PAYMENT_GROUP_KEYS,
-        "commission_value",
-    )
+def payments_by_month(monthly: DataFrame) -> DataFrame:
+    """Monthly payment rows reduced to the keys the reconciliation groups on.
+
+    The six-key rows are summed per (usi, month, period text, level-5, SOS)
+    and ``payment_lines`` counts the six-key rows with a non-NULL sum, which is
+    what the reconciliation's COUNT sees.  Both are map-side partial
+    aggregates: a contract with very many distinct payment lines (a hot key)
+    is spread by the six-key shuffle and collapses before it is re-keyed by
+    contract, so every contract reaches the join with at most one row per
+    month and period text / code pair.
+    """
+    valid = monthly.where(F.col("usi").isNotNull() & F.col("period_date_converted").isNotNull())
+    return valid.groupBy("usi", F.col("period_date_converted").alias("claim_month"), *PAYMENT_GROUP_KEYS[:3]).agg(
+        F.sum("commission_value").alias("commission_value"),
+        F.count("commission_value").alias("payment_lines"),
+    ).withColumn("period_date_converted", F.col("claim_month"))
 
 
-def reconcile_payments(months: DataFrame, monthly_payments: DataFrame, copies: str | None = None) -> DataFrame:
+def reconcile_payments(months: DataFrame, payments: DataFrame, copies: str | None = None) -> DataFrame:
     """Join payments to contract months and aggregate (one row per contract
     month and payment period text / codes; unpaid months get one row).
 
-    With ``copies`` the month rows are distinct and carry their copy count:
-    each payment then counts and sums once per copy.
+    ``payments`` is the output of ``payments_by_month``.  With ``copies`` the
+    month rows are distinct and carry their copy count: each payment then
+    counts and sums once per copy.
     """
     cols = [*CONTRACT_MONTH_KEYS, copies] if copies else list(CONTRACT_MONTH_KEYS)
-    joined = months.select(*cols).join(payment_rows(monthly_payments), ["usi", "claim_month"], "left")
-    cv = F.col("commission_value")
+    joined = months.select(*cols).join(payments, ["usi", "claim_month"], "left")
+    cv, lines = F.col("commission_value"), F.col("payment_lines")
     if copies:
         w = F.col(copies)
         paid = F.sum(cv * w).cast("decimal(28,2)")
-        count = F.coalesce(F.sum(F.when(cv.isNotNull(), w)), F.lit(0))
+        count = F.coalesce(F.sum(lines * w), F.lit(0))
     else:
-        paid, count = F.sum(cv), F.count(cv)
+        paid, count = F.sum(cv), F.coalesce(F.sum(lines), F.lit(0))
     return joined.groupBy(*CONTRACT_MONTH_KEYS, *PAYMENT_GROUP_KEYS).agg(
         count.alias("payment_count"),
         paid.alias("commission_paid"),

@@ -39,7 +39,7 @@ from monthledger.operators.adjustments import (
 from monthledger.operators.claims import claim_report, claim_rows, classify
 from monthledger.operators.copies import COPIES, collapse_copies, combined_copies
 from monthledger.operators.months import month_spine, priced_months, rates_for
-from monthledger.operators.reconcile import reconcile_payments
+from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     horizon_month,
     non_billing_clean,
@@ -176,7 +176,8 @@ def classified_months(
     """Every reconciled contract month with its claim type and status."""
     use_job_conf(src.sales.sparkSession)
     months = adjusted_months(src, network, rules, rate_strategy, collapse)
-    return classify(reconcile_payments(months, by_contract(monthly_payments(src)), copies=COPIES))
+    payments = by_contract(payments_by_month(monthly_payments(src)))
+    return classify(reconcile_payments(months, payments, copies=COPIES))
 
 
 def _materialized_claims(classified: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from monthledger.operators.months import (
     with_prorata_days,
 )
 from monthledger.operators.copies import COPIES, expand_copies
-from monthledger.operators.reconcile import reconcile_payments
+from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
     payment_horizon,
@@ -303,7 +303,8 @@ def _apply_non_billing(src):
 
 # --------------------------------------------------------- reconciliation --
 def _reconciled(src: ReconSources) -> DataFrame:
-    return reconcile_payments(adjusted_months(src), by_contract(monthly_payments(src)), copies=COPIES)
+    payments = by_contract(payments_by_month(monthly_payments(src)))
+    return reconcile_payments(adjusted_months(src), payments, copies=COPIES)
 
 
 @query("reconcile_payments")
