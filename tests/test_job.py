@@ -107,6 +107,14 @@ def test_collapsed_and_uncollapsed_plans_agree(spark):
     assert _rows(a) == _rows(b) and _rows(a)
 
 
+def test_hot_contract_with_many_payment_lines(spark):
+    lines = [pay("1", f"{m}-23", "1.00", mpn=f"m{i}") for i in range(100) for m in ("Jan", "Feb", "Mar")]
+    src = sources(spark, sales=[sale("1"), sale("2")], postpay=lines + [pay("2", "Jan-23", "1.00")])
+    rows = job.classified_months(src).where("usi = '1'").collect()
+    assert len(rows) == 3
+    assert all(r.payment_count == 100 and r.commission_paid == Decimal("100.00") for r in rows)
+
+
 def test_mixed_case_period_text_is_two_groups(spark):
     src = sources(spark, sales=[sale("1")], postpay=[pay("1", "Jan-23", "1.00"), pay("1", "JAN-23", "2.00")])
     rows = job.classified_months(src).where("claim_month = date'2023-01-01'").collect()
