@@ -237,3 +237,24 @@ def test_month_rows_are_never_shuffled(spark, small):
     plan = job.reconcile(small)._jdf.queryExecution().executedPlan().toString()
     assert "Generate" in plan and "Window" in plan
     assert _exchanges_above_generate(plan) == [], plan
+
+
+def test_read_feeds_and_write_report(spark, small, tmp_path):
+    """Readers (declared schemas, edge casts) and the materialised output."""
+    names = {
+        "ao_internal": small.sales,
+        "postpay_revshare": small.postpay,
+        "mpd_ftu_compensation": small.ftu,
+        "mpd_disconnection_report": small.disconnections,
+        "mpd_base_movement_report": small.base_movements,
+        "commission_reconciliation_rate": small.rates,
+    }
+    locations = {}
+    for name, df in names.items():
+        path = str(tmp_path / name)
+        df.write.parquet(path)
+        locations[name] = path
+    src = ReconSources.read(spark, locations)
+    out = str(tmp_path / "o2final")
+    written = job.run_reconciliation(spark, src, path=out)
+    assert _rows(written) == _rows(job.reconcile(small))
