@@ -108,6 +108,7 @@ O2 = PriceRiseRules.of(O2_RISES)
 VODAFONE = PriceRiseRules.of(
     VODAFONE_RISES, fixed_connected_from=dt.date.fromisoformat(VODAFONE_FIXED_ADD_CONNECTED_FROM)
 )
+VODAFONE_EXCLUSIVE = PriceRiseRules.of(VODAFONE_RISES_EXCLUSIVE, fixed_from=None)
 RULES_BY_NETWORK = {"O2": O2, "Vodafone": VODAFONE}
 
 # Price arithmetic runs on a 10-digit base so the three or four chained factor
@@ -193,15 +194,11 @@ def price_rise_exclusive(
     """
     net, conn, fy = _c(network), _c(connection_date), _c(fiscal_year)
     b = _c(base).cast(_BASE)
-    o2_fixed = PriceRiseRules(steps=())
-    steps_o2 = PriceRiseRules.of(O2_RISES).steps
-    steps_vf = PriceRiseRules.of(VODAFONE_RISES_EXCLUSIVE).steps
+    fixed = fixed_add(fy, conn, O2)  # the fixed add without a connection-date test
+    o2_product = functools.reduce(lambda a, s: a * _factor(s, conn, fy), O2.steps, b)
+    vf_product = functools.reduce(lambda a, s: a * _factor(s, conn, fy), VODAFONE_EXCLUSIVE.steps, b)
     late_vf = (net == "Vodafone") & (conn >= date_lit(VODAFONE_FIXED_ADD_CONNECTED_FROM))
-    value = (
-        F.when(late_vf, b + fixed_add(fy, conn, o2_fixed))
-        .when(net == "O2", functools.reduce(lambda a, s: a * _factor(s, conn, fy), steps_o2, b) + fixed_add(fy, conn, o2_fixed))
-        .otherwise(functools.reduce(lambda a, s: a * _factor(s, conn, fy), steps_vf, b))
-    )
+    value = F.when(late_vf, b + fixed).when(net == "O2", o2_product + fixed).otherwise(vf_product)
     return round_money(value)
 
 

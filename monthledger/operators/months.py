@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.functions.dates import date_lit, days_in_month, first_of_month, fiscal_year_start, month_diff
+from monthledger.functions.dates import days_in_month, first_of_month, fiscal_year_start, month_diff
 from monthledger.functions.money import prorate, round_money
 from monthledger.functions.pricing import O2, PriceRiseRules, price_rise
 from monthledger.operators.copies import collapse_copies
@@ -191,25 +191,3 @@ def priced_months(
     df = with_prorata_days(with_calendar(spine))
     df = rate_lookup(df, rates, rate_strategy, horizon, copies=copies)
     return with_commission(with_uplift(df, rules))
-
-
-def horizon_filter_dates(df: DataFrame, horizon_end: Column) -> DataFrame:
-    """The literal horizon predicate: ``connection + n months <= horizon_end``."""
-    n = (F.col("month_number") - 1).cast("int")
-    return df.where(F.add_months("connection_date", n) <= horizon_end)
-
-
-__all__ = [
-    "CONTRACT_MONTHS",
-    "date_lit",
-    "month_spine",
-    "with_calendar",
-    "with_prorata_days",
-    "rates_for",
-    "rate_months",
-    "rate_lookup",
-    "with_uplift",
-    "with_commission",
-    "priced_months",
-    "horizon_filter_dates",
-]
