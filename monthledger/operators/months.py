@@ -104,6 +104,17 @@ def rate_months(rates: DataFrame, horizon: Column | None = None) -> DataFrame:
     )
 
 
+def one_rate_per_month(rates: DataFrame, horizon: Column | None = None) -> bool:
+    """True when no claim month is covered by two different rate rows.
+
+    A small action on the month-expanded rate card (operator-filtered, capped
+    at the horizon).  When it holds, the rate join cannot make two month rows
+    that differ only in their rates.
+    """
+    m = rate_months(rates, horizon).select("claim_month", *RATE_COLUMNS).distinct()
+    return m.groupBy("claim_month").count().where(F.col("count") > 1).limit(1).count() == 0
+
+
 def rate_lookup(
     spine: DataFrame,
     rates: DataFrame,

@@ -63,29 +63,40 @@ def payments_by_month(monthly: DataFrame) -> DataFrame:
     ).withColumn("period_date_converted", F.col("claim_month"))
 
 
-def reconcile_payments(months: DataFrame, payments: DataFrame, copies: str | None = None) -> DataFrame:
+def reconcile_payments(
+    months: DataFrame,
+    payments: DataFrame,
+    copies: str | None = None,
+    distinct_months: bool = False,
+) -> DataFrame:
     """Join payments to contract months and aggregate (one row per contract
     month and payment period text / codes; unpaid months get one row).
 
     ``payments`` is the output of ``payments_by_month``.  With ``copies`` the
-    month rows are distinct and carry their copy count: each payment then
-    counts and sums once per copy.
+    month rows carry their copy count: each payment then counts and sums once
+    per copy.  ``distinct_months`` asserts that no two month rows share all 21
+    contract-month keys (the job proves it, see ``plans.job``): every joined
+    row is then its own group, and the 25-key aggregate reduces to a
+    projection with the same values.
     """
     cols = [*CONTRACT_MONTH_KEYS, copies] if copies else list(CONTRACT_MONTH_KEYS)
     joined = months.select(*cols).join(payments, ["usi", "claim_month"], "left")
     cv, lines = F.col("commission_value"), F.col("payment_lines")
-    if copies:
-        w = F.col(copies)
-        paid = F.sum(cv * w).cast("decimal(28,2)")
-        count = F.coalesce(F.sum(lines * w), F.lit(0))
+    w = F.col(copies) if copies else F.lit(1)
+    if distinct_months:
+        paid = (cv * w).cast("decimal(28,2)")
+        count = F.coalesce(lines * w, F.lit(0))
+        out = joined.select(*CONTRACT_MONTH_KEYS, *PAYMENT_GROUP_KEYS, count.alias("payment_count"), paid.alias("commission_paid"))
     else:
-        paid, count = F.sum(cv), F.coalesce(F.sum(lines), F.lit(0))
-    return joined.groupBy(*CONTRACT_MONTH_KEYS, *PAYMENT_GROUP_KEYS).agg(
-        count.alias("payment_count"),
-        paid.alias("commission_paid"),
-        round_money(F.coalesce(paid, F.lit(0)) - F.coalesce(F.col("final_expected_commission"), F.lit(0))).alias(
-            "variance"
-        ),
+        paid = F.sum(cv * w).cast("decimal(28,2)") if copies else F.sum(cv)
+        count = F.coalesce(F.sum(lines * w), F.lit(0))
+        out = joined.groupBy(*CONTRACT_MONTH_KEYS, *PAYMENT_GROUP_KEYS).agg(
+            count.alias("payment_count"), paid.alias("commission_paid")
+        )
+    paid_col = F.col("commission_paid")
+    return out.withColumn(
+        "variance",
+        round_money(F.coalesce(paid_col, F.lit(0)) - F.coalesce(F.col("final_expected_commission"), F.lit(0))),
     ).withColumns(
         {
             "usi_date": F.concat(F.col("usi").cast("string"), F.col("period_date").cast("string")),

@@ -38,7 +38,7 @@ from monthledger.operators.adjustments import (
 )
 from monthledger.operators.claims import claim_report, claim_rows, classify
 from monthledger.operators.copies import COPIES, collapse_copies, combined_copies
-from monthledger.operators.months import month_spine, priced_months, rates_for
+from monthledger.operators.months import month_spine, one_rate_per_month, priced_months, rates_for
 from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     horizon_month,
@@ -141,6 +141,7 @@ def adjusted_months(
     rules: PriceRiseRules | None = None,
     rate_strategy: str = "auto",
     collapse: bool = True,
+    horizon=None,
 ) -> DataFrame:
     """Priced contract months after disconnection, upgrade and non-billing rules.
 
@@ -149,7 +150,7 @@ def adjusted_months(
     them).  ``collapse=False`` carries every copy as its own row instead
     (``_copies`` is then 1).
     """
-    horizon = payment_horizon_value(src)
+    horizon = payment_horizon_value(src) if horizon is None else horizon
     spine = month_spine(contracts(src, network, collapse), horizon)
     priced = priced_months(
         spine,
@@ -173,11 +174,24 @@ def classified_months(
     rate_strategy: str = "auto",
     collapse: bool = True,
 ) -> DataFrame:
-    """Every reconciled contract month with its claim type and status."""
+    """Every reconciled contract month with its claim type and status.
+
+    With copies collapsed, every feed that multiplies a contract's months is
+    distinct on columns that are themselves contract-month keys, so month rows
+    are distinct on the 21 keys unless two different rate rows cover one
+    month (they could price a month identically).  When the rate card has no
+    such overlap, the 25-key aggregate is an identity and is skipped.
+    """
     use_job_conf(src.sales.sparkSession)
-    months = adjusted_months(src, network, rules, rate_strategy, collapse)
+    horizon = payment_horizon_value(src)
+    months = adjusted_months(src, network, rules, rate_strategy, collapse, horizon)
     payments = by_contract(payments_by_month(monthly_payments(src)))
-    return classify(reconcile_payments(months, payments, copies=COPIES))
+    distinct = (
+        collapse
+        and rate_strategy in ("auto", "by_month")
+        and one_rate_per_month(rates_for(src.rates, network), horizon)
+    )
+    return classify(reconcile_payments(months, payments, copies=COPIES, distinct_months=distinct))
 
 
 def _materialized_claims(classified: DataFrame) -> DataFrame:

@@ -115,6 +115,22 @@ def test_hot_contract_with_many_payment_lines(spark):
     assert all(r.payment_count == 100 and r.commission_paid == Decimal("100.00") for r in rows)
 
 
+def test_overlapping_rates_keep_the_aggregate(spark):
+    """Two rate rows pricing the same month identically must collapse into one
+    group (the aggregate is only skipped when no month has two rate rows)."""
+    from monthledger.operators.months import one_rate_per_month, rates_for
+
+    rates = list(RATE_CARD) + [("O2", Decimal("0.20"), Decimal("0.7001"), Decimal("0.30"), d("2022-01-01"), d("2025-09-15"))]
+    src = sources(spark, sales=[sale("1", mrc="12.00")], postpay=[pay("1", "Jan-23", "5.00")], rates=rates)
+    assert not one_rate_per_month(rates_for(src.rates, "O2"))
+    assert one_rate_per_month(rates_for(sources(spark).rates, "O2"))
+    a = job.classified_months(src).drop("_copies")
+    b = job.classified_months(src, collapse=False).drop("_copies")
+    assert _rows(a) == _rows(b)
+    jan = a.where("claim_month = date'2023-01-01'").collect()
+    assert len(jan) == 1 and jan[0].payment_count == 2  # both rate rows price 7.00 -> one group, counted twice
+
+
 def test_mixed_case_period_text_is_two_groups(spark):
     src = sources(spark, sales=[sale("1")], postpay=[pay("1", "Jan-23", "1.00"), pay("1", "JAN-23", "2.00")])
     rows = job.classified_months(src).where("claim_month = date'2023-01-01'").collect()
