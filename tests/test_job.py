@@ -274,3 +274,11 @@ def test_read_feeds_and_write_report(spark, small, tmp_path):
     out = str(tmp_path / "o2final")
     written = job.run_reconciliation(spark, src, path=out)
     assert _rows(written) == _rows(job.reconcile(small))
+
+
+def test_spine_invariants_on_fixture(spark, small):
+    spine = M.month_spine(job.contracts(small), job.payment_horizon_value(small))
+    per_sale = spine.groupBy("usi").count().agg(F.max("count")).first()[0]
+    assert 0 < per_sale <= 36
+    assert spine.where(F.dayofmonth("claim_month") != 1).count() == 0
+    assert spine.where(~F.col("month_number").between(1, 36)).count() == 0
