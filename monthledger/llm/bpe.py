@@ -22,8 +22,11 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from monthledger.llm.common import table
+from monthledger.llm.common import ship, table
+
+ship(__name__)
 
 LONGEST = 256
 CACHE = 300_000
@@ -165,7 +168,7 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, t
     """Adds the token ids of ``text``; the rank file is read on the driver and broadcast."""
     shared = df.sparkSession.sparkContext.broadcast(load(path, pattern))
     kept = [c for c in df.columns if c != out]
-    schema = df.select(*kept).schema.add(out, "array<int>")
+    schema = df.select(*kept).schema.add(out, T.ArrayType(T.IntegerType()))
 
     def run(batches):
         v = _vocabulary(*shared.value)
@@ -184,7 +187,7 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", out: str =
     """Adds the bytes that the ids stand for."""
     shared = df.sparkSession.sparkContext.broadcast(load(path))
     kept = [c for c in df.columns if c != out]
-    schema = df.select(*kept).schema.add(out, "binary")
+    schema = df.select(*kept).schema.add(out, T.BinaryType())
 
     def run(batches):
         v = _vocabulary(*shared.value)

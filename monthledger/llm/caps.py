@@ -22,7 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import connected_components, materialize, table
+from monthledger.llm.common import connected_components, materialize, ship, table
+
+ship(__name__)
 
 
 class Code:
@@ -86,7 +88,7 @@ def _first(fx, fy, a, b):
     return out
 
 
-def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code: int = 160, alpha: float = 0.32, block: int = 500, seed: int = 7):
+def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code: int = 160, alpha: float = 0.385, block: int = 500, seed: int = 7):
     """(distinct vectors (vec, weight), counts (vec, n), edges (a, b))."""
     v = vectors.where("vec_id is not null and embedding is not null and size(embedding) > 0")
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -115,20 +117,20 @@ def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code:
     each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
     each = each.select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
-    def verify(key, g):
-        own = key[1]
+    def verify(own, i, j, g):
         x, f, ids, w = _unit(g["embedding"]), list(g["filters"]), g["vec"].to_numpy(), g["weight"].to_numpy()
-        if key[2] == key[3]:
+        if i == j:
             link = _link(x, x, f, f, own, threshold, True)
         else:
-            a, b = np.nonzero(g["own"].to_numpy() == key[2])[0], np.nonzero(g["own"].to_numpy() == key[3])[0]
+            a, b = np.nonzero(g["own"].to_numpy() == i)[0], np.nonzero(g["own"].to_numpy() == j)[0]
             link = np.zeros((len(ids), len(ids)), bool)
             if len(a) and len(b):
                 part = _link(x[a], x[b], [f[t] for t in a], [f[t] for t in b], own, threshold, False)
                 link[np.ix_(a, b)] = part
                 link |= link.T
-        n = link @ w
-        label = np.arange(len(ids))
+        if not link.any():
+            return None
+        n, label = link @ w, np.arange(len(ids))
         while True:
             low = np.minimum(label, np.where(link, label[None, :], len(ids)).min(axis=1, initial=len(ids)))
             if (low == label).all():
@@ -137,7 +139,24 @@ def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code:
         hit = link.any(axis=1)
         return pd.DataFrame({"vec": ids[hit], "n": n[hit].astype(np.int64), "low": ids[label[hit]]})
 
-    found = each.groupBy("dim", "filter", "i", "j").applyInPandas(verify, "vec long, n long, low long")
+    names = ["dim", "filter", "i", "j"]
+
+    def stream(batches):
+        """Whole groups of the sorted partition; only the last one waits."""
+        rest = None
+        for b in batches:
+            b = b if rest is None else pd.concat([rest, b], ignore_index=True)
+            keys = b[names].to_numpy()
+            starts = np.concatenate([[0], np.nonzero((keys[1:] != keys[:-1]).any(axis=1))[0] + 1])
+            for s, e in zip(starts[:-1], starts[1:]):
+                if e - s > 1 and (out := verify(*keys[s][1:], b.iloc[s:e])) is not None:
+                    yield out
+            rest = b.iloc[starts[-1] :]
+        if rest is not None and len(rest) > 1 and (out := verify(*rest[names].to_numpy()[0][1:], rest)) is not None:
+            yield out
+
+    each = each.drop("k", "other", "n").repartition(*names).sortWithinPartitions(*names)
+    found = each.mapInPandas(stream, "vec long, n long, low long")
     found = materialize(found, "links")
     return v, found.groupBy("vec").agg(F.sum("n").alias("n")), found.select(F.col("vec").alias("a"), F.col("low").alias("b"))
 

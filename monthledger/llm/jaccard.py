@@ -27,7 +27,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import connected_components, materialize, table
+from monthledger.llm.common import connected_components, materialize, ship, table
+
+ship(__name__)
 
 HOT = 200_000
 HOT_DF = 100

@@ -19,7 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import table
+from monthledger.llm.common import ship, table
+
+ship(__name__)
 
 #: Identifier -> sentence, and the ordered rules over identifiers.
 SENTENCES = {
@@ -79,7 +81,8 @@ def identify(sentence: str) -> str | None:
 
 
 def scan_text(text: str | None) -> list[tuple]:
-    seq = [(i, a, b, k) for i, (a, b) in enumerate(sentences(text or "")) if (k := identify(text[a:b]))]
+    text = text or ""
+    seq = [(i, a, b, k) for i, (a, b) in enumerate(sentences(text)) if (k := identify(text[a:b]))]
     used, found = set(), []
     for name, rule in sorted(RULES, key=lambda r: -len(r[1])):
         for s in range(len(seq) - len(rule) + 1):

@@ -26,7 +26,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import table
+from monthledger.llm.common import ship, table
+
+ship(__name__)
 
 LEAF = re.compile(r"[^\n]{1,400}?(?:[.!?](?=\s)|\n|$)\s*|[^\n]{1,400}(?<=\s)|[^\n]{1,400}|\n", re.S)
 SECTION = re.compile(r"\n[^\S\n]*\n\s*")
@@ -95,7 +97,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, str]:
     d = d.withColumn("part", part)
     last = [(r.part, r.top) for r in d.select("part", "doc_id").groupBy("part").agg(F.max("doc_id").alias("top")).orderBy("part").collect()]
     order = [p for p, _ in last]
-    below = dict(zip(order, [order[-1], *order[:-1]]))
+    below = dict(zip(order, [*order[-1:], *order[:-1]]))
     heir = {below[p]: p for p in order}
     tops = [t for _, t in last if t is not None]
     lead = d.where(F.col("doc_id").isin(tops) if tops else F.lit(True)).groupBy("part", "doc_id").agg(F.max("text").alias("text"))

@@ -46,7 +46,7 @@ def source_targets(sizes: DataFrame, cycle: int = 3, max_epochs: int = MAX_EPOCH
     left = F.sum("source_size").over(every) - F.coalesce(F.sum("cap").over(before), zero)
     weight = F.sum("w").over(every) - F.coalesce(F.sum("w").over(before), zero)
     s = s.withColumn("level", left / weight)
-    free = F.min(F.when(F.col("level") * F.col("w") <= F.col("cap"), F.col("level"))).over(every)
+    free = F.max("level").over(every)  # levels rise while sources are capped and fall after the first that is not
     return s.select("source", "source_size", F.least("cap", free * F.col("w")).alias("target"))
 
 
@@ -121,7 +121,7 @@ w as (select *, ((row_number() over (order by source asc nulls last) - 1) % 3 +
 l as (select *, ((sum(source_size) over ())::double - coalesce(sum(cap) over before, 0))
    / (sum(w) over () - coalesce(sum(w) over before, 0)) as level from w
  window before as (order by cap/w, source asc nulls last rows between unbounded preceding and 1 preceding)),
-t as (select source, source_size, least(cap, w * (select min(level) from l where level*w <= cap)) as target from l),
+t as (select source, source_size, least(cap, w * (select max(level) from l)) as target from l),
 r as (select d.*, t.source_size, t.target, floor(case when t.source_size > 0 then t.target/t.source_size else 0 end)::bigint as epochs,
   coalesce(sum(size) over (partition by d.source order by -ln(draw)/coalesce(q.quality,1.0), d.doc_id, d.size
    rows between unbounded preceding and 1 preceding), 0) as before

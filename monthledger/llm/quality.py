@@ -22,7 +22,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import table
+from monthledger.llm.common import ship, table
+
+ship(__name__)
 
 DIM = 1 << 18
 MAX_ROWS = 8000

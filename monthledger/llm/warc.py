@@ -24,7 +24,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import new_path, table
+from monthledger.llm.common import new_path, ship, table
+
+ship(__name__)
 
 LEAST = 100
 CRLF = "\r\n"
