@@ -12,7 +12,6 @@ Layout
 ``functions``  Column -> Column building blocks (dates, money, price rises)
 ``operators``  DataFrame -> DataFrame business operators
 ``plans``      the end-to-end job and the query registry used by the harness
-``streaming``  intentionally empty: the reconciliation is a batch job
 """
 
 from monthledger.plans.job import ReconSources, reconcile, run_reconciliation

@@ -86,8 +86,10 @@ def rate_months(rates: DataFrame, horizon: Column | None = None) -> DataFrame:
 
     A claim month matches a rate row exactly when it is one of those months, so
     the range join becomes an equi-join on ``claim_month``.  The upper end is
-    capped at the payment horizon so open-ended rows stay small.
+    capped at the payment horizon so open-ended rows stay small.  A row with a
+    NULL start or end covers no month, as in the interval comparison.
     """
+    rates = rates.where(F.col("active_date").isNotNull() & F.col("end_date").isNotNull())
     first = F.when(F.dayofmonth("active_date") == 1, F.col("active_date")).otherwise(
         F.add_months(first_of_month("active_date"), 1)
     )
@@ -120,24 +122,19 @@ def rate_lookup(
     rates: DataFrame,
     strategy: str = "auto",
     horizon: Column | None = None,
-    max_broadcast_rows: int = 10_000,
     copies: str | None = None,
 ) -> DataFrame:
     """Left-join the rate row valid at each claim month (``active <= m <= end``).
 
-    ``range``    broadcast nested-loop join on the interval predicate;
-    ``by_month`` rates expanded to months, then an equi-join on the month.
-    ``auto`` counts the (operator-filtered) rate card first: up to
-    ``max_broadcast_rows`` rows it broadcasts the month-expanded card into a
-    hash join; a larger card is joined without a hint so Spark/AQE choose.
+    ``range``    join on the interval predicate, without a hint;
+    ``by_month`` and ``auto``: rates expanded to months, then an equi-join on
+    the month, broadcast or not by the size that Spark measures.
     Overlapping rate windows duplicate months, as the interval join does;
     with ``copies`` identical rate rows arrive collapsed with their count.
     """
     if strategy == "range":
-        if rates.count() > max_broadcast_rows:
-            raise ValueError("rate card too large to broadcast for the interval join; use 'by_month'")
         r = rates.select(*RATE_COLUMNS, "active_date", "end_date")
-        r = F.broadcast(collapse_copies(r, copies) if copies else r)
+        r = collapse_copies(r, copies) if copies else r
         cond = (r["active_date"] <= spine["claim_month"]) & (r["end_date"] >= spine["claim_month"])
         return spine.join(r, cond, "left").drop("active_date", "end_date")
     if strategy not in ("auto", "by_month"):
@@ -145,8 +142,6 @@ def rate_lookup(
     months = rate_months(rates, horizon)
     if copies:
         months = collapse_copies(months, copies)
-    if strategy == "auto" and rates.count() <= max_broadcast_rows:
-        months = F.broadcast(months)
     return spine.join(months, "claim_month", "left")
 
 

@@ -4,7 +4,7 @@ Plan shape (each arrow is lazy; Catalyst sees one plan):
 
     sales ─filter─► hash-partition by usi ─► ⟕ disconnections ⟕ upgrades
            └─► explode months up to the payment horizon (Generate, no shuffle)
-               ⟕ rate card by month (broadcast after a size check)
+               ⟕ rate card by month (equi-join, Spark picks by size)
                price rise → pro-rata → net of VAT → tiered commission
                disconnection / upgrade rules
                ⟕ billing status   on (usi, claim_month)   [right side hashed by usi]
@@ -234,7 +234,7 @@ def reconcile(
 def run_reconciliation(
     spark: SparkSession,
     src: ReconSources,
-    target: str = "comrec.o2final",
+    target: str,
     path: str | None = None,
     **kw,
 ) -> DataFrame:

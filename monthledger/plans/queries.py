@@ -169,13 +169,13 @@ def _non_billing_clean(src):
 @query("month_spine")
 def _month_spine(src):
     """Every sale times 36 months."""
-    return month_spine(by_contract(_sales(src))).select("usi", "connection_date", *CM)
+    return month_spine(by_contract(_sales(src))).select("connection_date", *CM)
 
 
 @query("month_spine_horizon")
 def _month_spine_horizon(src):
     """months up to the latest paid month."""
-    return _horizon_spine(src).select("usi", "connection_date", *CM)
+    return _horizon_spine(src).select("connection_date", *CM)
 
 
 @query("month_spine_calendar")

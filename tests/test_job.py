@@ -272,7 +272,7 @@ def test_read_feeds_and_write_report(spark, small, tmp_path):
         locations[name] = path
     src = ReconSources.read(spark, locations)
     out = str(tmp_path / "o2final")
-    written = job.run_reconciliation(spark, src, path=out)
+    written = job.run_reconciliation(spark, src, "report", path=out)
     assert _rows(written) == _rows(job.reconcile(small))
 
 
@@ -282,3 +282,15 @@ def test_spine_invariants_on_fixture(spark, small):
     assert 0 < per_sale <= 36
     assert spine.where(F.dayofmonth("claim_month") != 1).count() == 0
     assert spine.where(~F.col("month_number").between(1, 36)).count() == 0
+
+
+@pytest.mark.parametrize("strategy", ["auto", "by_month", "range"])
+def test_rate_rows_without_an_end_or_start_match_nothing(spark, strategy):
+    spine = spark.createDataFrame([(d("2023-01-01"),), (d("2023-02-01"),)], "claim_month date")
+    from decimal import Decimal as D
+
+    one = D("0.20")
+    rows = [(one, one, one, d("2022-01-01"), None), (one, one, one, None, d("2024-01-01")), (one, D("0.30"), one, d("2023-02-01"), d("2023-02-28"))]
+    rates = spark.createDataFrame(rows, "vat decimal(10,4), commission_rate_1 decimal(10,4), commission_rate_2 decimal(10,4), active_date date, end_date date")
+    got = M.rate_lookup(spine, rates, strategy, F.lit(d("2023-06-01"))).select("claim_month", "commission_rate_1").collect()
+    assert {(str(r[0]), None if r[1] is None else float(r[1])) for r in got} == {("2023-01-01", None), ("2023-02-01", 0.3)} and len(got) == 2
