@@ -12,6 +12,11 @@ Groups of near copies are not expanded into pairs. Each block of a column first
 meets its smallest document (a star); exact overlaps are counted for the stars,
 linked documents are contracted, and only pairs in different components go on.
 
+A first pass keeps only sizes and signatures; the sets are computed again, for
+one row per distinct set, and written once. A 256-byte histogram of each set
+bounds the overlap of a pair from above, so sets move only for pairs that the
+bound leaves open; the decision is the exact overlap.
+
 Cases: null, empty or blank text: no shingles, no links. Fewer than n words:
 the sequence is the one shingle. Null doc_id: a row without links, component
 null. Repeated rows and equal texts share a component; rows of one doc_id with
@@ -33,8 +38,9 @@ ship(__name__)
 
 HOT = 200_000
 HOT_DF = 100
-ROUNDS = 3
-SETS = "doc_id long, n_shingles long, sig binary, hashes array<long>"
+ROUNDS = 2
+SIZES = "doc_id long, n_shingles long, sig binary"
+SETS = SIZES + ", hist binary, hashes array<long>"
 
 
 def shingle_hashes(text: str | None, n: int, held: dict) -> np.ndarray:
@@ -58,7 +64,15 @@ def shingle_hashes(text: str | None, n: int, held: dict) -> np.ndarray:
     return np.unique(h.view(np.int64))
 
 
-def shingle_sets(docs: DataFrame, n: int = 5) -> DataFrame:
+def histogram(x: np.ndarray) -> bytes | None:
+    """How many hashes fall in each of 256 classes; None if a count needs more than a byte."""
+    h = np.bincount((x.view(np.uint64) >> np.uint64(56)).astype(np.int64), minlength=256)
+    return h.astype(np.uint8).tobytes() if h.max() < 256 else None
+
+
+def shingle_sets(docs: DataFrame, n: int = 5, full: bool = True) -> DataFrame:
+    """doc_id, n_shingles, sig of every row; ``full``: the histogram and the set too."""
+
     def run(batches):
         held: dict = {}
         for b in batches:
@@ -67,16 +81,26 @@ def shingle_sets(docs: DataFrame, n: int = 5) -> DataFrame:
                 sets = [shingle_hashes(t, n, held) for t in part.column("text").to_pylist()]
                 if len(held) > 400_000:
                     held = {}
-                ends = np.cumsum([0, *map(len, sets)])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets), pa.int64())),
-                    ],
-                    names=["doc_id", "n_shingles", "sig", "hashes"],
-                )
+                out = [part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())]
+                if full and sets:
+                    ends = np.cumsum([0, *map(len, sets)])
+                    out += [pa.array([histogram(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets), pa.int64()))]
+                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "sig", "hist", "hashes"][: len(out)])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS if full else SIZES)
+
+
+def distinct_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
+    """The full set of one row per distinct set. ``reps``: (sig, rep, n_rows),
+    n_rows the rows that hold both. Only where a doc_id repeats its text do
+    sets travel to be made distinct."""
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS)
+    def of(chosen):
+        ids = chosen.select(F.col("rep").cast("long").alias("_rep")).distinct()
+        rows = shingle_sets(docs.join(ids, F.col("doc_id").cast("long") == F.col("_rep"), "left_semi"), n)
+        return rows.join(chosen.select("rep", F.col("sig").alias("_sig")), (F.col("doc_id") == F.col("rep")) & (F.col("sig") == F.col("_sig")), "left_semi")
+
+    return of(reps.where("n_rows = 1")).unionByName(of(reps.where("n_rows > 1")).dropDuplicates(["doc_id", "sig"]))
 
 
 def prefixes(sets: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
@@ -106,10 +130,36 @@ def prefixes(sets: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
     return sets.select("doc_id", "hashes").mapInArrow(run, "doc long, n long, col long")
 
 
+def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b) whose histograms allow an overlap that reaches the
+    threshold: the class-wise minima add up to at least the true overlap."""
+    x = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("hist").alias("x"))
+    y = sets.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("hist").alias("y"))
+
+    def run(batches):
+        for t in batches:
+            for s in range(0, t.num_rows, 4096):
+                b = t.slice(s, 4096)
+                x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
+                known = np.array([i is not None and j is not None for i, j in zip(x, y)], bool)
+                n, m = b.column("n").to_numpy(zero_copy_only=False), b.column("m").to_numpy(zero_copy_only=False)
+                most = np.minimum(n, m)
+                grid = lambda v: np.frombuffer(b"".join(i for i, k in zip(v, known) if k), np.uint8).reshape(-1, 256)
+                most[known] = np.minimum(grid(x), grid(y)).sum(axis=1, dtype=np.int64)
+                keep = pa.array(100 * most >= percent * (n + m - most))
+                yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["a", "b"]).filter(keep)
+
+    return pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those (a, b) whose exact overlap reaches the threshold."""
-    x = sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
-    y = sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
+    """Those (a, b) whose exact overlap reaches the threshold; only sets of
+    pairs that pass ``possible`` are moved."""
+    pairs = materialize(possible(pairs, sets, percent), "possible")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    needed = materialize(sets.select("doc_id", "hashes").join(ids, "doc_id", "left_semi"), "needed")
+    x = needed.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
+    y = needed.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
     p = pairs.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
     return p.where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
@@ -130,7 +180,7 @@ def link_edges(sets: DataFrame, percent: int) -> DataFrame:
     p = materialize(p.join(p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "col"), "prefixes")
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     first = p.groupBy("col").agg(F.min(F.struct("doc", "n")).alias("s")).select("col", F.col("s.doc").alias("b"), F.col("s.n").alias("m"))
-    stars = p.join(first, "col").where((F.col("doc") != F.col("b")) & fits).select(F.col("doc").alias("a"), "b").distinct()
+    stars = materialize(p.join(first, "col").where((F.col("doc") != F.col("b")) & fits).select(F.col("doc").alias("a"), "b").distinct(), "pairs")
     linked = materialize(verified(stars, sets, percent), "stars")
     roots = materialize(connected_components(linked), "roots")
     q = p.join(roots, F.col("doc") == F.col("node"), "left").select("col", "doc", "n", F.coalesce("root", "doc").alias("root"))
@@ -143,11 +193,12 @@ def link_edges(sets: DataFrame, percent: int) -> DataFrame:
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = materialize(shingle_sets(docs, n), "sets")
+    rows = materialize(shingle_sets(docs, n, full=False), "sizes")
     named = rows.where("doc_id is not null and n_shingles > 0")
-    one = materialize(named.groupBy("sig").agg(F.min("doc_id").alias("rep")), "reps")
-    sets = named.join(one, (named["doc_id"] == one["rep"]) & (named["sig"] == one["sig"]), "left_semi").dropDuplicates(["doc_id", "sig"])
-    edges = link_edges(materialize(sets, "distinct"), percent)
+    held = named.groupBy("sig", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    one = held.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("s"))
+    one = materialize(one.select("sig", F.col("s.doc_id").alias("rep"), F.col("s.n").alias("n_rows")), "reps")
+    edges = link_edges(materialize(distinct_sets(docs, one, n), "distinct"), percent)
     same = named.select("doc_id", "sig").join(one, "sig").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(edges.union(same))
     out = rows.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
