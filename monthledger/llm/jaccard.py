@@ -10,7 +10,8 @@ they are counted over all rows and at most ``HOT`` of them are broadcast.
 
 Groups of near copies are not expanded into pairs. Each block of a column first
 meets its smallest document (a star); exact overlaps are counted for the stars,
-linked documents are contracted, and only pairs in different components go on.
+linked documents are contracted, and only pairs in different components go on,
+in products of bounded blocks (``column_pairs``).
 
 A first pass keeps only sizes and signatures; the sets are computed again, for
 one row per distinct set, and written once. A 256-byte histogram of each set
@@ -39,21 +40,25 @@ ship(__name__)
 HOT = 200_000
 HOT_DF = 100
 ROUNDS = 2
+SMALL = 32
+BLOCK = 1000
 SIZES = "doc_id long, n_shingles long, sig binary"
 SETS = SIZES + ", hist binary, hashes array<long>"
 
 
-def shingle_hashes(text: str | None, n: int, held: dict) -> np.ndarray:
+class Words(dict):
+    """Word -> its hash, computed at first sight."""
+
+    def __missing__(self, w: bytes) -> int:
+        h = self[w] = xxhash.xxh3_64_intdigest(w)
+        return h
+
+
+def shingle_hashes(text: str | None, n: int, held: Words) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, np.int64)
-    codes = []
-    for w in words:
-        h = held.get(w)
-        if h is None:
-            h = held[w] = xxhash.xxh3_64_intdigest(w)
-        codes.append(h)
-    a = np.array(codes, np.uint64)
+    a = np.fromiter(map(held.__getitem__, words), np.uint64, len(words))
     width = min(n, len(a))
     h = np.full(len(a) - width + 1, width, np.uint64)
     for k in range(width):
@@ -61,7 +66,11 @@ def shingle_hashes(text: str | None, n: int, held: dict) -> np.ndarray:
         h ^= h >> np.uint64(29)
         h *= np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(32)
-    return np.unique(h.view(np.int64))
+    h = h.view(np.int64)
+    h.sort()
+    first = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=first[1:])
+    return h[first]
 
 
 def histogram(x: np.ndarray) -> bytes | None:
@@ -73,21 +82,31 @@ def histogram(x: np.ndarray) -> bytes | None:
 def shingle_sets(docs: DataFrame, n: int = 5, full: bool = True) -> DataFrame:
     """doc_id, n_shingles, sig of every row; ``full``: the histogram and the set too."""
 
+    chosen = "_sig" in docs.columns  # rows whose set has another signature go
+
     def run(batches):
-        held: dict = {}
+        held = Words()
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
                 sets = [shingle_hashes(t, n, held) for t in part.column("text").to_pylist()]
                 if len(held) > 400_000:
-                    held = {}
-                out = [part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(x.tobytes()) for x in sets], pa.binary())]
-                if full and sets:
+                    held = Words()
+                sigs = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
+                ids = part.column("doc_id")
+                if chosen:
+                    keep = [i for i, w in enumerate(part.column("_sig").to_pylist()) if w == sigs[i]]
+                    sets, sigs, ids = [sets[i] for i in keep], [sigs[i] for i in keep], ids.take(pa.array(keep, pa.int64()))
+                if not sets:
+                    continue
+                out = [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary())]
+                if full:
                     ends = np.cumsum([0, *map(len, sets)])
                     out += [pa.array([histogram(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets), pa.int64()))]
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "sig", "hist", "hashes"][: len(out)])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS if full else SIZES)
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), "text", *["_sig"] * chosen]
+    return docs.select(*columns).mapInArrow(run, SETS if full else SIZES)
 
 
 def distinct_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
@@ -95,10 +114,10 @@ def distinct_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     n_rows the rows that hold both. Only where a doc_id repeats its text do
     sets travel to be made distinct."""
 
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
     def of(chosen):
-        ids = chosen.select(F.col("rep").cast("long").alias("_rep")).distinct()
-        rows = shingle_sets(docs.join(ids, F.col("doc_id").cast("long") == F.col("_rep"), "left_semi"), n)
-        return rows.join(chosen.select("rep", F.col("sig").alias("_sig")), (F.col("doc_id") == F.col("rep")) & (F.col("sig") == F.col("_sig")), "left_semi")
+        return shingle_sets(texts.join(chosen.select(F.col("rep").alias("doc_id"), F.col("sig").alias("_sig")), "doc_id"), n)
 
     return of(reps.where("n_rows = 1")).unionByName(of(reps.where("n_rows > 1")).dropDuplicates(["doc_id", "sig"]))
 
@@ -164,6 +183,58 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return p.where(100 * F.col("both") >= percent * (F.size("x") + F.size("y") - F.col("both"))).select("a", "b")
 
 
+def column_pairs(q: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Distinct (a, b), a > b, of different roots that share a column and may
+    reach the threshold. ``q``: col, doc, n, root.
+
+    Columns that hold the same documents are taken once. Up to ``SMALL`` rows
+    of a column are paired directly; a longer column is cut in blocks of about
+    ``BLOCK`` rows, a task takes the product of one pair of blocks, and only
+    pairs that pass the histogram bound leave it.
+    """
+    q = materialize(q, "columns")
+    mark = lambda seed: F.sum(F.xxhash64("doc", "n", F.lit(seed)).bitwiseAND(F.lit((1 << 31) - 1))).alias(f"s{seed}")
+    cols = q.groupBy("col").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("g"), mark(1), mark(2)).where("low <> high")
+    cols = cols.groupBy("g", "s1", "s2").agg(F.min("col").alias("col")).select("col", "g")
+    q = materialize(q.join(cols, "col"), "open")
+    short, long = q.where(F.col("g") <= SMALL), q.where(F.col("g") > SMALL)
+    fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
+    r = short.select("col", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
+    few = short.join(r, "col").where((F.col("root") != F.col("other")) & (F.col("doc") > F.col("b")) & fits).select(F.col("doc").alias("a"), "b")
+
+    k = F.ceil(F.col("g") / BLOCK).cast("int")
+    each = long.join(sets.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), "hist"), ["doc", "n"])
+    each = each.withColumn("k", k).withColumn("own", F.pmod(F.xxhash64("doc"), F.col("k")).cast("int"))
+    each = each.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    each = each.select("col", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc", "n", "root", "hist")
+
+    def product(t):
+        t = t.sort_by("own")
+        own, doc, n, root = (t.column(c).to_numpy() for c in ("own", "doc", "n", "root"))
+        known = np.array([v is not None for v in t.column("hist").to_pylist()], bool)
+        grid = np.frombuffer(b"".join(v or bytes(256) for v in t.column("hist").to_pylist()), np.uint8).reshape(-1, 256)
+        both = t.column("i")[0].as_py() != t.column("j")[0].as_py()
+        half = int(np.searchsorted(own, own[0], "right"))
+        left, right = (slice(0, half), slice(half, None)) if both else (slice(None), slice(None))
+        out = []
+        for r in np.arange(len(doc))[left]:
+            m = n[right]
+            open_ = (root[right] != root[r]) & (100 * np.minimum(m, n[r]) >= percent * np.maximum(m, n[r]))
+            if not both:
+                open_ &= doc < doc[r]
+            at = np.nonzero(open_)[0]
+            most = np.minimum(n[r], m[at])
+            sure = known[right][at] & known[r]
+            most[sure] = np.minimum(grid[right][at[sure]], grid[r]).sum(axis=1, dtype=np.int64)
+            at = doc[right][at[100 * most >= percent * (n[r] + m[at] - most)]]
+            out.append(np.stack([np.maximum(at, doc[r]), np.minimum(at, doc[r])]))
+        a, b = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.table({"a": a, "b": b})
+
+    many = each.groupBy("col", "i", "j").applyInArrow(product, "a long, b long")
+    return few.union(many.where("a <> b")).distinct()
+
+
 def link_edges(sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that connect exactly what all links connect. ``sets``: one
     row per distinct non-empty set."""
@@ -184,10 +255,7 @@ def link_edges(sets: DataFrame, percent: int) -> DataFrame:
     linked = materialize(verified(stars, sets, percent), "stars")
     roots = materialize(connected_components(linked), "roots")
     q = p.join(roots, F.col("doc") == F.col("node"), "left").select("col", "doc", "n", F.coalesce("root", "doc").alias("root"))
-    r = q.select("col", F.col("doc").alias("b"), F.col("n").alias("m"), F.col("root").alias("other"))
-    several = q.groupBy("col").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("col")
-    rest = q.join(several, "col").join(r, "col").where((F.col("root") != F.col("other")) & (F.col("doc") > F.col("b")) & fits)
-    rest = rest.select(F.col("doc").alias("a"), "b").distinct().join(stars.toDF("a", "b"), ["a", "b"], "left_anti")
+    rest = column_pairs(q, sets, percent).join(stars, ["a", "b"], "left_anti")
     return linked.union(verified(rest, sets, percent))
 
 

@@ -195,7 +195,8 @@ def brute_components(rows):
     return {(i, len(s), find(i)) for i, s in sets}
 
 
-def test_jaccard_brute_force(spark, docs, monkeypatch):
+@pytest.mark.parametrize("small,block", [(32, 1000), (2, 25)])
+def test_jaccard_brute_force(spark, docs, monkeypatch, small, block):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     line = " ".join(f"common{k}" for k in range(60))
     words = [f"w{k}" for k in range(120)]
@@ -204,6 +205,8 @@ def test_jaccard_brute_force(spark, docs, monkeypatch):
         rows.append((6000 + i, " ".join(words[: 60 + i] + [f"e{i}"])))
     rows += [(7001, None), (7002, ""), (7003, "a b"), (7004, "A  B"), (7005, "a b c")]
     monkeypatch.setattr(jaccard, "HOT_DF", 5)
+    monkeypatch.setattr(jaccard, "SMALL", small)
+    monkeypatch.setattr(jaccard, "BLOCK", block)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {tuple(r) for r in jaccard.components(df).collect()} == brute_components(rows)
 
