@@ -6,7 +6,8 @@ pair: of a row of s shingles the first s - ceil(t * s) + 1 in one global order
 (a pair at t or more shares one of them), so overlap starts from those columns
 only, and pairs whose sizes alone rule out t are dropped. Very frequent
 columns go last in the order, which keeps the result exact under any choice;
-they are counted over all rows and at most ``HOT`` of them are broadcast.
+they are counted over all rows (later rounds: those that moved up) and at most
+``HOT`` of them are broadcast.
 
 Groups of near copies are not expanded into pairs. Each block of a column first
 meets its smallest document (a star); exact overlaps are counted for the stars,
@@ -122,12 +123,21 @@ def distinct_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
     return of(reps.where("n_rows = 1")).unionByName(of(reps.where("n_rows > 1")).dropDuplicates(["doc_id", "sig"]))
 
 
-def prefixes(sets: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
-    """(doc, n, column) of the deciding columns of each row, hot ones last."""
-    shared = sets.sparkSession.sparkContext.broadcast(hot)
+def deciding(x: np.ndarray, take: int, hot: np.ndarray) -> np.ndarray:
+    """The first ``take`` columns of a row, hot ones last."""
+    if not len(hot):
+        return x[:take]
+    common = hot[np.minimum(np.searchsorted(hot, x), len(hot) - 1)] == x
+    return np.concatenate([x[~common], x[common]])[:take]
+
+
+def prefixes(sets: DataFrame, percent: int, hot: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
+    """(doc, n, column) of the deciding columns of each row, hot ones last;
+    with ``before``, only those that were not deciding with that hot list."""
+    shared = sets.sparkSession.sparkContext.broadcast((hot, before))
 
     def run(batches):
-        hot = shared.value
+        hot, before = shared.value
         for b in batches:
             for s in range(0, b.num_rows, 256):
                 part = b.slice(s, 256)
@@ -135,11 +145,9 @@ def prefixes(sets: DataFrame, percent: int, hot: np.ndarray) -> DataFrame:
                 for d, row in zip(part.column("doc_id").to_pylist(), part.column("hashes")):
                     x = row.values.to_numpy(zero_copy_only=False)
                     take = len(x) - -(-percent * len(x) // 100) + 1
-                    if len(hot):
-                        common = hot[np.minimum(np.searchsorted(hot, x), len(hot) - 1)] == x
-                        p = np.concatenate([x[~common], x[common]])[:take]
-                    else:
-                        p = x[:take]
+                    p = deciding(x, take, hot)
+                    if before is not None:
+                        p = np.setdiff1d(p, deciding(x, take, before), assume_unique=True)
                     ids.append(np.full(len(p), d, np.int64))
                     ns.append(np.full(len(p), len(x), np.int64))
                     cols.append(p)
@@ -238,15 +246,14 @@ def column_pairs(q: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def link_edges(sets: DataFrame, percent: int) -> DataFrame:
     """Edges (a, b) that connect exactly what all links connect. ``sets``: one
     row per distinct non-empty set."""
-    hot = np.zeros(0, np.int64)
-    for _ in range(ROUNDS):
-        p = prefixes(sets, percent, hot)
+    hot, before = np.zeros(0, np.int64), None
+    for _ in range(ROUNDS):  # after the first round only columns that moved up are counted
+        p = prefixes(sets, percent, hot, before)
         top = p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HOT_DF).orderBy(F.desc("df"), "col").limit(HOT)
-        seen = np.array([r.col for r in top.select("col").collect()], np.int64)
-        grown = np.union1d(hot, seen)
-        if len(grown) == len(hot):
+        grown = np.union1d(hot, np.array([r.col for r in top.select("col").collect()], np.int64))
+        if len(grown) == len(hot) or len(grown) > HOT:
             break
-        hot = grown if len(grown) <= HOT else hot
+        hot, before = grown, hot
     p = prefixes(sets, percent, hot)
     p = materialize(p.join(p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "col"), "prefixes")
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
