@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import new_path, ship, table
+from monthledger.llm.common import materialize, new_path, ship, table
 
 ship(__name__)
 
@@ -39,13 +39,18 @@ def resolve(pages: DataFrame, least: int = LEAST) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
     p = pages.select("page_id", "url", html.alias("html"))
     p = p.withColumn("digest", F.sha2("html", 256)).withColumn("bytes", F.octet_length("html").cast("long"))
-    heads = p.where(F.col("bytes") >= least).groupBy("digest").agg(F.min("page_id").alias("original"), F.count(F.lit(1)).alias("n"))
-    p = p.join(heads.where("n > 1"), "digest", "left")
+    # headers alone are shuffled by digest: of every repeated payload the smallest page and its number of rows
+    heads = p.where(F.col("bytes") >= least).groupBy("digest", "page_id").agg(F.count(F.lit(1)).alias("c"))
+    low = F.min(F.struct(F.col("page_id").isNull(), "page_id", "c")).alias("s")
+    heads = heads.groupBy("digest").agg(low, F.sum("c").alias("n")).where("n > 1")
+    heads = materialize(heads.select("digest", F.col("s.page_id").alias("original"), "n", F.col("s.c").alias("m")), "heads")
+    twice = materialize(heads.where("m > 1"), "twice")
+    own = F.col("page_id").eqNullSafe(F.col("original"))
+    first = p.join(heads, "digest", "left").where(F.col("m").isNull() | (F.col("m") == 1) | ~own).withColumn("nth", F.lit(1))
     same = Window.partitionBy("digest", "page_id").orderBy(F.col("url").asc_nulls_last())
-    first = p.where("n is null or not (page_id <=> original)").withColumn("nth", F.lit(1))
-    again = p.where("n is not null and page_id <=> original").withColumn("nth", F.row_number().over(same))
+    again = p.join(twice, "digest").where(own).withColumn("nth", F.row_number().over(same))
     p = first.unionByName(again)
-    revisit = F.col("n").isNotNull() & ~(F.col("page_id").eqNullSafe(F.col("original")) & (F.col("nth") == 1))
+    revisit = F.col("n").isNotNull() & ~(own & (F.col("nth") == 1))
     return p.withColumn("record_type", F.when(revisit, "revisit").otherwise("response"))
 
 
