@@ -7,7 +7,7 @@ the target is a weighted sample without replacement: every document draws the
 exponential key -ln(u)/quality, the source is sorted by key, and the prefix
 whose running size stays nearest to the remaining budget is taken once more.
 
-The draw u is a hash of doc_id, text and seed, so reruns agree. A hot source
+The draw u is a hash of doc_id and seed, so reruns agree. A hot source
 is never sorted in one task: keys fall into ``BUCKETS`` ranges, the sums of
 (source, bucket) are combined map-side, and only rows inside one (source,
 bucket) are sorted together.
