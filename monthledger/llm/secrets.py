@@ -67,16 +67,17 @@ def scan(docs: DataFrame, ledger: str | None = None, rules=RULES, version: str =
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.sha2(text, 256).alias("blob"))
     rows = materialize(rows, "blobs")
-    fresh = rows.groupBy("blob").agg(F.min("doc_id").alias("doc_id"))
+    who = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    fresh = rows.groupBy("blob").agg(F.min(who).alias("who"))
     schema = f"blob string, spans {SPAN}, rule_version string"
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
     there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
     if there:
         known = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version)
         fresh = fresh.join(known.select("blob"), "blob", "left_anti")
-    own = docs.select("doc_id", text.alias("text")).withColumn("own", F.sha2("text", 256))
-    on = F.col("own").eqNullSafe(F.col("blob")) & own["doc_id"].eqNullSafe(fresh["doc_id"])
-    texts = own.join(fresh, on).select("blob", "text").dropDuplicates(["blob"])
+    # equal rows of one doc_id collapse before the one shuffle of texts
+    own = docs.select(F.sha2(text, 256).alias("blob"), who.alias("who"), text.alias("text")).dropDuplicates(["blob", "who"])
+    texts = own.join(fresh, ["blob", "who"])
     found = texts.select("blob", scan_text(F.col("text"), rules).alias("spans"), F.lit(version).alias("rule_version"))
     found.write.mode("append").partitionBy("rule_version").parquet(ledger)
     known = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version)
