@@ -29,22 +29,7 @@ ColumnOrName = Column | str
 
 # ---------------------------------------------------------------------------
 # These must equal the upstream rule sets for right results.
-#
-# O2 annual rises, as (fiscal year start, connected-before cut-off, factor):
-#   2022-04-01, 2022-04-01, 1.117
-#   2023-04-01, 2023-04-01, 1.173
-#   2024-04-01, 2024-04-01, 1.088
-# Vodafone annual rises, as (fiscal year start, connected-before cut-off, factor):
-#   2022-04-01, 2022-01-31, 1.093
-#   2023-04-01, 2023-01-31, 1.144
-#   2024-04-01, 2024-01-31, 1.079
-#   2025-04-01, 2025-01-31, 1.064
-# The earlier "exclusive" rule uses 1.069 for the Vodafone 2025 rise.
-# Fixed add: 1.8 per fiscal year from 2025-04-01, counting that year
-# (Vodafone: only contracts connected on or after 2024-07-02).
-# Simple-accrual rule (O2): growth 0.117 / 0.173 / 0.088 for the fiscal years
-# starting 2022-04-01 / 2023-04-01 / 2024-04-01, accrual stops at 2025-04-01,
-# flat add 0.15 plus 1.8 per complete year from 2025-04-01.
+# Rises: (fiscal year start, connected-before cut-off, factor).
 # ---------------------------------------------------------------------------
 O2_RISES = (
     ("2022-04-01", "2022-04-01", "1.117"),
@@ -208,6 +193,7 @@ def price_rise_simple_accrual(
     claim_month: ColumnOrName,
     fiscal_year: ColumnOrName,
     scale: int = 6,
+    network: ColumnOrName | None = None,
 ) -> Column:
     """Earliest rule (O2): simple accrual per fiscal year, no compounding.
 
@@ -215,7 +201,9 @@ def price_rise_simple_accrual(
     + flat`` with ``k`` the complete years from ``fy_r`` to the claim month and
     ``flat = 1.8 * complete years since 2025-04-01 + 0.15`` from that month on.
     The upstream rule does not round; the single division by 12 is done last
-    and rounded HALF_UP to ``scale`` decimals.
+    and rounded HALF_UP to ``scale`` decimals.  With ``network`` only O2 rows
+    get the rule and rows of other networks (or of none) keep ``base``; the
+    rule has no defined result for Vodafone, whose rows are NULL.
     """
     b = _c(base).cast(_BASE)
     conn, fy = _c(connection_date), _c(fiscal_year)
@@ -232,4 +220,9 @@ def price_rise_simple_accrual(
         twelfths = twelfths + F.when(cond, term).otherwise(dec("0"))
     flat = F.floor(month_diff(end, month) / 12).cast(years) * dec(FIXED_ADD_AMOUNT) + dec(ACCRUAL_FLAT_ADD)
     twelfths = twelfths + F.when(_c(claim_month) >= end, flat * 12).otherwise(dec("0"))
-    return F.round(twelfths / 12, scale).cast(T.DecimalType(18, scale))
+    value = F.round(twelfths / 12, scale).cast(T.DecimalType(18, scale))
+    if network is None:
+        return value
+    net = _c(network)
+    kept = F.when(net == "Vodafone", F.lit(None)).otherwise(b).cast(T.DecimalType(18, scale))
+    return F.when(net == "O2", value).otherwise(kept)

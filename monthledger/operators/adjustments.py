@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.functions.dates import first_of_month, month_diff
+from monthledger.functions.dates import month_diff
 from monthledger.functions.money import as_money, prorate, round_money
 from monthledger.operators.copies import collapse_copies
 
@@ -108,7 +108,3 @@ def adjusted_commission_col() -> Column:
     return as_money(
         F.when(disc.isNull(), final).when(disc > F.last_day("claim_month"), final).otherwise(F.lit(0))
     )
-
-
-def upgrade_month_col() -> Column:
-    return first_of_month("last_upgrade_date")

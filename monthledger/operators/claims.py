@@ -139,26 +139,6 @@ def label_columns() -> dict[str, Column]:
     }
 
 
-REPORT_COLUMNS = (
-    "payment_status",
-    "usi",
-    "mpn",
-    "ordernumber",
-    "connection_date",
-    "claim_type",
-    "claim_month",
-    "paymenttype",
-    "eventtype",
-    "expectedtotalvalue",
-    "valuepaid",
-    *SPAN_COLUMNS,
-    "comment",
-    "level5code",
-    "soscode",
-    "input_filter",
-)
-
-
 def claims_in_period(report: DataFrame, start: dt.date | str | None, end: dt.date | str | None) -> DataFrame:
     """Optional reporting window on ``input_filter`` (inclusive)."""
     f = F.col("input_filter")

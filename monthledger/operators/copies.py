@@ -28,9 +28,3 @@ def collapse_copies(df: DataFrame, name: str, cols: list[str] | None = None) ->
 def combined_copies(names: list[str]) -> Column:
     """Product of per-feed copy counts; a feed that did not match counts once."""
     return reduce(lambda a, b: a * b, [F.coalesce(F.col(n), F.lit(1)).cast("long") for n in names])
-
-
-def expand_copies(df: DataFrame, name: str = COPIES) -> DataFrame:
-    """One row per copy again (the un-collapsed multiset)."""
-    rep = F.explode(F.array_repeat(F.lit(True), F.col(name).cast("int")))
-    return df.select(*[c for c in df.columns if c != name], rep.alias("_copy")).drop("_copy")

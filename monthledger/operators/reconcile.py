@@ -6,10 +6,9 @@ payment's period text, level-5 and SOS codes and month.  Identical
 contract-month rows (duplicate feed rows) collapse in the group and multiply
 its sum and count, exactly as a join followed by GROUP BY does.
 
-Plan: the join shuffles both sides on ``(usi, claim_month)``; the 25-key
+Plan: both sides are partitioned on ``(usi, claim_month)``; the 25-key
 aggregate reuses that partitioning (its keys include both), so it adds no
-exchange.  A hot contract spreads over its months, and AQE's skew-join split
-applies because both join inputs are shuffle stages.
+exchange, and a hot contract spreads over its months.
 """
 
 from __future__ import annotations

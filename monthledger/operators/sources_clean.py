@@ -84,10 +84,6 @@ def horizon_month(monthly: DataFrame):
     return monthly.agg(F.max("period_date_converted")).scalar()
 
 
-def disconnections_clean(disconnections: DataFrame) -> DataFrame:
-    return disconnections.where(F.col("usi").isNotNull()).select("usi", "disconnection_date", "disconnection_reason")
-
-
 def upgrades_clean(base_movements: DataFrame, strict: bool = True) -> DataFrame:
     """``BASE OFF`` movements with the upgrade date parsed to a DATE."""
     return base_movements.where(F.col("base_indicator") == BASE_OFF).select(

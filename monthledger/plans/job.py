@@ -2,27 +2,24 @@
 
 Plan shape (each arrow is lazy; Catalyst sees one plan):
 
-    sales ─filter─► hash-partition by usi ─► ⟕ disconnections ⟕ upgrades
+    sales ─filter─► ⟕ disconnections ⟕ upgrades      on usi (contract grain)
            └─► explode months up to the payment horizon (Generate, no shuffle)
                ⟕ rate card by month (equi-join, Spark picks by size)
                price rise → pro-rata → net of VAT → tiered commission
                disconnection / upgrade rules
-               ⟕ billing status   on (usi, claim_month)   [right side hashed by usi]
-               ⟕ monthly payments on (usi, claim_month)   [pre-aggregated, hashed by usi]
+               ⟕ billing status   on (usi, claim_month)
+               ⟕ monthly payments on (usi, claim_month)   [pre-aggregated]
                25-key aggregate → classify → spans by usi → 19-column report
 
-Every month-level operator (both joins, the 25-key aggregate, the span
-window) needs its input clustered by keys that include ``usi``; with all
-inputs hash-partitioned by ``usi`` on the same partition count, Spark plans
-them with no exchange, so the 36x month rows are never shuffled.  Only the
-contract-grain sales and the right-hand feeds cross the network, each once.
-Partitioning by contract before the explode also fixes the parallelism of
-the month work at the shuffle partition count instead of the input splits.
+The month rows are shuffled once, on (usi, claim_month): the billing and
+payments joins and the 25-key aggregate all use that partitioning.  It spreads
+a contract over its months, so a contract that holds a large share of the rows
+is not one task of the month stage, and adaptive execution can split what is
+still skewed.  No partitioning is forced and no session setting is changed.
 """
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,15 +38,14 @@ from monthledger.operators.copies import COPIES, collapse_copies, combined_copie
 from monthledger.operators.months import month_spine, one_rate_per_month, priced_months, rates_for
 from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
-    horizon_month,
     non_billing_clean,
     payments_monthly,
     payments_union,
     sales_clean,
     upgrades_clean,
 )
-from monthledger.sources.tables import SourceLocation, read_source, write_result
-from monthledger.session import shared_dir, use_job_conf
+from monthledger.sources.schemas import CLAIM_REPORT
+from monthledger.sources.tables import SourceLocation, conform, read_source, write_result
 
 
 @dataclass(frozen=True)
@@ -81,17 +77,8 @@ def monthly_payments(src: ReconSources) -> DataFrame:
     return payments_monthly(payments_union(src.postpay, src.ftu))
 
 
-def payment_horizon_scalar(src: ReconSources):
-    """Latest paid month over both feeds, as a lazy scalar subquery Column.
-
-    Taken from the parsed union rather than the grouped payments: same
-    maximum, and the subquery scan prunes to the period columns.
-    """
-    return horizon_month(payments_union(src.postpay, src.ftu))
-
-
 def payment_horizon_value(src: ReconSources):
-    """The same month evaluated once, up front, as a DATE literal Column.
+    """Latest paid month over both feeds, evaluated up front as a DATE literal.
 
     One small aggregate job returning a single value; the literal then folds
     into the spine bound and the rate-card cap (the subquery form would be
@@ -101,18 +88,6 @@ def payment_horizon_value(src: ReconSources):
     return F.lit(latest).cast("date")
 
 
-def by_contract(df: DataFrame) -> DataFrame:
-    """Hash-partition on ``usi`` (the shared partitioning of the month stage).
-
-    The count is fixed at ``spark.sql.shuffle.partitions`` for every input of
-    the stage: it keeps them co-partitioned, and stops AQE from coalescing
-    the small contract-grain shuffle by its bytes when each contract becomes
-    up to 36 priced months downstream.
-    """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, "usi")
-
-
 SALES_COLUMNS = ("opportunity_number", "usi", "ctn", "connection_date", "gross_mrc", "network", "product_segment")
 COPY_COUNTS = ["_copies_sale", "_copies_disc", "_copies_upgrade", "_copies_rate", "_copies_billing"]
 
@@ -127,7 +102,7 @@ def contracts(src: ReconSources, network: str | None = "O2", collapse: bool = Tr
     sales = sales.select(*SALES_COLUMNS)
     if collapse:
         sales = collapse_copies(sales, "_copies_sale")
-    with_disc = attach_disconnections(by_contract(sales), src.disconnections, copies=_c("_copies_disc", collapse))
+    with_disc = attach_disconnections(sales, src.disconnections, copies=_c("_copies_disc", collapse))
     return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies=_c("_copies_upgrade", collapse))
 
 
@@ -146,9 +121,8 @@ def adjusted_months(
     """Priced contract months after disconnection, upgrade and non-billing rules.
 
     One row per distinct contract month; ``_copies`` holds how many identical
-    rows the un-collapsed join would have produced (``expand_copies`` restores
-    them).  ``collapse=False`` carries every copy as its own row instead
-    (``_copies`` is then 1).
+    rows the un-collapsed join would have produced.  ``collapse=False`` carries
+    every copy as its own row instead (``_copies`` is then 1).
     """
     horizon = payment_horizon_value(src) if horizon is None else horizon
     spine = month_spine(contracts(src, network, collapse), horizon)
@@ -161,7 +135,7 @@ def adjusted_months(
         copies=_c("_copies_rate", collapse),
     )
     adjusted = with_upgrade_rules(with_disconnection_rule(priced))
-    nb = by_contract(non_billing_clean(src.base_movements))
+    nb = non_billing_clean(src.base_movements)
     months = apply_non_billing(adjusted, nb, copies=_c("_copies_billing", collapse))
     present = [c for c in COPY_COUNTS if c in months.columns]
     return months.withColumn(COPIES, combined_copies(present) if present else F.lit(1).cast("long")).drop(*present)
@@ -182,10 +156,9 @@ def classified_months(
     month (they could price a month identically).  When the rate card has no
     such overlap, the 25-key aggregate is an identity and is skipped.
     """
-    use_job_conf(src.sales.sparkSession)
     horizon = payment_horizon_value(src)
     months = adjusted_months(src, network, rules, rate_strategy, collapse, horizon)
-    payments = by_contract(payments_by_month(monthly_payments(src)))
+    payments = payments_by_month(monthly_payments(src))
     distinct = (
         collapse
         and rate_strategy in ("auto", "by_month")
@@ -194,40 +167,37 @@ def classified_months(
     return classify(reconcile_payments(months, payments, copies=COPIES, distinct_months=distinct))
 
 
-def _materialized_claims(classified: DataFrame) -> DataFrame:
-    """Write the claim rows under the shared checkpoint folder and read them
-    back: the spans and the report then read a table instead of recomputing
-    the reconciliation twice, and the lineage is cut at that point."""
-    spark = classified.sparkSession
-    base = shared_dir(spark)
-    if base is None:
-        return None
-    path = f"{base.rstrip('/')}/monthledger-claims-{uuid.uuid4().hex}"
-    claim_rows(classified).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def _materialized_claims(classified: DataFrame, claims_path: str) -> DataFrame:
+    """Write the claim rows to ``claims_path`` and read them back: the spans
+    and the report then read a table instead of recomputing the
+    reconciliation twice, and the lineage is cut at that point."""
+    rows = claim_rows(classified)
+    rows.write.mode("overwrite").parquet(claims_path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(claims_path)
 
 
 def reconcile(
     src: ReconSources,
     network: str = "O2",
-    span_strategy: str = "window",
+    span_strategy: str = "join",
     rate_strategy: str = "auto",
     period: tuple | None = None,
     rules: PriceRiseRules | None = None,
     collapse: bool = True,
+    claims_path: str | None = None,
 ) -> DataFrame:
     """The claim report: months to claim for, with first/last missing months.
 
-    ``span_strategy``: ``window`` (one pass), ``join`` (aggregate + join) or
-    ``materialized`` (claim rows written to the shared checkpoint folder, then
-    aggregate + join; falls back to ``join`` without such a folder).
+    ``span_strategy``: ``join`` (map-side combined aggregate, joined back),
+    ``window`` (one pass, but a contract is one window group) or
+    ``materialized`` (claim rows written to ``claims_path``, a new folder that
+    all executors share, then as ``join``; the caller deletes it after use).
     """
+    if span_strategy == "materialized" and not claims_path:
+        raise ValueError("span_strategy='materialized' needs claims_path, a folder that all executors share")
     classified = classified_months(src, network, rules, rate_strategy, collapse)
     if span_strategy == "materialized":
-        claims = _materialized_claims(classified)
-        if claims is not None:
-            return claim_report(claims, "join", period)
-        span_strategy = "join"
+        return claim_report(_materialized_claims(classified, claims_path), "join", period)
     return claim_report(classified, span_strategy, period)
 
 
@@ -242,6 +212,6 @@ def run_reconciliation(
 
     The same job publishes the second copy by passing another target.
     """
-    report = reconcile(src, **kw)
+    report = conform(reconcile(src, **kw), CLAIM_REPORT)
     write_result(report, target, path=path)
     return spark.read.parquet(path) if path is not None else spark.table(target)

@@ -24,7 +24,7 @@ from monthledger.operators.months import (
     with_calendar,
     with_prorata_days,
 )
-from monthledger.operators.copies import COPIES, expand_copies
+from monthledger.operators.copies import COPIES
 from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
@@ -38,7 +38,6 @@ from monthledger.plans.job import (
     adjusted_months,
     classified_months,
     monthly_payments,
-    by_contract,
     payment_horizon_value,
     reconcile,
 )
@@ -83,14 +82,14 @@ def _sales(src: ReconSources, network: str | None = "O2") -> DataFrame:
     return sales_clean(src.sales, network).withColumnRenamed("monthly_recurring_charge", "gross_mrc")
 
 
-def _horizon_spine(src: ReconSources, network: str | None = "O2") -> DataFrame:
-    return month_spine(by_contract(_sales(src, network)), payment_horizon_value(src))
+def _horizon_spine(src: ReconSources, network: str | None = "O2", horizon=None) -> DataFrame:
+    return month_spine(_sales(src, network), payment_horizon_value(src) if horizon is None else horizon)
 
 
 def _priced(src: ReconSources, rate_strategy: str = "auto") -> DataFrame:
-    return priced_months(
-        _horizon_spine(src), rates_for(src.rates, "O2"), rate_strategy=rate_strategy, horizon=payment_horizon_value(src)
-    )
+    horizon = payment_horizon_value(src)
+    spine = _horizon_spine(src, horizon=horizon)
+    return priced_months(spine, rates_for(src.rates, "O2"), rate_strategy=rate_strategy, horizon=horizon)
 
 
 def _calendar(src: ReconSources) -> DataFrame:
@@ -169,7 +168,7 @@ def _non_billing_clean(src):
 @query("month_spine")
 def _month_spine(src):
     """Every sale times 36 months."""
-    return month_spine(by_contract(_sales(src))).select("connection_date", *CM)
+    return month_spine(_sales(src)).select("connection_date", *CM)
 
 
 @query("month_spine_horizon")
@@ -202,7 +201,8 @@ def _rate_lookup(src):
 @query("rate_lookup_by_month")
 def _rate_lookup_by_month(src):
     """Same lookup through the month-expanded rate card (equi-join)."""
-    df = rate_lookup(_horizon_spine(src), rates_for(src.rates, "O2"), "by_month", payment_horizon_value(src))
+    horizon = payment_horizon_value(src)
+    df = rate_lookup(_horizon_spine(src, horizon=horizon), rates_for(src.rates, "O2"), "by_month", horizon)
     return df.select(*CM, "vat", "commission_rate_1", "commission_rate_2")
 
 
@@ -268,8 +268,8 @@ def _expected_commission(src):
 
 # ------------------------------------------------------------ adjustments --
 def _months(src: ReconSources) -> DataFrame:
-    """The job's adjusted months, copies expanded back to one row each."""
-    return expand_copies(adjusted_months(src))
+    """The job's adjusted months, every copy a row of its own."""
+    return adjusted_months(src, collapse=False)
 
 
 @query("apply_disconnection")
@@ -303,7 +303,7 @@ def _apply_non_billing(src):
 
 # --------------------------------------------------------- reconciliation --
 def _reconciled(src: ReconSources) -> DataFrame:
-    payments = by_contract(payments_by_month(monthly_payments(src)))
+    payments = payments_by_month(monthly_payments(src))
     return reconcile_payments(adjusted_months(src), payments, copies=COPIES)
 
 

@@ -1,11 +1,7 @@
-"""Session helpers: a local session for tests and the benchmark, and the
-shared folder used to materialise intermediate tables."""
+"""A local session for tests and the benchmark."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 LOCAL_CONF = {
@@ -20,21 +16,6 @@ LOCAL_CONF = {
 }
 
 
-# SQL settings the job relies on.  ``usi`` has one value per contract, so a
-# join on (usi, claim_month) may reuse inputs already hash-partitioned by usi
-# alone; Spark's default insists on all join keys and would reshuffle the
-# 36x month rows.  (Skew guard: NULL keys are filtered off the right-hand
-# feeds, and AQE's skew handling stays on for the contract-grain joins.)
-JOB_SQL_CONF = {
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
-}
-
-
-def use_job_conf(spark: SparkSession) -> None:
-    for k, v in JOB_SQL_CONF.items():
-        spark.conf.set(k, v)
-
-
 def local_session(master: str = "local[8]", app: str = "monthledger", **conf: str) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     for k, v in {**LOCAL_CONF, **conf}.items():
@@ -42,20 +23,3 @@ def local_session(master: str = "local[8]", app: str = "monthledger", **conf: st
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
-
-
-def shared_dir(spark: SparkSession) -> str | None:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
-
-    Only a local-mode session without one gets a private temporary folder
-    (tests); on a cluster without the setting this returns ``None`` and the
-    caller must not materialise anything.
-    """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if d:
-        return d
-    if not (sc.master or "").startswith("local"):
-        return None
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="monthledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
-    return sc.getCheckpointDir()

@@ -21,7 +21,6 @@ from monthledger.sources.tables import conform
 
 # Fixed values of the derivation (shared with the oracle text).
 DATE_SHIFT_MONTHS = 288
-LAST_PAYMENT_MONTH = dt.date(2025, 12, 1)
 RATE_CARD = [
     ("O2", Decimal("0.20"), Decimal("0.71"), Decimal("0.35"), dt.date(2018, 1, 1), dt.date(2021, 12, 31)),
     ("O2", Decimal("0.20"), Decimal("0.70"), Decimal("0.30"), dt.date(2022, 1, 1), dt.date(2025, 9, 15)),
@@ -52,7 +51,6 @@ def _payment_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataF
         .withColumn(
             "cv", (F.col("mrc") * F.col("l_quantity").cast("decimal(4,0)") * F.expr("0.02")).cast("decimal(18,2)")
         )
-        .where(F.col("p") <= F.lit(LAST_PAYMENT_MONTH))
     )
 
 

@@ -58,13 +58,15 @@ def read_source(spark: SparkSession, name: str, where: SourceLocation | str) ->
 def write_result(df: DataFrame, target: str, mode: str = "overwrite", path: str | None = None) -> None:
     """Materialise a result as a table (``schema.name``) or as Parquet files.
 
-    Both published outputs of the job (the main and the ``v1`` schema) are this
-    call with another ``target``.
+    Both published outputs of the job are this call with another ``target``;
+    the target's schema is created if it is not there.
     """
     writer = df.write.mode(mode)
     if path is not None:
         writer.parquet(path)
     else:
+        if "." in target:
+            df.sparkSession.sql(f"create schema if not exists {target.rpartition('.')[0]}")
         writer.saveAsTable(target)
 
 

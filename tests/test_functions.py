@@ -137,6 +137,14 @@ def test_simple_accrual_before_and_after(spark):
     assert acc("2025-06-01", "2025-06-01", "2025-04-01") == Decimal("12.150000")
 
 
+def test_simple_accrual_by_network(spark):
+    df = spark.createDataFrame([("O2",), ("Three",), (None,), ("Vodafone",)], "n string")
+    day = lambda x: F.to_date(F.lit(x))
+    col = P.price_rise_simple_accrual(dec("12.00"), day("2021-01-01"), day("2022-05-01"), day("2022-04-01"), network="n")
+    got = {r["n"]: r["v"] for r in df.select("n", col.alias("v")).collect()}
+    assert got == {"O2": Decimal("12.117000"), "Three": Decimal("12.000000"), None: Decimal("12.000000"), "Vodafone": None}
+
+
 def test_apply_factor(spark):
     assert one(spark, P.apply_factor(dec("10.00"), F.lit(True), "1.5")) == Decimal("15.000")
     assert one(spark, P.apply_factor(dec("10.00"), F.lit(False), "1.5")) == Decimal("10.000")

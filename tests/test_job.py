@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections import Counter
 from decimal import Decimal
 
@@ -88,14 +89,13 @@ def test_duplicate_disconnections_fan_out_and_double(spark):
 
 
 def test_copies_multiply_across_feeds(spark):
-    from monthledger.operators.copies import expand_copies
-
     s, dc = sale("1"), ("1", d("2030-01-01"), "x")
     src = sources(spark, sales=[s, s], postpay=[pay("1", "Jan-23", "5.00")], disc=[dc, dc, dc])
     rec = job.classified_months(src).where("claim_month = date'2023-01-01'").collect()
     assert len(rec) == 1 and rec[0].payment_count == 6 and rec[0].commission_paid == Decimal("30.00")
-    months = job.adjusted_months(src).where("claim_month = date'2023-01-01'")
-    assert months.count() == 1 and expand_copies(months).count() == 6
+    months = job.adjusted_months(src).where("claim_month = date'2023-01-01'").collect()
+    assert [r["_copies"] for r in months] == [6]
+    assert job.adjusted_months(src, collapse=False).where("claim_month = date'2023-01-01'").count() == 6
 
 
 def test_collapsed_and_uncollapsed_plans_agree(spark):
@@ -188,11 +188,14 @@ def _rows(df):
     return Counter(tuple(r) for r in df.collect())
 
 
-def test_span_strategies_agree(spark, small):
+def test_span_strategies_agree(spark, small, tmp_path):
     base = _rows(job.reconcile(small, span_strategy="window"))
     assert base
     assert _rows(job.reconcile(small, span_strategy="join")) == base
-    assert _rows(job.reconcile(small, span_strategy="materialized")) == base
+    path = str(tmp_path / "claims")
+    assert _rows(job.reconcile(small, span_strategy="materialized", claims_path=path)) == base
+    with pytest.raises(ValueError, match="claims_path"):
+        job.reconcile(small, span_strategy="materialized")
 
 
 def test_rate_lookup_forms_agree(spark, small):
@@ -246,13 +249,54 @@ def _exchanges_above_generate(plan: str) -> list[str]:
     return bad
 
 
-def test_month_rows_are_never_shuffled(spark, small):
-    """The month stage reuses the contract partitioning: no shuffle exchange
-    sits above the month explode (the joins, the 25-key aggregate and the span
-    window add none)."""
-    plan = job.reconcile(small)._jdf.queryExecution().executedPlan().toString()
-    assert "Generate" in plan and "Window" in plan
-    assert _exchanges_above_generate(plan) == [], plan
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_month_rows_are_shuffled_once_on_contract_and_month(spark, small):
+    """Both month joins and the 25-key aggregate use one exchange of the month
+    rows, whose keys hold the month, so a contract is not one task."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
+    src = fixture_sources(own, SMALL_SF)
+    above = _exchanges_above_generate(_plan(job.classified_months(src)))
+    keyed = [x for x in above if "hashpartitioning(usi" in x]
+    assert len(keyed) == 1 and "claim_month" in keyed[0], above
+
+
+def test_plans_do_not_depend_on_what_ran_before(spark):
+    own = spark.newSession()
+    src = fixture_sources(own, SMALL_SF)
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    shape = lambda: Counter(re.findall(r"[A-Z]\w+", x)[0] for x in _plan(job.classified_months(src)).splitlines() if x.strip())
+    before, setting = shape(), own.conf.get(name)
+    job.reconcile(src).count()
+    assert shape() == before and own.conf.get(name) == setting
+
+
+def test_a_hot_contract_spreads_over_its_months(spark):
+    hot = [sale("hot", mrc=f"{10 + i}.00") for i in range(200)]
+    even = [sale(str(i)) for i in range(200)]
+    src = sources(spark, sales=hot + even, postpay=[pay("hot", "Dec-24", "1.00")])
+    months = job.adjusted_months(src).where("usi = 'hot'")
+    held = months.repartition(64, "usi", "claim_month").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) > 8 and sum(r["count"] for r in held) == 200 * 24
+
+
+def test_report_tables_in_two_targets_and_view(spark, tmp_path):
+    """K1-K3: the report as two tables of the declared schema, and as a view."""
+    from monthledger.sources.tables import register_view
+
+    p = [pay("1", "Jan-23", "0.00"), pay("1", "Mar-23", "2.00")]
+    src = sources(spark, sales=[sale("1")], postpay=p)
+    for name in ("reports_a", "reports_b"):
+        spark.sql(f"create schema {name} location '{tmp_path / name}'")
+        written = job.run_reconciliation(spark, src, f"{name}.claims")
+        assert [(f.name, f.dataType) for f in written.schema] == [(f.name, f.dataType) for f in S.CLAIM_REPORT]
+        assert _rows(written) == _rows(job.reconcile(src)) and written.count() > 0
+        register_view(written, "claims_view")
+        assert _rows(spark.table("claims_view")) == _rows(written)
+        spark.sql(f"drop schema {name} cascade")
 
 
 def test_read_feeds_and_write_report(spark, small, tmp_path):
