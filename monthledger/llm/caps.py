@@ -3,8 +3,10 @@
 The filters are a structured random product code: the space is rotated and cut
 into ``parts`` blocks, each block has a random subcode of ``code`` directions,
 and a filter is one direction of every block. A vector belongs to all filters
-whose inner product with it exceeds ``alpha``; they are list-decoded block by
-block with the best rest as a bound, never by trying all products. Vectors
+whose inner product with it exceeds ``alpha``, and to its ``LEAST`` best ones in
+any case; they are list-decoded block by block with the best rest as a bound,
+never by trying all products. ``alpha`` is set for each dimension from the share
+``RECALL`` of the pairs at the threshold that must share a filter. Vectors
 meet in shared filters and every pair there is verified in double precision,
 once, in the smallest filter they share. Large filters are cut in blocks of
 ``block`` rows, and a task takes one pair of blocks; it returns counts and
@@ -26,9 +28,14 @@ from monthledger.llm.common import connected_components, materialize, ship, tabl
 
 ship(__name__)
 
+#: Share of the pairs at the threshold that share a filter, pairs drawn to set alpha by it, filters of every vector.
+RECALL = 0.999
+DRAWN = 4000
+LEAST = 8
+
 
 class Code:
-    def __init__(self, dim: int, parts: int, code: int, alpha: float, seed: int):
+    def __init__(self, dim: int, parts: int, code: int, alpha: float | None, seed: int, threshold: float = 0.9):
         rng = np.random.default_rng([seed, dim])
         self.parts = max(1, min(parts, dim))
         self.rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
@@ -37,12 +44,38 @@ class Code:
         for cut in self.cuts:
             c = rng.standard_normal((code, len(cut)))
             self.books.append(c / np.linalg.norm(c, axis=1, keepdims=True) * np.sqrt(len(cut) / dim))
-        self.alpha, self.size = alpha, code
+        self.size = code
+        self.alpha = self.level(dim, threshold, np.random.default_rng([seed, dim, 1])) if alpha is None else alpha
+
+    def dots(self, x: np.ndarray) -> list[np.ndarray]:
+        y = x @ self.rotation
+        return [y[:, cut] @ book.T for cut, book in zip(self.cuts, self.books)]
+
+    def level(self, dim: int, threshold: float, rng) -> float:
+        """The alpha at which ``RECALL`` of random pairs at the threshold share
+        a filter: a quantile of the best level that both rows of a pair reach."""
+        x, z = rng.standard_normal((2, DRAWN, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        z -= (z * x).sum(axis=1, keepdims=True) * x
+        norm = np.linalg.norm(z, axis=1, keepdims=True)
+        y = threshold * x + np.sqrt(max(0.0, 1 - threshold**2)) * np.divide(z, norm, out=np.zeros_like(z), where=norm > 1e-9)
+        y /= np.linalg.norm(y, axis=1, keepdims=True)
+        best = np.empty(DRAWN)
+        for i, (dx, dy) in enumerate(zip(zip(*self.dots(x)), zip(*self.dots(y)))):
+            good = [np.argmax(a + b) for a, b in zip(dx, dy)]  # one filter of a high level bounds the best from below
+            low = min(sum(d[k] for d, k in zip(r, good)) for r in (dx, dy))
+            sx, sy = np.zeros(1), np.zeros(1)
+            for k in range(self.parts):
+                sx, sy = (sx[:, None] + dx[k]).ravel(), (sy[:, None] + dy[k]).ravel()
+                rx, ry = (sum(d.max() for d in r[k + 1 :]) for r in (dx, dy))
+                keep = np.minimum(sx + rx, sy + ry) >= low - 1e-9
+                sx, sy = sx[keep], sy[keep]
+            best[i] = np.minimum(sx, sy).max()
+        return float(np.sort(best)[int((1 - RECALL) * DRAWN)]) - 1e-9
 
     def decode(self, x: np.ndarray) -> list[np.ndarray]:
         """Filters of each row: sums of one product per block over alpha."""
-        y = x @ self.rotation
-        dots = [y[:, cut] @ book.T for cut, book in zip(self.cuts, self.books)]
+        dots = self.dots(x)
         rest = np.cumsum([d.max(axis=1) for d in dots][::-1], axis=0)[::-1]
         out = []
         for i in range(len(x)):
@@ -52,9 +85,18 @@ class Code:
                 bound = self.alpha - (rest[k + 1][i] if k + 1 < self.parts else 0.0)
                 a, b = np.nonzero(s >= bound)
                 ids, sums = ids[a] * self.size + b, s[a, b]
-            out.append(np.sort(ids))
+            out.append(np.sort(ids if len(ids) >= LEAST else self.best([d[i] for d in dots])))
         return out
 
+    def best(self, dots: list[np.ndarray]) -> np.ndarray:
+        """The ``LEAST`` best filters of a row; a best sum has best parts."""
+        ids, sums = np.zeros(1, np.int64), np.zeros(1)
+        for d in dots:
+            ids, sums = (ids[:, None] * self.size + np.arange(self.size)).ravel(), (sums[:, None] + d).ravel()
+            top = np.argsort(-sums, kind="stable")[:LEAST]
+            ids, sums = ids[top], sums[top]
+        return ids
+
 
 def _unit(vectors):
     x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
@@ -88,7 +130,7 @@ def _first(fx, fy, a, b):
     return out
 
 
-def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code: int = 160, alpha: float = 0.385, block: int = 500, seed: int = 7):
+def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code: int = 160, alpha: float | None = None, block: int = 500, seed: int = 7):
     """(distinct vectors (vec, weight), counts (vec, n), edges (a, b))."""
     v = vectors.where("vec_id is not null and embedding is not null and size(embedding) > 0")
     good = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("embedding", lambda x: x != 0)
@@ -101,7 +143,7 @@ def cap_links(vectors: DataFrame, threshold: float = 0.9, parts: int = 2, code:
         for b in batches:
             dims = b["embedding"].map(len)
             for dim, g in b.groupby(dims):
-                c = codes.setdefault(dim, Code(dim, parts, code, alpha, seed))
+                c = codes[dim] = codes.get(dim) or Code(dim, parts, code, alpha, seed, threshold)
                 for s in range(0, len(g), 256):
                     h = g.iloc[s : s + 256]
                     f = c.decode(_unit(h["embedding"]))

@@ -1,6 +1,7 @@
 """Operators against brute force, tiktoken, a reference parser and edge rows."""
 
 import hashlib
+import inspect
 import re
 from collections import Counter
 
@@ -97,6 +98,35 @@ def test_caps_brute_force(spark):
     assert caps.near_vectors(df.limit(0)).count() == 0
 
 
+def planted(x, cosine, rng):
+    """For each unit row one at the given cosine."""
+    z = rng.standard_normal(x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    return cosine * x + np.sqrt(1 - cosine**2) * z / np.linalg.norm(z, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("dim", [16, 64, 128, 256])
+def test_caps_recall_at_production_parameters(dim):
+    p = {k: v.default for k, v in inspect.signature(caps.cap_links).parameters.items() if k in ("parts", "code", "alpha", "seed", "threshold")}
+    c, rng = caps.Code(dim, **p), np.random.default_rng(dim)
+    x = caps._unit(rng.standard_normal((1000, dim)))
+    mine = c.decode(x)
+    assert min(map(len, mine)) >= caps.LEAST
+    for cosine in (0.90, 0.91, 0.95, 0.99):
+        other = c.decode(planted(x, cosine, rng))
+        assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(mine, other)]) >= 0.995, cosine
+
+
+def test_caps_planted_pairs(spark):
+    rng = np.random.default_rng(2)
+    x = caps._unit(rng.standard_normal((300, 64)))
+    y = np.concatenate([planted(x[s::4], c, rng) for s, c in enumerate((0.901, 0.91, 0.95, 0.99))])
+    rows = [(i, [float(t) for t in v]) for i, v in enumerate(np.concatenate([x, y]))]
+    got = {r.vec_id: r for r in caps.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    of = [i for s in range(4) for i in range(s, 300, 4)]
+    assert sum(got[300 + k].component_id == i for k, i in enumerate(of)) >= 299
+
+
 def brute_secrets(text):
     out = []
     for rank, (kind, pat, group, least) in enumerate(secrets.RULES):
