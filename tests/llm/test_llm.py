@@ -167,6 +167,24 @@ def test_html_main_text(spark):
     assert (got[20], got[21], got[22], got[23]) == ("", "", "plain", "a")
 
 
+def test_html_keeps_headline_and_lead_without_article(spark):
+    def page(i, extra=""):
+        body = "".join(f"<p>Body {i} {j} " + "words " * 40 + "</p>" for j in range(8))
+        return f"<html><body><div class='top'>Site</div><div class='content'><h1>Head {i}</h1><div class='lead'>Lead {i}</div>{extra}<div class='body'>{body}</div></div><div class='end'><b>a</b><b>b</b></div></body></html>"
+
+    pages = {i: page(i) for i in range(6)} | {6: page(6, "<div class='box'>Once</div>")}
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame([(i, "http://d/%d" % i, p) for i, p in pages.items()], "page_id long, url string, html string")).collect()}
+    for i in pages:
+        want = [f"Head {i}", f"Lead {i}", *(["Once"] if i == 6 else []), *(" ".join(f"Body {i} {j} {'words ' * 40}".split()) for j in range(8))]
+        assert got[i] == "\n\n".join(want)
+
+
+def test_html_keeps_text_that_only_some_pages_have(spark):
+    pages = ["<body><div class='a'>same</div><div class='b'><p>x %d</p></div>%s</body>" % (i, "<div class='c'>only here</div>" if i == 3 else "") for i in range(5)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame([(i, "http://s/%d" % i, p) for i, p in enumerate(pages)], "page_id long, url string, html string")).collect()}
+    assert got[3] == "same\n\nx 3\n\nonly here" and got[0] == "same\n\nx 0"
+
+
 def test_html_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in html.extract(pages).collect()}
