@@ -1,10 +1,13 @@
 """License scans by sentence rules.
 
-Texts are cut into sentences, sentences are normalised (lower case, letters and
-digits, single spaces) and mapped to known licence-sentence identifiers. A rule
-is an ordered sequence of identifiers; where it appears in a document's sequence
-(unknown sentences in between allowed up to ``gap``) the licence is found. Rules
-are tried longest first and a sentence serves one match.
+Texts are cut into sentences at sentence ends and blank lines; a single newline
+is a space. Known licence sentences (letters and digits count, case and comment
+marks do not) are looked for where a sentence, a line or a part after a colon or
+semicolon begins, those of over twelve words at every word; one of over six
+words may go on, a shorter one must end there.
+A rule is an ordered sequence of identifiers; where it appears in a document's
+sequence (unknown sentences in between allowed up to ``gap``) the licence is
+found. Rules are tried longest first and a sentence serves one match.
 
 Cases: null or empty text has no licence; repeated rows each get a row; ties go
 to the longer rule, then the rule's order; empty table, empty result; whole
@@ -23,7 +26,12 @@ from monthledger.llm.common import ship, table
 
 ship(__name__)
 
-#: Identifier -> sentence, and the ordered rules over identifiers.
+#: Identifier -> sentence (* is up to 12 words), and the ordered rules over identifiers.
+GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"
+LGPL = "is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"
+AGPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"
+FSF = " as published by the Free Software Foundation, either version "
+ISC = "distribute this software for any purpose with or without fee is hereby granted"
 SENTENCES = {
     "mit-ref": "Released under the MIT License.",
     "mit-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
@@ -32,57 +40,123 @@ SENTENCES = {
     "apache-use": "you may not use this file except in compliance with the License.",
     "apache-copy": "You may obtain a copy of the License at",
     "gpl3-ref": "This work is licensed under the GNU General Public License, version 3.",
-    "gpl-free": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
+    "gpl-free": GPL + FSF + "3 of the License",
+    "gpl2-free": GPL + FSF + "2 of the License",
+    "gpl2-only": GPL + " version 2",
+    "gpl3-only": GPL + " version 3",
+    "gpl-any": GPL,
     "gpl-warranty": "This program is distributed in the hope that it will be useful",
+    "lgpl21-free": "This * " + LGPL + FSF + "2.1 of the License",
+    "lgpl3-free": "This * " + LGPL + FSF + "3 of the License",
+    "lgpl-any": "This * " + LGPL,
+    "agpl-free": AGPL + FSF + "3 of the License",
+    "agpl-any": AGPL,
+    "mpl-form": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "isc-grant": "Permission to use, copy, modify, and/or " + ISC + ", provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-and": "Permission to use, copy, modify, and " + ISC + ", provided that the above copyright notice and this permission notice appear in all copies",
+    "0bsd-grant": "Permission to use, copy, modify, and/or " + ISC + ".",
+    "cc0-deed": "The person who associated a work with this deed has dedicated the work to the public domain",
+    "cc0-waive": "To the extent possible under law, * has waived all copyright and related or neighboring rights to",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
     "ccbync-ref": "Licensed under CC BY-NC 4.0.",
     "ccby-ref": "Licensed under CC BY 4.0.",
     "bsd-redist": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    "bsd-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
+    "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer",
+    "bsd-name": "Neither the name of * may be used to endorse or promote products derived from this software",
 }
 RULES = (
+    ("BSD-3-Clause", ("bsd-redist", "bsd-source", "bsd-binary", "bsd-name")),
+    ("BSD-2-Clause", ("bsd-redist", "bsd-source", "bsd-binary")),
     ("MIT", ("mit-grant", "mit-asis")),
     ("Apache-2.0", ("apache-ref", "apache-use", "apache-copy")),
     ("GPL-3.0", ("gpl-free", "gpl-warranty")),
+    ("GPL-3.0", ("gpl3-only", "gpl-warranty")),
+    ("GPL-2.0", ("gpl2-free", "gpl-warranty")),
+    ("GPL-2.0", ("gpl2-only", "gpl-warranty")),
+    ("GPL", ("gpl-any", "gpl-warranty")),
+    ("AGPL-3.0", ("agpl-free", "gpl-warranty")),
+    ("AGPL", ("agpl-any", "gpl-warranty")),
+    ("LGPL-2.1", ("lgpl21-free", "gpl-warranty")),
+    ("LGPL-3.0", ("lgpl3-free", "gpl-warranty")),
+    ("LGPL", ("lgpl-any", "gpl-warranty")),
     ("MIT", ("mit-ref",)),
     ("MIT", ("mit-grant",)),
     ("Apache-2.0", ("apache-ref",)),
     ("GPL-3.0", ("gpl3-ref",)),
     ("GPL-3.0", ("gpl-free",)),
+    ("GPL-3.0", ("gpl3-only",)),
+    ("GPL-2.0", ("gpl2-free",)),
+    ("GPL-2.0", ("gpl2-only",)),
+    ("GPL", ("gpl-any",)),
+    ("AGPL-3.0", ("agpl-free",)),
+    ("AGPL", ("agpl-any",)),
+    ("LGPL-2.1", ("lgpl21-free",)),
+    ("LGPL-3.0", ("lgpl3-free",)),
+    ("LGPL", ("lgpl-any",)),
+    ("MPL-2.0", ("mpl-form",)),
+    ("ISC", ("isc-grant",)),
+    ("ISC", ("isc-and",)),
+    ("0BSD", ("0bsd-grant",)),
+    ("CC0-1.0", ("cc0-deed",)),
+    ("CC0-1.0", ("cc0-waive",)),
+    ("Unlicense", ("unlicense",)),
     ("CC-BY-NC-4.0", ("ccbync-ref",)),
     ("CC-BY-4.0", ("ccby-ref",)),
     ("BSD", ("bsd-redist",)),
 )
 GAP = 2
-CUT = re.compile(r"(?<=[.!?:;])\s+|\n+")
+CUT = re.compile(r"(?<=[.!?])\s+|\n[^\S\n]*\n\s*")
+STOP = re.compile(r"(?<=[.!?:;])\s|\n[^\S\n]*\n|\Z")
+LINE_END = re.compile(r"[^A-Za-z0-9\n]*?(?=(?<=[.!?:;])\s|\n|\Z)")
+WORDS = re.compile(r"[A-Za-z0-9]+|\*")
 FIELDS = "array<struct<license:string,first_sentence:int,last_sentence:int,start:int,stop:int>>"
 
 
-def normalise(s: str) -> str:
-    return " ".join(re.findall(r"[a-z0-9]+", s.lower()))
+def matcher(sentence: str) -> re.Pattern:
+    """The sentence's words with anything but words between them."""
+    words = ["[A-Za-z0-9]+(?:[^A-Za-z0-9]+[A-Za-z0-9]+){0,11}?" if w == "*" else w for w in WORDS.findall(sentence)]
+    return re.compile("[^A-Za-z0-9]+".join(words) + "(?![A-Za-z0-9])", re.I | re.A)
 
 
-KNOWN = {normalise(s): k for k, s in SENTENCES.items()}
-HEADS = {k.split(" ", 1)[0] for k in KNOWN}
+#: first word -> (identifier, pattern, cuts inside the sentence, number of words), longest first.
+KNOWN: dict[str, list] = {}
+for _k, _s in sorted(SENTENCES.items(), key=lambda x: -len(x[1].split())):
+    KNOWN.setdefault(_s.split()[0].lower(), []).append((_k, matcher(_s), len(CUT.findall(_s)), len(WORDS.findall(_s))))
+HEADS = "|".join(KNOWN)
+ANY = re.compile(rf"(?<![A-Za-z0-9])({HEADS})(?![A-Za-z0-9])", re.I | re.A)
+START = re.compile(rf"(?:(?:\A|\n)[^A-Za-z0-9\n]*+|(?<=[.!?:;])\s[^A-Za-z0-9\n.!?:;]*+)({HEADS})(?![A-Za-z0-9])", re.I | re.A)
 
 
-def sentences(text: str):
-    at = 0
-    for m in CUT.finditer(text):
-        yield at, m.start()
-        at = m.end()
-    yield at, len(text)
+def identify(text: str, at: int, word: str, begins: bool) -> tuple[str, int] | None:
+    """(identifier, end) of the known sentence that begins at ``at``."""
+    for k, pattern, cuts, words in KNOWN[word.lower()]:
+        m = pattern.match(text, at) if begins or words > 12 else None
+        if m and sum(1 for _ in CUT.finditer(text, at, m.end())) <= cuts:
+            end = LINE_END.match(text, m.end())
+            if end:
+                return k, at + len(text[at : end.end()].rstrip())
+            if words > 6:
+                return k, STOP.search(text, m.end()).start()
+    return None
 
 
-def identify(sentence: str) -> str | None:
-    """A known sentence, whole or as the beginning of a longer one."""
-    words = normalise(sentence)
-    if words.split(" ", 1)[0] not in HEADS:
-        return None
-    return KNOWN.get(words) or next((k for s, k in KNOWN.items() if len(s.split()) > 6 and words.startswith(s + " ")), None)
+def known(text: str) -> list[tuple]:
+    """(sentence number, start, stop, identifier) of the known sentences."""
+    out, stop, cut, number = [], 0, 0, 0
+    begins = {m.start(1) for m in START.finditer(text)}
+    for m in ANY.finditer(text):
+        at = m.start()
+        if at >= stop and (found := identify(text, at, m[1], at in begins)):
+            number += sum(1 for _ in CUT.finditer(text, cut, at))
+            cut, stop = at, found[1]
+            out.append((number, at, stop, found[0]))
+    return out
 
 
 def scan_text(text: str | None) -> list[tuple]:
     text = text or ""
-    seq = [(i, a, b, k) for i, (a, b) in enumerate(sentences(text)) if (k := identify(text[a:b]))]
+    seq = known(text)
     used, found = set(), []
     for name, rule in sorted(RULES, key=lambda r: -len(r[1])):
         for s in range(len(seq) - len(rule) + 1):

@@ -279,6 +279,59 @@ def test_licenses(spark, docs, edge):
     assert licenses.scan(edge).count() == len(EDGE) and licenses.scan(edge.limit(0)).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+BSD = """Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation.
+"""
+GPL = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version %s of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY."""
+NOTICES = [
+    (MIT, "MIT"), (BSD, "BSD-2-Clause"), (BSD + "3. Neither the name of Some One nor the names of its\n   contributors may be used to endorse or promote products\n   derived from this software.", "BSD-3-Clause"),
+    (GPL % 3, "GPL-3.0"), (GPL % 2, "GPL-2.0"), (GPL % 3 + "\n\nText.", "GPL-3.0"), ((GPL % 3).replace("GNU General", "GNU Affero General"), "AGPL-3.0"),
+    ((GPL % 2.1).replace("program is free", "library is free").replace("GNU General", "GNU\n# Lesser General"), "LGPL-2.1"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy", "MPL-2.0"), ("License: Released under the MIT\nLicense.", "MIT"),
+]
+
+
+@pytest.mark.parametrize("text,name", NOTICES)
+def test_licenses_wrapped_notices(text, name):
+    for t in (text, " ".join(text.replace("#", " ").split())):
+        found = licenses.scan_text("Some words first.\n\n" + t)
+        assert [f[0] for f in found] == [name]
+
+
+def test_licenses_every_sentence_is_found():
+    for k, s in licenses.SENTENCES.items():
+        s = s.replace("*", "some words")
+        for t in (s, s.replace(" ", "\n"), f"Before. {s}\nafter"):
+            assert [x[3] for x in licenses.known(t)] == [k], (k, t)
+
+
 def test_merkle(spark, docs, edge, monkeypatch):
     monkeypatch.setattr(merkle, "ROWS_PER_RANGE", 17)
     rows = sorted(docs.select("doc_id", "text").collect(), reverse=True)
