@@ -16,6 +16,7 @@ is kept; repeated rows each get a row; extra columns are ignored.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,7 @@ def features(text: str | None, held: dict) -> np.ndarray:
     marks = sum(map(t.count, "!#$%&*|"))
     shape = [
         int(8 * min(1.0, upper / letters)), int(8 * min(1.0, marks / n)), int(8 * len(out) / n) if n < 400 else int(8 * (len(out) / n) ** 0.5),
-        int(16 * max(words.count(w) for w in words[:3]) / n) if words else 16, min(15, n.bit_length()),
+        int(16 * max(Counter(words).values()) / n) if words else 16, min(15, n.bit_length()),
     ]
     out.update(64 * i + int(s) for i, s in enumerate(shape))
     return np.array(sorted(out), dtype=np.int32)

@@ -215,6 +215,11 @@ def test_quality_held_out(spark):
     assert got[clean].kept.mean() > 0.97 and (~got[rest].kept).mean() > 0.85
 
 
+def test_quality_repetition_counts_every_word():
+    spam = " ".join(["alpha", "beta", "gamma", "delta", *["spam"] * 12])
+    assert 64 * 3 + 16 * 12 // 16 in quality.features(spam, {})
+
+
 def test_quality_edge(spark, edge):
     none = spark.createDataFrame([], LABELS)
     odd = spark.createDataFrame([(None, 1, 0), (4, None, None), (4, 1, None), (5, 0, 1), (5, 1, 0)], LABELS)
