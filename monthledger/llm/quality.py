@@ -30,7 +30,9 @@ ship(__name__)
 DIM = 1 << 18
 MAX_ROWS = 8000
 KEEP = 0.5
-CHI2 = 60.0
+#: A word must tell this much a labelled row (chi-square over rows), and more than chance would over all words tested.
+CHI2 = 0.02
+CHANCE = 0.01
 
 
 def features(text: str | None, held: dict) -> np.ndarray:
@@ -66,7 +68,9 @@ def fit(rows: list[tuple[np.ndarray, int]], epochs: int = 30, l2: float = 1e-4):
     total, size = count.sum(axis=0), np.bincount(y, minlength=3)
     expect = total[None, :] * (size / len(y))[:, None]
     chi2 = (((count - expect) ** 2) / np.maximum(expect, 0.5)).sum(axis=0)
-    used = (total >= 3) & ((chi2 >= CHI2) | (np.arange(DIM) < 4096))
+    tested = total >= 3
+    least = max(CHI2 * len(y), 2 * np.log(max(1, tested[4096:].sum()) / CHANCE))  # two degrees of freedom: p = exp(-chi2 / 2)
+    used = tested & ((chi2 >= least) | (np.arange(DIM) < 4096))
     xs = [x[used[x]] for x, _ in rows]
     share = np.bincount(y, minlength=3) / len(y)
     weight = (1 / np.maximum(share, 0.02))[y] ** 0.5

@@ -220,6 +220,20 @@ def test_quality_repetition_counts_every_word():
     assert 64 * 3 + 16 * 12 // 16 in quality.features(spam, {})
 
 
+@pytest.mark.parametrize("rows", [190, 3000])
+def test_quality_words_at_two_label_sizes(rows):
+    """Ten words tell the grade in equal shares; their number must not hang on the size."""
+    rng = np.random.default_rng(rows)
+    telling = 4096 + np.arange(10)
+    data = []
+    for _ in range(rows):
+        g = int(rng.choice(3, p=[0.2, 0.2, 0.6]))
+        noise = 4200 + rng.choice(400, 30, replace=False)
+        data.append((np.sort(np.concatenate([telling[rng.random(10) < (0.45, 0.1, 0.02)[g]], noise])).astype(np.int32), g))
+    w, _ = quality.fit(data, epochs=2)
+    assert (w[telling] != 0).sum() == 10 and (w[4200:] != 0).sum() <= 4
+
+
 def test_quality_edge(spark, edge):
     none = spark.createDataFrame([], LABELS)
     odd = spark.createDataFrame([(None, 1, 0), (4, None, None), (4, 1, None), (5, 0, 1), (5, 1, 0)], LABELS)
