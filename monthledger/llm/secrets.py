@@ -1,8 +1,9 @@
 """Secret scans over an incremental blob ledger. Native DataFrame code.
 
 Every text is content-addressed (SHA-256). The ledger is a Parquet table of
-(rule_version, blob, spans) in a shared folder: a scan takes the distinct
-blobs, drops those the ledger has for this rule version, scans each of the
+(rule_version, blob, spans) in a shared folder, the version made from a digest
+of the rules: a scan takes the distinct blobs, drops those the ledger has for
+this rule version, scans each of the
 rest once, appends them, and joins the findings back to every document.
 
 Cases: null text is the empty blob; repeated rows each get their row; ties of
@@ -14,6 +15,8 @@ splits; a blob's text is read through one of its documents.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,9 +63,14 @@ def scan_text(text: Column, rules=RULES) -> Column:
     return F.array_sort(F.concat(*[spans_of(text, i, *rule) for i, rule in enumerate(rules)]))
 
 
+def version_of(rules, version: str = RULE_VERSION) -> str:
+    """The ledger key: the version of the scan's code and the rules themselves."""
+    return f"{version}-{hashlib.sha256(repr([tuple(r) for r in rules]).encode()).hexdigest()[:16]}"
+
+
 def scan(docs: DataFrame, ledger: str | None = None, rules=RULES, version: str = RULE_VERSION) -> DataFrame:
     """(doc_id, blob, spans) of every row; the ledger at ``ledger`` grows."""
-    spark = docs.sparkSession
+    spark, version = docs.sparkSession, version_of(rules, version)
     ledger = ledger or new_path(spark, "ledger")
     text = F.coalesce("text", F.lit(""))
     rows = docs.select("doc_id", F.sha2(text, 256).alias("blob"))

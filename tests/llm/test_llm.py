@@ -149,6 +149,15 @@ def test_secrets_brute_force(spark, docs, tmp_path):
         assert not [s for s in brute_secrets(r.text or "") if s[3] in ("access", "hex")]
 
 
+def test_secrets_ledger_knows_changed_rules(spark, tmp_path):
+    first = spark.createDataFrame([(1, "token=abcdef123"), (2, "pin: 123456"), (3, None)], "doc_id long, text string")
+    more = first.union(spark.createDataFrame([(4, "pin: 654321 token=abcdef123"), (5, "plain")], first.schema))
+    found = lambda d, rules: {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secrets.scan(d, str(tmp_path / "ledger"), rules).collect()}
+    assert found(first, secrets.RULES) == {1: [("assign", 0, 15)], 2: [], 3: []}
+    assert found(more, (("pin", r"pin: ([0-9]+)", 1, 6),)) == {1: [], 2: [("pin", 0, 11)], 3: [], 4: [("pin", 0, 11)], 5: []}
+    assert found(more, secrets.RULES) == {1: [("assign", 0, 15)], 2: [], 3: [], 4: [("assign", 12, 27)], 5: []}
+
+
 def test_secrets_edge(edge):
     assert secrets.scan(edge).count() == len(EDGE) and secrets.scan(edge.limit(0)).count() == 0
     assert secrets.redact(edge).columns == edge.columns
