@@ -202,9 +202,14 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", out: str =
 
 
 def digests(docs: DataFrame) -> DataFrame:
+    return with_digests(docs).drop("ids")
+
+
+def with_digests(docs: DataFrame) -> DataFrame:
     both = decode(encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
     return both.select(
         "doc_id",
+        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
@@ -216,6 +221,5 @@ def op6(spark, sf_dir: str) -> DataFrame:
 
 
 def bpe_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Last stage: every document's ids with their digest."""
-    ids = encode(docs.select("doc_id", "text")).select("doc_id", "ids")
-    return ids.withColumn("n_tokens", F.size("ids").cast("long"))
+    """Last stage: every document's ids, their digest and that of the bytes they stand for."""
+    return with_digests(docs)

@@ -392,3 +392,60 @@ def test_pipeline_stages(spark, docs):
             assert out.columns == d.columns
             d = spark.createDataFrame(out.collect(), out.schema)
     assert out.count() == d.count() > 0
+
+
+def brute_pipeline(docs, labels):
+    """Rows of the pipeline in plain Python; only the fitted weights come from the library."""
+    grade, weight = {}, {}
+    for i, q, toxic in labels:
+        grade[i] = min(grade.get(i, 2), 0 if q == 0 else 1 if toxic == 1 else 2)
+        weight[i] = min(weight.get(i, 2.0), 2.0 if q == 1 and toxic != 1 else 0.5)
+    x = {i: quality.features(t, {}) for i, t, _ in docs}
+    w, theta = quality.fit([(x[i], grade[i]) for i in sorted(x) if i in grade])
+    docs = [d for d in docs if 1 / (1 + np.exp(-(w[x[d[0]]].sum() - theta[1]))) >= quality.KEEP]
+    first = {i: c for i, _, c in brute_components([(i, t) for i, t, _ in docs])}
+    docs = [d for d in docs if first[d[0]] == d[0]]
+
+    def masked(text):
+        out, at = "", 0
+        for start, _, stop, _ in brute_secrets(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, stop)
+        return out + text[at:]
+
+    docs = [(i, masked(t), s) for i, t, s in docs]
+    size = {i: len(re.findall(r"[^ \t-\r]+", t)) for i, t, _ in docs}
+    total = Counter()
+    for i, _, s in docs:
+        total[s] += size[i]
+    share = {s: k % 3 + 1 for k, s in enumerate(sorted(total))}
+    target, left, free = {}, sum(total.values()), sum(share.values())
+    for s in sorted(total, key=lambda s: 3 * total[s] / share[s]):
+        target[s] = min(3 * total[s], left * share[s] / free)
+        left, free = left - target[s], free - share[s]
+    key = lambda i: -np.log((int(hashlib.md5(f"mix-1\x1f{i}".encode()).hexdigest()[:12], 16) + 0.5) / 16**12) / weight.get(i, 1.0)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.Vocabulary(*bpe.load()).ranks, special_tokens={})
+    rows = Counter()
+    for s in total:
+        epochs, before = int(target[s] // total[s]), 0
+        for i, t, _ in sorted((d for d in docs if d[2] == s), key=lambda d: key(d[0])):
+            more = before + size[i] / 2 <= target[s] - epochs * total[s] > 0
+            before += size[i]
+            ids = enc.encode_ordinary(t)
+            rows[i, tuple(ids), len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest()] += epochs + more
+    return +rows
+
+
+def test_pipeline_rows_brute_force(spark, docs, tmp_path):
+    import corpus_pipeline
+
+    given = [(r.doc_id, r.text, r.source) for r in docs.orderBy("doc_id").limit(60).collect()]
+    given += [(9000 + i, t + " once more", s) for i, t, s in given[:5]] + [(9100 + i, t + " password = abcdef12345", s) for i, t, s in given[5:10]]
+    labels = [tuple(r) for r in spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality", "toxic").collect()]
+    spark.createDataFrame(given, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    names = ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert got.columns == names
+    assert Counter((r.doc_id, tuple(r.ids), *r[2:]) for r in got.collect()) == brute_pipeline(given, labels)
