@@ -2,10 +2,12 @@
 
 import hashlib
 import inspect
+import json
 import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -194,6 +196,16 @@ def test_html_keeps_text_that_only_some_pages_have(spark):
     assert got[3] == "same\n\nx 3\n\nonly here" and got[0] == "same\n\nx 0"
 
 
+def test_html_template_does_not_grow_with_the_pages():
+    trees = [html.fold(html.Dom(f"<body><div class='post-{i}'><p>x {i}</p></div><div class='b'>same</div></body>").root) for i in range(200)]
+    t = trees[0]
+    for x in trees[1:]:
+        t = html.merge(t, x)
+    assert len(repr(t)) <= len(repr(trees[0])) and html.wrapper(t) == ["body."]
+    parts = pd.DataFrame({"host": ["h"] * 200, "tree": [json.dumps(x) for x in trees]})
+    assert list(pd.concat(html._join([parts[:90], parts[90:]])).tree) == [json.dumps(t)]
+
+
 def test_html_given_pages(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.text for r in html.extract(pages).collect()}
