@@ -20,13 +20,15 @@ extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from monthledger.llm.common import ship, table
+from monthledger.llm.common import arrow_batches, ship, table
 
 ship(__name__)
 
@@ -34,7 +36,8 @@ START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 REPLY = "assistant"
 #: Code points of examples that leave a task together.
 BATCH = 4_000_000
-EXAMPLES = "conv_id long, example long, n_turns long, text string, loss_start long, loss_end long"
+EXAMPLES = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("n_turns", pa.int64()), ("text", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
+READ = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
 TURN = re.compile(r"<\|im_start\|>(.*?)<\|im_sep\|>(.*?)<\|im_end\|>\n", re.S)
 
 
@@ -74,8 +77,6 @@ def rows_of(batches, *names):
 
 def grouped(rows):
     """(key, iterator over the other values) of consecutive rows of one key."""
-    import itertools
-
     for key, group in itertools.groupby(rows, key=lambda r: r[0]):
         yield key, (r[1:] for r in group)
 
@@ -84,26 +85,15 @@ def expand(conversations: DataFrame) -> DataFrame:
     """Examples (``EXAMPLES``): formatted text and the span under the loss mask
     (code points, end exclusive); those of a conversation together, in order."""
 
-    def run(batches):
-        held, size = [], 0
-
-        def flush():
-            cols = list(zip(*held))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-            names = ["conv_id", "example", "n_turns", "text", "loss_start", "loss_end"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=names)
-
+    def rows(batches):
         for conv, turns in grouped(rows_of(batches, "conv_id", "role", "text")):
-            for k, (n, text, start, stop) in enumerate(examples_of(turns)):
-                held.append((conv, k, n, text, start, stop))
-                size += len(text)
-                if size >= BATCH:
-                    yield flush()
-                    held, size = [], 0
-        if held:
-            yield flush()
+            for k, example in enumerate(examples_of(turns)):
+                yield conv, k, *example
 
-    return turns_in_order(conversations).mapInArrow(run, EXAMPLES)
+    def run(batches):
+        return arrow_batches(rows(batches), EXAMPLES, most_chars=BATCH)
+
+    return turns_in_order(conversations).mapInArrow(run, from_arrow_schema(EXAMPLES))
 
 
 def read_back(examples: DataFrame, ordered: bool = False) -> DataFrame:
@@ -115,7 +105,7 @@ def read_back(examples: DataFrame, ordered: bool = False) -> DataFrame:
     if not ordered:
         examples = examples.repartition("conv_id").sortWithinPartitions("conv_id", "example")
 
-    def run(batches):
+    def rows(batches):
         for conv, group in grouped(rows_of(batches, "conv_id", "text", "loss_start", "loss_end")):
             chars = loss_chars = 0
             loss, text = hashlib.sha256(), ""
@@ -128,14 +118,14 @@ def read_back(examples: DataFrame, ordered: bool = False) -> DataFrame:
             for m in TURN.finditer(text):
                 turns.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
                 n += 1
-            values = [conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars]
-            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, TYPES)], names=NAMES)
+            yield conv, n, turns.hexdigest(), loss_chars, loss.hexdigest(), chars
+
+    def run(batches):
+        return arrow_batches(rows(batches), READ)
 
-    return examples.mapInArrow(run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return examples.mapInArrow(run, from_arrow_schema(READ))
 
 
-NAMES = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-TYPES = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
 

@@ -38,6 +38,21 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
 
 
+def arrow_batches(rows, schema, most_rows: int = 4096, most_chars: int = 4_000_000):
+    """Rows (tuples) as record batches bounded by rows and by code points."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(v) for v in row if isinstance(v, str))
+        if len(held) >= most_rows or size >= most_chars:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     survives lost executors, and gives later joins a real size."""
@@ -76,3 +91,6 @@ def connected_components(edges: DataFrame) -> DataFrame:
         e = large_star(e).where("a <> b").distinct()
         e = materialize(small_star(e).where("a <> b").distinct(), "edges")
     return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+ship(__name__)

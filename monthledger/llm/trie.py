@@ -32,13 +32,15 @@ empty result; extra columns are not read.
 from __future__ import annotations
 
 import hashlib
+import itertools
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
-from monthledger.llm.common import materialize, ship, table
+from monthledger.llm.common import arrow_batches, materialize, ship, table
 
 ship(__name__)
 
@@ -46,7 +48,6 @@ ship(__name__)
 LOCAL = 50_000
 #: Bytes of joined ids that one row of the end lists holds.
 CHUNK = 1_000_000
-NODE = "conv_id long, depth long"
 
 
 def turn_digests(conversations: DataFrame) -> DataFrame:
@@ -118,7 +119,7 @@ def _ancestry(paths: DataFrame, nodes: DataFrame) -> DataFrame:
 # ------------------------------------------------- centroid decomposition --
 
 
-def split_locally(depth, parent, weight, values):
+def split_locally(parent, weight, values):
     """Sums of ``values`` (rows of a component, tops first) over each subtree.
 
     ``parent`` holds row numbers, -1 for the top. Components wait on a stack;
@@ -154,37 +155,26 @@ def split_locally(depth, parent, weight, values):
 
 def _finish(state: DataFrame, sums: list[str]) -> DataFrame:
     """Components that fit a task, split there."""
-    names = ["conv_id", "depth", *sums]
+    schema = pa.schema([(n, pa.int64()) for n in ["conv_id", "depth", *sums]])
+    fields = ["top_id", "top_depth", "conv_id", "depth", "above", "weight", *sums, *[f"got_{s}" for s in sums]]
+
+    def sums_of(rows):
+        """Rows (node, sums) of one component; tops come first."""
+        rows, k = list(rows), len(sums)
+        number = {r[2:4]: i for i, r in enumerate(rows)}
+        parent = [-1 if r[2:4] == r[:2] else number[r[4], r[3] - 1] for r in rows]
+        values = np.array([r[6 : 6 + k] for r in rows], np.int64)
+        total = split_locally(parent, [r[5] for r in rows], values) + np.array([r[6 + k :] for r in rows], np.int64)
+        for r, t in zip(rows, total.tolist()):
+            yield *r[2:4], *t
 
     def run(batches):
-        held = []
-
-        def flush():
-            t = pa.Table.from_batches(held).to_pydict()
-            rows = list(zip(t["conv_id"], t["depth"]))
-            number = {r: i for i, r in enumerate(rows)}
-            top = (t["top_id"][0], t["top_depth"][0])
-            parent = [-1 if r == top else number.get((a, r[1] - 1), -1) for r, a in zip(rows, t["above"])]
-            values = np.array([t[s] for s in sums], np.int64).T
-            total = split_locally(t["depth"], parent, t["weight"], values) + np.array([t[f"got_{s}"] for s in sums], np.int64).T
-            columns = [pa.array(t["conv_id"], pa.int64()), pa.array(t["depth"], pa.int64()), *(pa.array(c, pa.int64()) for c in total.T)]
-            return pa.RecordBatch.from_arrays(columns, names=names)
-
-        key = None
-        for b in batches:
-            ids, deep = b.column("top_id").to_numpy(), b.column("top_depth").to_numpy()
-            edges = [0, *(np.flatnonzero((ids[1:] != ids[:-1]) | (deep[1:] != deep[:-1])) + 1), b.num_rows] if b.num_rows else [0]
-            for s, e in zip(edges, edges[1:]):
-                if held and key != (ids[s], deep[s]):
-                    yield flush()
-                    held = []
-                key = (ids[s], deep[s])
-                held.append(b.slice(s, e - s))
-        if held:
-            yield flush()
+        every = itertools.chain.from_iterable(zip(*(b.column(f).to_pylist() for f in fields)) for b in batches)
+        parts = itertools.groupby(every, key=lambda r: r[:2])
+        return arrow_batches(itertools.chain.from_iterable(sums_of(part) for _, part in parts), schema)
 
     dealt = state.repartition("top_id", "top_depth").sortWithinPartitions("top_id", "top_depth", "depth", "conv_id")
-    return dealt.mapInArrow(run, NODE + "".join(f", {s} long" for s in sums))
+    return dealt.mapInArrow(run, from_arrow_schema(schema))
 
 
 def subtree_sums(nodes: DataFrame, ancestry: DataFrame, sums: list[str], local: int = LOCAL) -> DataFrame:
@@ -243,49 +233,44 @@ def subtree_sums(nodes: DataFrame, ancestry: DataFrame, sums: list[str], local:
 def joined_hashes(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     """keys, ends_sha256: SHA-256 of the values of a key in order, joined by
     commas. Ranges of (keys, value) make chunks; a hash is fed chunk by chunk."""
-    types = [f"{k} long" for k in keys]
-
-    def chunks(batches):
-        key, first, parts, size = None, None, [], 0
-
-        def flush():
-            values = [*key, first, ",".join(parts)]
-            return pa.RecordBatch.from_arrays([pa.array([v]) for v in values], names=[*keys, "first", "part"])
+    key_fields = [(k, pa.int64()) for k in keys]
+    part_schema = pa.schema([*key_fields, ("first", pa.int64()), ("part", pa.string())])
+    end_schema = pa.schema([*key_fields, ("ends_sha256", pa.string())])
 
+    def rows_in(batches, *names):
         for b in batches:
-            columns = [b.column(k).to_pylist() for k in [*keys, value]]
-            for *k, v in zip(*columns):
-                if key is not None and (k != key or size >= CHUNK):
-                    yield flush()
-                    parts, size, key = [], 0, None
-                if key is None:
-                    key, first = k, v
-                parts.append(str(v))
-                size += len(parts[-1]) + 1
-        if key is not None:
-            yield flush()
+            yield from zip(*(b.column(n).to_pylist() for n in names))
 
-    def digest(batches):
-        key, h, out = None, None, []
-        for b in batches:
-            for *k, part in zip(*(b.column(c).to_pylist() for c in [*keys, "part"])):
-                if k != key:
-                    if key is not None:
-                        out.append((*key, h.hexdigest()))
-                    key, h = k, hashlib.sha256()
-                else:
-                    h.update(b",")
-                h.update(part.encode())
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=[*keys, "ends_sha256"])
-                out = []
+    def chunks(batches):
+        key, first, parts, size = None, None, [], 0
+        for *k, v in rows_in(batches, *keys, value):
+            if parts and (k != key or size >= CHUNK):
+                yield *key, first, ",".join(parts)
+                parts, size = [], 0
+            if not parts:
+                key, first = k, v
+            parts.append(str(v))
+            size += len(parts[-1]) + 1
+        if parts:
+            yield *key, first, ",".join(parts)
+
+    def digests(batches):
+        key, h = None, None
+        for *k, part in rows_in(batches, *keys, "part"):
+            if k == key:
+                h.update(b",")
+            else:
+                if key is not None:
+                    yield *key, h.hexdigest()
+                key, h = k, hashlib.sha256()
+            h.update(part.encode())
         if key is not None:
-            out.append((*key, h.hexdigest()))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=[*keys, "ends_sha256"])
+            yield *key, h.hexdigest()
 
     parted = rows.repartitionByRange(*keys, value).sortWithinPartitions(*keys, value)
-    parts = parted.select(*keys, value).mapInArrow(chunks, ", ".join([*types, "first long", "part string"]))
-    return parts.repartition(*keys).sortWithinPartitions(*keys, "first").mapInArrow(digest, ", ".join([*types, "ends_sha256 string"]))
+    parts = parted.select(*keys, value).mapInArrow(lambda b: arrow_batches(chunks(b), part_schema), from_arrow_schema(part_schema))
+    dealt = parts.repartition(*keys).sortWithinPartitions(*keys, "first")
+    return dealt.mapInArrow(lambda b: arrow_batches(digests(b), end_schema), from_arrow_schema(end_schema))
 
 
 def trie(turns: DataFrame, local: int = LOCAL) -> DataFrame:

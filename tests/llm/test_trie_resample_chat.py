@@ -93,7 +93,7 @@ def test_split_locally_on_odd_trees():
             for i in range(n - 1, 0, -1):
                 want[parent[i]] += want[i]
                 weight[parent[i]] += weight[i]
-            assert (trie.split_locally([0] * n, parent, weight, np.array(value)) == want).all()
+            assert (trie.split_locally(parent, weight, np.array(value)) == want).all()
 
 
 def test_end_lists_over_many_chunks(spark, monkeypatch):
