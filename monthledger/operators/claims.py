@@ -95,16 +95,16 @@ def _span_aggs() -> list[Column]:
     return [F.min(m), F.max(m), F.min(ftu_m), F.max(ftu_m)]
 
 
-def missing_spans(claims: DataFrame) -> DataFrame:
+def missing_spans(claims: DataFrame, keys: tuple[str, ...] = ("usi",)) -> DataFrame:
     """Per contract: first/last claim month, overall and FTU-only."""
-    return claims.groupBy("usi").agg(*[a.alias(n) for a, n in zip(_span_aggs(), SPAN_COLUMNS)])
+    return claims.groupBy(*keys).agg(*[a.alias(n) for a, n in zip(_span_aggs(), SPAN_COLUMNS)])
 
 
-def with_spans(claims: DataFrame, strategy: str = "join") -> DataFrame:
+def with_spans(claims: DataFrame, strategy: str = "join", keys: tuple[str, ...] = ("usi",)) -> DataFrame:
     if strategy == "join":
-        return claims.join(missing_spans(claims), "usi", "inner")
+        return claims.join(missing_spans(claims, keys), list(keys), "inner")
     if strategy == "window":
-        w = Window.partitionBy("usi")
+        w = Window.partitionBy(*keys)
         return claims.withColumns({n: a.over(w) for a, n in zip(_span_aggs(), SPAN_COLUMNS)})
     raise ValueError(f"unknown span strategy {strategy!r}")
 
@@ -153,10 +153,17 @@ def claim_report(
     classified: DataFrame,
     span_strategy: str = "join",
     period: tuple | None = None,
+    by_network: bool = False,
 ) -> DataFrame:
-    """The 19-column claim report over classified contract months."""
-    rows = with_spans(claim_rows(classified), span_strategy)
+    """The 19-column claim report over classified contract months.
+
+    ``by_network``: contracts of several networks; a span is then that of the
+    contract within its network, and ``network`` is the report's first column.
+    """
+    keys = ("network", "usi") if by_network else ("usi",)
+    rows = with_spans(claim_rows(classified), span_strategy, keys)
     out = rows.withColumns(label_columns()).select(
+        *keys[:-1],
         "payment_status",
         "usi",
         F.col("ctn").alias("mpn"),

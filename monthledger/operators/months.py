@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from monthledger.functions.dates import days_in_month, first_of_month, fiscal_year_start, month_diff
 from monthledger.functions.money import prorate, round_money
-from monthledger.functions.pricing import O2, PriceRiseRules, price_rise
+from monthledger.functions.pricing import O2, PriceRiseRules, price_rise, price_rise_by_network
 from monthledger.operators.copies import collapse_copies
 
 CONTRACT_MONTHS = 36
@@ -81,6 +81,16 @@ def rates_for(rates: DataFrame, operator: str) -> DataFrame:
     return rates.where(F.col("operator") == operator).select(*RATE_COLUMNS, "active_date", "end_date")
 
 
+def rates_by_network(rates: DataFrame, networks: tuple[str, ...]) -> DataFrame:
+    """The card of several networks; ``network`` then is a key of the lookup."""
+    chosen = rates.where(F.col("operator").isin(*networks))
+    return chosen.select(F.col("operator").alias("network"), *RATE_COLUMNS, "active_date", "end_date")
+
+
+def _card_keys(rates: DataFrame) -> list[str]:
+    return ["network"] if "network" in rates.columns else []
+
+
 def rate_months(rates: DataFrame, horizon: Column | None = None) -> DataFrame:
     """Expand each rate row to the first-of-months inside ``[active, end]``.
 
@@ -100,12 +110,27 @@ def rate_months(rates: DataFrame, horizon: Column | None = None) -> DataFrame:
         rates.withColumns({"_first": first, "_last": last})
         .where(F.col("_first") <= F.col("_last"))
         .select(
+            *_card_keys(rates),
             *RATE_COLUMNS,
             F.explode(F.sequence(F.col("_first"), F.col("_last"), F.expr("INTERVAL 1 MONTH"))).alias("claim_month"),
         )
     )
 
 
+def rate_blocks(rates: DataFrame, until: Column) -> DataFrame:
+    """The card as an interval index: a copy of each row for every block (year)
+    that its window touches, up to ``until``, the last month looked up.
+
+    A window of n years makes n + 1 rows however many months it has, and an
+    open end no more than the blocks before ``until``.  ``until`` NULL: none.
+    """
+    whole = rates.where(F.col("active_date").isNotNull() & F.col("end_date").isNotNull())
+    last = F.least("end_date", until)
+    ok = (F.col("active_date") <= last) & until.isNotNull()
+    blocks = F.explode(F.sequence(F.year("active_date"), F.year(last)))
+    return whole.where(ok).withColumn("_block", blocks)
+
+
 def one_rate_per_month(rates: DataFrame, horizon: Column | None = None) -> bool:
     """True when no claim month is covered by two different rate rows.
 
@@ -113,8 +138,9 @@ def one_rate_per_month(rates: DataFrame, horizon: Column | None = None) -> bool:
     at the horizon).  When it holds, the rate join cannot make two month rows
     that differ only in their rates.
     """
-    m = rate_months(rates, horizon).select("claim_month", *RATE_COLUMNS).distinct()
-    return m.groupBy("claim_month").count().where(F.col("count") > 1).limit(1).count() == 0
+    keys = [*_card_keys(rates), "claim_month"]
+    m = rate_months(rates, horizon).select(*keys, *RATE_COLUMNS).distinct()
+    return m.groupBy(*keys).count().where(F.col("count") > 1).limit(1).count() == 0
 
 
 def rate_lookup(
@@ -126,30 +152,44 @@ def rate_lookup(
 ) -> DataFrame:
     """Left-join the rate row valid at each claim month (``active <= m <= end``).
 
-    ``range``    join on the interval predicate, without a hint;
     ``by_month`` and ``auto``: rates expanded to months, then an equi-join on
-    the month, broadcast or not by the size that Spark measures.
+    the month; ``range``: an equi-join on the block of the month and, within
+    it, the interval itself, for cards whose windows are long or not whole
+    months.  Neither has a hint or a nested loop: Spark broadcasts the card or
+    shuffles both sides, by the size it measures.  A card with a ``network``
+    column (``rates_by_network``) is also joined on that.
     Overlapping rate windows duplicate months, as the interval join does;
     with ``copies`` identical rate rows arrive collapsed with their count.
     """
+    keys = _card_keys(rates)
     if strategy == "range":
-        r = rates.select(*RATE_COLUMNS, "active_date", "end_date")
+        r = rates.select(*keys, *RATE_COLUMNS, "active_date", "end_date")
         r = collapse_copies(r, copies) if copies else r
-        cond = (r["active_date"] <= spine["claim_month"]) & (r["end_date"] >= spine["claim_month"])
-        return spine.join(r, cond, "left").drop("active_date", "end_date")
+        until = F.lit(spine.agg(F.max("claim_month")).first()[0]).cast("date") if horizon is None else horizon
+        index = rate_blocks(r, until).alias("r")
+        probe = spine.withColumn("_block", F.year("claim_month")).alias("s")
+        cond = F.col("claim_month").between(F.col("r.active_date"), F.col("r.end_date"))
+        for k in [*keys, "_block"]:
+            cond = cond & (F.col(f"s.{k}") == F.col(f"r.{k}"))
+        added = [c for c in r.columns if c not in (*keys, "active_date", "end_date")]
+        return probe.join(index, cond, "left").select("s.*", *[f"r.{c}" for c in added]).drop("_block")
     if strategy not in ("auto", "by_month"):
         raise ValueError(f"unknown rate lookup strategy {strategy!r}")
     months = rate_months(rates, horizon)
     if copies:
         months = collapse_copies(months, copies)
-    return spine.join(months, "claim_month", "left")
+    return spine.join(months, [*keys, "claim_month"], "left")
 
 
 # --------------------------------------------------------------- commission --
 
 
-def with_uplift(df: DataFrame, rules: PriceRiseRules = O2) -> DataFrame:
-    return df.withColumn("uplifted_mrc", price_rise("gross_mrc", "connection_date", "claim_start_of_fy", rules))
+def with_uplift(df: DataFrame, rules: PriceRiseRules | dict[str, PriceRiseRules] = O2) -> DataFrame:
+    """Uplifted charge by one rule set, or by the row's network's (a dict)."""
+    columns = ("gross_mrc", "connection_date", "claim_start_of_fy")
+    if isinstance(rules, dict):
+        return df.withColumn("uplifted_mrc", price_rise_by_network("network", *columns, rules))
+    return df.withColumn("uplifted_mrc", price_rise(*columns, rules))
 
 
 def first_month_prorata_col() -> Column:
@@ -188,7 +228,7 @@ def with_commission(df: DataFrame) -> DataFrame:
 def priced_months(
     spine: DataFrame,
     rates: DataFrame,
-    rules: PriceRiseRules = O2,
+    rules: PriceRiseRules | dict[str, PriceRiseRules] = O2,
     rate_strategy: str = "auto",
     horizon: Column | None = None,
     copies: str | None = None,

@@ -20,11 +20,11 @@ REVSHARE_DESCRIPTION = "In Contract-71%"
 BASE_OFF = "BASE OFF"
 
 
-def sales_clean(sales: DataFrame, network: str | None = "O2") -> DataFrame:
-    """Activated sales of one network (``None`` keeps every network)."""
+def sales_clean(sales: DataFrame, network: str | tuple[str, ...] | None = "O2") -> DataFrame:
+    """Activated sales of one or several networks (``None`` keeps every row)."""
     cond = F.col("currentorderstatus").isin(*ACTIVE_ORDER_STATUSES) & F.col("activated_date").isNotNull()
     if network is not None:
-        cond = cond & (F.col("network") == network)
+        cond = cond & F.col("network").isin(*((network,) if isinstance(network, str) else network))
     return sales.where(cond).select(
         F.col("opportunitynumber").alias("opportunity_number"),
         "usi",
@@ -79,11 +79,6 @@ def payment_horizon(monthly: DataFrame) -> DataFrame:
     return monthly.agg(m.alias("max_month"), F.last_day(m).alias("horizon_end"))
 
 
-def horizon_month(monthly: DataFrame):
-    """The latest paid month as a scalar subquery Column (evaluated once)."""
-    return monthly.agg(F.max("period_date_converted")).scalar()
-
-
 def upgrades_clean(base_movements: DataFrame, strict: bool = True) -> DataFrame:
     """``BASE OFF`` movements with the upgrade date parsed to a DATE."""
     return base_movements.where(F.col("base_indicator") == BASE_OFF).select(

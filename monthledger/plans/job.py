@@ -9,7 +9,14 @@ Plan shape (each arrow is lazy; Catalyst sees one plan):
                disconnection / upgrade rules
                ⟕ billing status   on (usi, claim_month)
                ⟕ monthly payments on (usi, claim_month)   [pre-aggregated]
-               25-key aggregate → classify → spans by usi → 19-column report
+               25-key aggregate → classify → claim rows ─► staged table
+    staged claim rows ─► spans by usi ─┐
+           └───────────────────────────⟕─► 19-column report
+
+Two tables are staged (``sources.stage``): the payments, aggregated, from whose
+one scan the horizon comes too, and the claim rows, which the spans and the
+report both read.  So each payment feed is scanned once, the reconciliation is
+computed once, and a feed that grows meanwhile cannot show in half a report.
 
 The month rows are shuffled once, on (usi, claim_month): the billing and
 payments joins and the 25-key aggregate all use that partitioning.  It spreads
@@ -22,10 +29,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from monthledger.functions.pricing import PriceRiseRules, rules_for
+from monthledger.functions.pricing import RULES_BY_NETWORK, PriceRiseRules, rules_for
 from monthledger.operators.adjustments import (
     apply_non_billing,
     attach_disconnections,
@@ -35,7 +42,7 @@ from monthledger.operators.adjustments import (
 )
 from monthledger.operators.claims import claim_report, claim_rows, classify
 from monthledger.operators.copies import COPIES, collapse_copies, combined_copies
-from monthledger.operators.months import month_spine, one_rate_per_month, priced_months, rates_for
+from monthledger.operators.months import month_spine, one_rate_per_month, priced_months, rates_by_network, rates_for
 from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
@@ -44,9 +51,14 @@ from monthledger.operators.sources_clean import (
     sales_clean,
     upgrades_clean,
 )
-from monthledger.sources.schemas import CLAIM_REPORT
+from monthledger.sources.schemas import claim_report_schema
+from monthledger.sources.stage import Stage
 from monthledger.sources.tables import SourceLocation, conform, read_source, write_result
 
+#: One network, or several in one pass.
+Networks = str | tuple[str, ...]
+ALL_NETWORKS = tuple(RULES_BY_NETWORK)
+
 
 @dataclass(frozen=True)
 class ReconSources:
@@ -88,11 +100,36 @@ def payment_horizon_value(src: ReconSources):
     return F.lit(latest).cast("date")
 
 
+@dataclass(frozen=True)
+class PaymentSnapshot:
+    """Payments by contract and month, and the latest paid month, of one scan."""
+
+    by_month: DataFrame
+    horizon: Column
+
+
+def payment_snapshot(src: ReconSources, stage: Stage) -> PaymentSnapshot:
+    """Scan both feeds once: the six-key aggregate is written to ``stage``; the
+    horizon (over all payments, also those without a contract) and the
+    payments of the join are read from those files."""
+    monthly = stage.write(monthly_payments(src), "payments")
+    latest = monthly.agg(F.max("period_date_converted")).first()[0]
+    return PaymentSnapshot(payments_by_month(monthly), F.lit(latest).cast("date"))
+
+
+def rate_card(src: ReconSources, network: Networks) -> DataFrame:
+    return rates_for(src.rates, network) if isinstance(network, str) else rates_by_network(src.rates, network)
+
+
+def price_rules(network: Networks) -> PriceRiseRules | dict[str, PriceRiseRules]:
+    return rules_for(network) if isinstance(network, str) else {n: rules_for(n) for n in network}
+
+
 SALES_COLUMNS = ("opportunity_number", "usi", "ctn", "connection_date", "gross_mrc", "network", "product_segment")
 COPY_COUNTS = ["_copies_sale", "_copies_disc", "_copies_upgrade", "_copies_rate", "_copies_billing"]
 
 
-def contracts(src: ReconSources, network: str | None = "O2", collapse: bool = True) -> DataFrame:
+def contracts(src: ReconSources, network: Networks | None = "O2", collapse: bool = True) -> DataFrame:
     """Sales of ``network`` with disconnections and upgrades attached (usi grain).
 
     Every feed arrives collapsed to distinct rows with a copy count, so a hot
@@ -106,14 +143,26 @@ def contracts(src: ReconSources, network: str | None = "O2", collapse: bool = Tr
     return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies=_c("_copies_upgrade", collapse))
 
 
+def spread(contracts: DataFrame) -> DataFrame:
+    """Contracts dealt over as many partitions as the session's shuffles have.
+
+    The months are made from them, up to 36 each, so the contracts' own size
+    (by which adaptive execution would pack them into a few tasks) misleads.
+    The keys are a sale's, not the contract's alone: sales of one hot contract
+    are spread too.
+    """
+    n = int(contracts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return contracts.repartition(n, "opportunity_number", "usi", "connection_date", "gross_mrc")
+
+
 def _c(name: str, collapse: bool) -> str | None:
     return name if collapse else None
 
 
 def adjusted_months(
     src: ReconSources,
-    network: str = "O2",
-    rules: PriceRiseRules | None = None,
+    network: Networks = "O2",
+    rules: PriceRiseRules | dict[str, PriceRiseRules] | None = None,
     rate_strategy: str = "auto",
     collapse: bool = True,
     horizon=None,
@@ -125,11 +174,11 @@ def adjusted_months(
     every copy as its own row instead (``_copies`` is then 1).
     """
     horizon = payment_horizon_value(src) if horizon is None else horizon
-    spine = month_spine(contracts(src, network, collapse), horizon)
+    spine = month_spine(spread(contracts(src, network, collapse)), horizon)
     priced = priced_months(
         spine,
-        rates_for(src.rates, network),
-        rules or rules_for(network),
+        rate_card(src, network),
+        rules or price_rules(network),
         rate_strategy,
         horizon,
         copies=_c("_copies_rate", collapse),
@@ -143,62 +192,86 @@ def adjusted_months(
 
 def classified_months(
     src: ReconSources,
-    network: str = "O2",
-    rules: PriceRiseRules | None = None,
+    network: Networks = "O2",
+    rules: PriceRiseRules | dict[str, PriceRiseRules] | None = None,
     rate_strategy: str = "auto",
     collapse: bool = True,
+    snapshot: PaymentSnapshot | None = None,
 ) -> DataFrame:
     """Every reconciled contract month with its claim type and status.
 
+    ``snapshot``: the payments, already staged; without it they are scanned for
+    the horizon now and for the join when the result is read.
+
     With copies collapsed, every feed that multiplies a contract's months is
     distinct on columns that are themselves contract-month keys, so month rows
     are distinct on the 21 keys unless two different rate rows cover one
     month (they could price a month identically).  When the rate card has no
     such overlap, the 25-key aggregate is an identity and is skipped.
     """
-    horizon = payment_horizon_value(src)
+    horizon = snapshot.horizon if snapshot else payment_horizon_value(src)
     months = adjusted_months(src, network, rules, rate_strategy, collapse, horizon)
-    payments = payments_by_month(monthly_payments(src))
+    payments = snapshot.by_month if snapshot else payments_by_month(monthly_payments(src))
     distinct = (
         collapse
         and rate_strategy in ("auto", "by_month")
-        and one_rate_per_month(rates_for(src.rates, network), horizon)
+        and one_rate_per_month(rate_card(src, network), horizon)
     )
     return classify(reconcile_payments(months, payments, copies=COPIES, distinct_months=distinct))
 
 
-def _materialized_claims(classified: DataFrame, claims_path: str) -> DataFrame:
-    """Write the claim rows to ``claims_path`` and read them back: the spans
-    and the report then read a table instead of recomputing the
-    reconciliation twice, and the lineage is cut at that point."""
-    rows = claim_rows(classified)
-    rows.write.mode("overwrite").parquet(claims_path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(claims_path)
+#: What the spans and the report need of a claim row.
+CLAIM_COLUMNS = (
+    "network", "usi", "ctn", "opportunity_number", "connection_date", "product_segment", "claim_month", "claim_type",
+    "payment_status", "ftu_flag", "expected_commission", "adjusted_commission", "commission_paid", "lvl5", "sos_code",
+    "input_filter",
+)
+
+
+def staged_claims(
+    src: ReconSources,
+    stage: Stage,
+    network: Networks = "O2",
+    rate_strategy: str = "auto",
+    rules: PriceRiseRules | dict[str, PriceRiseRules] | None = None,
+    collapse: bool = True,
+) -> DataFrame:
+    """The claim rows (missing or underpaid months), computed once and written
+    to ``stage``; payments are staged before them."""
+    snapshot = payment_snapshot(src, stage)
+    classified = classified_months(src, network, rules, rate_strategy, collapse, snapshot)
+    return stage.write(claim_rows(classified).select(*CLAIM_COLUMNS), "claims")
 
 
 def reconcile(
     src: ReconSources,
-    network: str = "O2",
-    span_strategy: str = "join",
+    network: Networks = "O2",
+    span_strategy: str = "staged",
     rate_strategy: str = "auto",
     period: tuple | None = None,
-    rules: PriceRiseRules | None = None,
+    rules: PriceRiseRules | dict[str, PriceRiseRules] | None = None,
     collapse: bool = True,
-    claims_path: str | None = None,
+    stage: Stage | None = None,
 ) -> DataFrame:
     """The claim report: months to claim for, with first/last missing months.
 
-    ``span_strategy``: ``join`` (map-side combined aggregate, joined back),
-    ``window`` (one pass, but a contract is one window group) or
-    ``materialized`` (claim rows written to ``claims_path``, a new folder that
-    all executors share, then as ``join``; the caller deletes it after use).
+    ``network``: one network, or a tuple of them for one pass over all (rates
+    and price rises then go by the row's network, spans by contract within its
+    network, and ``network`` is the first column).
+
+    ``span_strategy``: ``staged`` writes the payments and the claim rows to
+    ``stage`` (default: a stage of its own, deleted when the driver ends) and
+    builds the spans and the report from those files; ``join`` is lazy and
+    computes the reconciliation for both branches; ``window`` is lazy and one
+    pass, but a contract is one window group.
     """
-    if span_strategy == "materialized" and not claims_path:
-        raise ValueError("span_strategy='materialized' needs claims_path, a folder that all executors share")
+    several = not isinstance(network, str)
+    if span_strategy == "staged":
+        stage = stage or Stage(src.sales.sparkSession)
+        rows = staged_claims(src, stage, network, rate_strategy, rules, collapse)
+        return claim_report(rows, "join", period, several)
     classified = classified_months(src, network, rules, rate_strategy, collapse)
-    if span_strategy == "materialized":
-        return claim_report(_materialized_claims(classified, claims_path), "join", period)
-    return claim_report(classified, span_strategy, period)
+    return claim_report(classified, span_strategy, period, several)
 
 
 def run_reconciliation(
@@ -210,8 +283,10 @@ def run_reconciliation(
 ) -> DataFrame:
     """Build the report and materialise it as ``target`` (or Parquet at ``path``).
 
-    The same job publishes the second copy by passing another target.
+    The same job publishes the second copy by passing another target.  The
+    stage lives as long as this call.
     """
-    report = conform(reconcile(src, **kw), CLAIM_REPORT)
-    write_result(report, target, path=path)
+    with Stage(spark) as stage:
+        report = reconcile(src, **{"stage": stage, **kw})
+        write_result(conform(report, claim_report_schema("network" in report.columns)), target, path=path)
     return spark.read.parquet(path) if path is not None else spark.table(target)

@@ -15,17 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from monthledger.functions.pricing import VODAFONE, price_rise, price_rise_exclusive, price_rise_simple_accrual
-from monthledger.operators.claims import classify, label_columns
+from monthledger.operators.claims import claim_rows, label_columns, missing_spans
 from monthledger.operators.months import (
     month_spine,
     priced_months,
     rate_lookup,
+    rates_by_network,
     rates_for,
     with_calendar,
     with_prorata_days,
 )
-from monthledger.operators.copies import COPIES
-from monthledger.operators.reconcile import payments_by_month, reconcile_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
     payment_horizon,
@@ -34,15 +33,19 @@ from monthledger.operators.sources_clean import (
     upgrades_clean,
 )
 from monthledger.plans.job import (
+    ALL_NETWORKS,
+    Networks,
     ReconSources,
     adjusted_months,
     classified_months,
     monthly_payments,
     payment_horizon_value,
+    payment_snapshot,
     reconcile,
 )
 from monthledger.plans.oracle import CLAIMS_PERIOD
 from monthledger.sources.fixtures import fixture_sources
+from monthledger.sources.stage import Stage
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -193,8 +196,9 @@ def _fiscal_year_start(src):
 
 @query("rate_lookup")
 def _rate_lookup(src):
-    """Rate row valid at the claim month (interval join)."""
-    df = rate_lookup(_horizon_spine(src), rates_for(src.rates, "O2"), "range")
+    """Rate row valid at the claim month (interval index and interval)."""
+    horizon = payment_horizon_value(src)
+    df = rate_lookup(_horizon_spine(src, horizon=horizon), rates_for(src.rates, "O2"), "range", horizon)
     return df.select(*CM, "vat", "commission_rate_1", "commission_rate_2")
 
 
@@ -302,9 +306,13 @@ def _apply_non_billing(src):
 
 
 # --------------------------------------------------------- reconciliation --
+def _staged(src: ReconSources, network: Networks = "O2") -> DataFrame:
+    """Every classified month over payments staged once."""
+    return classified_months(src, network, snapshot=payment_snapshot(src, Stage(src.sales.sparkSession)))
+
+
 def _reconciled(src: ReconSources) -> DataFrame:
-    payments = payments_by_month(monthly_payments(src))
-    return reconcile_payments(adjusted_months(src), payments, copies=COPIES)
+    return _staged(src)
 
 
 @query("reconcile_payments")
@@ -335,7 +343,7 @@ def _payment_key(src):
 @query("adjusted_commission")
 def _adjusted_commission(src):
     """Disconnection adjustment of the final amount."""
-    return classify(_reconciled(src)).select(
+    return _reconciled(src).select(
         *CM, *PAY_KEYS, "disconnection_date", "final_expected_commission", "adjusted_commission"
     )
 
@@ -343,7 +351,7 @@ def _adjusted_commission(src):
 @query("claim_type")
 def _claim_type(src):
     """Claim type."""
-    return classified_months(src).select(
+    return _staged(src).select(
         *CM, *PAY_KEYS, "adjusted_commission", "commission_paid", "variance", "claim_type"
     )
 
@@ -351,7 +359,7 @@ def _claim_type(src):
 @query("payment_status")
 def _payment_status(src):
     """Payment status."""
-    return classified_months(src).select(
+    return _staged(src).select(
         *CM, *PAY_KEYS, "claim_type", "last_upgrade_date", "billed_status", "payment_status"
     )
 
@@ -359,14 +367,12 @@ def _payment_status(src):
 @query("missing_flag")
 def _missing_flag(src):
     """Missing-payment 0/1 flag."""
-    return classified_months(src).select(*CM, *PAY_KEYS, "test")
+    return _staged(src).select(*CM, *PAY_KEYS, "test")
 
 
 def _spans(src: ReconSources, ftu_only: bool) -> DataFrame:
-    from monthledger.operators.claims import claim_rows, missing_spans
-
-    claims = claim_rows(classified_months(src))
-    spans = missing_spans(claims)
+    snapshot = payment_snapshot(src, Stage(src.sales.sparkSession))
+    spans = missing_spans(claim_rows(classified_months(src, snapshot=snapshot)))
     if ftu_only:
         return spans.where(F.col("firstmissingftucompensationmonth").isNotNull()).select(
             "usi",
@@ -396,7 +402,7 @@ def _missing_span_ftu(src):
 def _claim_labels(src):
     """Report labels on every classified month."""
     return (
-        classified_months(src)
+        _staged(src)
         .withColumns(label_columns())
         .select(*CM, *PAY_KEYS, "claim_type", "paymenttype", "eventtype", "comment", "level5code", "soscode")
     )
@@ -414,5 +420,20 @@ def _reconcile_claims(src):
     return reconcile(src)
 
 
+@query("reconcile_all_networks")
+def _reconcile_all_networks(src):
+    """The claim report of every network in one pass."""
+    return reconcile(src, network=ALL_NETWORKS)
+
+
+@query("rate_lookup_all_networks")
+def _rate_lookup_all_networks(src):
+    """Rates by (network, month block) for the sales of all networks."""
+    horizon = payment_horizon_value(src)
+    spine = _horizon_spine(src, ALL_NETWORKS, horizon)
+    df = rate_lookup(spine, rates_by_network(src.rates, ALL_NETWORKS), "range", horizon)
+    return df.select("network", *CM, "vat", "commission_rate_1", "commission_rate_2")
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -99,6 +99,12 @@ CLAIM_REPORT = _schema(
     ("input_filter", T.DateType()),
 )
 
+
+def claim_report_schema(by_network: bool = False) -> T.StructType:
+    """The report's schema; that of several networks starts with the network."""
+    return T.StructType([T.StructField("network", S), *CLAIM_REPORT.fields]) if by_network else CLAIM_REPORT
+
+
 # Logical source name -> schema.  The dealer statement is declared upstream
 # but read by no step of the job, so it has no schema and no reader.
 SOURCE_SCHEMAS: dict[str, T.StructType] = {

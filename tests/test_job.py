@@ -16,6 +16,7 @@ from monthledger.operators import months as M
 from monthledger.operators.claims import claim_rows, missing_spans
 from monthledger.sources import schemas as S
 from monthledger.sources.fixtures import RATE_CARD, fixture_sources
+from monthledger.sources.stage import Stage
 from monthledger.sources.tables import conform
 from conftest import SMALL_SF
 
@@ -188,14 +189,109 @@ def _rows(df):
     return Counter(tuple(r) for r in df.collect())
 
 
-def test_span_strategies_agree(spark, small, tmp_path):
+def test_span_strategies_agree(spark, small):
     base = _rows(job.reconcile(small, span_strategy="window"))
     assert base
     assert _rows(job.reconcile(small, span_strategy="join")) == base
-    path = str(tmp_path / "claims")
-    assert _rows(job.reconcile(small, span_strategy="materialized", claims_path=path)) == base
-    with pytest.raises(ValueError, match="claims_path"):
-        job.reconcile(small, span_strategy="materialized")
+    assert _rows(job.reconcile(small)) == base
+
+
+def test_staged_report_is_computed_once_from_two_files(spark, small, tmp_path):
+    """The report's plan reads the staged claims for both branches: no month is
+    generated and no feed scanned again; the folder goes with its stage."""
+    with Stage(spark, str(tmp_path)) as stage:
+        report = job.reconcile(small, stage=stage)
+        plan = _plan(report)
+        assert "Generate" not in plan and all(f"{stage.path}/claims/" in f for f in report.inputFiles())
+        assert sorted(x.name for x in next(tmp_path.iterdir()).iterdir()) == ["claims", "payments"]
+        assert report.count() > 0
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_a_run_leaves_no_stage(spark, tmp_path, monkeypatch):
+    src = sources(spark, sales=[sale("1")], postpay=[pay("1", "Mar-23", "1.00")])
+    monkeypatch.setattr("monthledger.sources.stage.shared_base", lambda _: str(tmp_path / "shared"))
+    job.run_reconciliation(spark, src, "report", path=str(tmp_path / "out"))
+    assert list((tmp_path / "shared").iterdir()) == []
+    with pytest.raises(ValueError, match="rate lookup"):
+        job.run_reconciliation(spark, src, "report", path=str(tmp_path / "out"), rate_strategy="none")
+    assert list((tmp_path / "shared").iterdir()) == []
+
+
+def test_a_feed_that_grows_cannot_show_in_half_a_report(spark, tmp_path):
+    src = sources(spark, sales=[sale("1"), sale("2")])
+    path = str(tmp_path / "postpay")
+    first = conform(spark.createDataFrame([pay("1", "Mar-23", "1.00")], S.POSTPAY), S.POSTPAY)
+    first.write.parquet(path)
+    grown = ReconSources(**{**src.__dict__, "postpay": spark.read.parquet(path)})
+    report = job.reconcile(grown)
+    want = _rows(job.reconcile(ReconSources(**{**src.__dict__, "postpay": first})))
+    conform(spark.createDataFrame([pay("2", "Sep-23", "99.00")], S.POSTPAY), S.POSTPAY).write.mode("append").parquet(path)
+    assert _rows(report) == want and want
+
+
+def test_payment_feeds_are_scanned_once(spark, tmp_path):
+    src = sources(spark, postpay=[pay("1", "Mar-23", "1.00")], ftu=[("1", "Apr-23", Decimal("2.00"), "m", "5L1", "R1")])
+    reads = spark.sparkContext.accumulator(0)
+    counted = src.postpay.mapInPandas(lambda it: (reads.add(len(x)) or x for x in it), src.postpay.schema)
+    with Stage(spark, str(tmp_path)) as stage:
+        snap = job.payment_snapshot(ReconSources(**{**src.__dict__, "postpay": counted}), stage)
+        assert snap.by_month.count() == 2 and reads.value == 1
+        assert spark.range(1).select(snap.horizon).first()[0] == d("2023-04-01")
+        none = job.payment_snapshot(sources(spark), Stage(spark, str(tmp_path)))
+        assert none.by_month.count() == 0 and spark.range(1).select(none.horizon).first()[0] is None
+
+
+def test_all_networks_equal_the_runs_of_each(spark, small):
+    every = job.reconcile(small, network=job.ALL_NETWORKS)
+    single = Counter((n, *r) for n in job.ALL_NETWORKS for r in job.reconcile(small, network=n).collect())
+    assert _rows(every) == single and len({k[0] for k in single}) == 2
+
+
+def test_one_contract_id_in_two_networks(spark):
+    src = sources(
+        spark,
+        sales=[sale("1", "2023-01-10"), sale("1", "2023-06-10", net="Vodafone"), sale("3", net="Other"), sale("4", net=None)],
+        postpay=[pay("1", "Sep-23", "0.00")],
+    )
+    every = job.reconcile(src, network=("O2", "Vodafone"))
+    single = Counter((n, *r) for n in ("O2", "Vodafone") for r in job.reconcile(src, network=n).collect())
+    assert _rows(every) == single
+    first = {(r.network, r.first_missing_revenue_share_month) for r in every.collect()}
+    assert first == {("O2", d("2023-01-01")), ("Vodafone", d("2023-06-01"))}
+
+
+def test_interval_index_over_a_million_rates(spark):
+    """10^6 rate rows of 5,000 networks, each with 200 windows of half a month."""
+    one = "cast(0.2 as decimal(6,4))"
+    rates = spark.range(10**6).selectExpr(
+        "concat('n', id % 5000) as network", f"{one} as vat", "cast(id / 5000 as int) as commission_rate_1", f"{one} as commission_rate_2",
+        "date_add(date'2018-01-01', cast(id / 5000 as int) * 15) as active_date", "date_add(date'2018-01-01', cast(id / 5000 as int) * 15 + 14) as end_date",
+    )
+    spine = spark.range(20_000).selectExpr("concat('n', id % 6000) as network", "add_months(date'2017-11-01', cast(id % 120 as int)) as claim_month")
+    got = M.rate_lookup(spine, rates, "range", F.lit(d("2027-12-01")))
+    assert "NestedLoop" not in _plan(got) and "Cartesian" not in _plan(got)
+    window = F.floor(F.datediff("claim_month", F.lit(d("2018-01-01"))) / 15)
+    known = (F.substring("network", 2, 9).cast("int") < 5000) & window.between(0, 199)
+    assert got.count() == 20_000
+    assert got.where(~F.col("commission_rate_1").eqNullSafe(F.when(known, window))).count() == 0
+
+
+@pytest.mark.parametrize("cap", [d("2024-06-01"), None])
+def test_interval_index_keeps_long_open_and_partial_windows(spark, cap):
+    def row(rate, a, e):
+        return ("n", Decimal("0.2"), Decimal(rate), Decimal("0.1"), a and d(a), e and d(e))
+
+    rates = spark.createDataFrame(
+        [row("0.1", "1900-01-01", "9999-12-31"), row("0.2", "2023-03-02", "2023-05-01"), row("0.3", "2023-12-01", "2024-01-01"), row("0.4", "2024-02-01", "2023-02-01"), row("0.5", None, "2024-01-01")],
+        "network string, vat decimal(6,4), commission_rate_1 decimal(6,4), commission_rate_2 decimal(6,4), active_date date, end_date date",
+    )
+    spine = spark.range(24).selectExpr("'n' as network", "add_months(date'2022-07-01', cast(id as int)) as claim_month")
+    got = M.rate_lookup(spine, rates, "range", None if cap is None else F.lit(cap)).groupBy("claim_month").agg(F.sort_array(F.collect_list("commission_rate_1")).alias("r"))
+    for r in got.collect():
+        want = [x.commission_rate_1 for x in rates.collect() if x.active_date and x.active_date <= r.claim_month <= x.end_date]
+        assert r.r == sorted(want)
+    assert M.rate_lookup(spine.limit(0), rates, "range").count() == 0
 
 
 def test_rate_lookup_forms_agree(spark, small):
