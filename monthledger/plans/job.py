@@ -42,8 +42,10 @@ from monthledger.operators.adjustments import (
 )
 from monthledger.operators.claims import claim_report, claim_rows, classify
 from monthledger.operators.copies import COPIES, collapse_copies, combined_copies
+from monthledger.operators.latest import latest_feeds
 from monthledger.operators.months import month_spine, one_rate_per_month, priced_months, rates_by_network, rates_for
 from monthledger.operators.reconcile import payments_by_month, reconcile_payments
+from monthledger.operators.rejects import rejected_payments
 from monthledger.operators.sources_clean import (
     non_billing_clean,
     payments_monthly,
@@ -53,7 +55,7 @@ from monthledger.operators.sources_clean import (
 )
 from monthledger.sources.schemas import claim_report_schema
 from monthledger.sources.stage import Stage
-from monthledger.sources.tables import SourceLocation, conform, read_source, write_result
+from monthledger.sources.tables import SourceLocation, conform, read_published, read_source, refresh_partitions, write_result
 
 #: One network, or several in one pass.
 Networks = str | tuple[str, ...]
@@ -70,6 +72,10 @@ class ReconSources:
     disconnections: DataFrame
     base_movements: DataFrame
     rates: DataFrame
+    #: Readings of ``base_movements`` that take its place, where given
+    #: (``operators.latest``): ``upgrades_clean`` rows, and billing statuses.
+    upgrades: DataFrame | None = None
+    billing: DataFrame | None = None
 
     @staticmethod
     def read(spark: SparkSession, locations: dict[str, SourceLocation | str]) -> "ReconSources":
@@ -140,7 +146,8 @@ def contracts(src: ReconSources, network: Networks | None = "O2", collapse: bool
     if collapse:
         sales = collapse_copies(sales, "_copies_sale")
     with_disc = attach_disconnections(sales, src.disconnections, copies=_c("_copies_disc", collapse))
-    return attach_upgrades(with_disc, upgrades_clean(src.base_movements), copies=_c("_copies_upgrade", collapse))
+    upgrades = upgrades_clean(src.base_movements) if src.upgrades is None else src.upgrades
+    return attach_upgrades(with_disc, upgrades, copies=_c("_copies_upgrade", collapse))
 
 
 def spread(contracts: DataFrame) -> DataFrame:
@@ -184,7 +191,7 @@ def adjusted_months(
         copies=_c("_copies_rate", collapse),
     )
     adjusted = with_upgrade_rules(with_disconnection_rule(priced))
-    nb = non_billing_clean(src.base_movements)
+    nb = non_billing_clean(src.base_movements if src.billing is None else src.billing)
     months = apply_non_billing(adjusted, nb, copies=_c("_copies_billing", collapse))
     present = [c for c in COPY_COUNTS if c in months.columns]
     return months.withColumn(COPIES, combined_copies(present) if present else F.lit(1).cast("long")).drop(*present)
@@ -252,6 +259,7 @@ def reconcile(
     rules: PriceRiseRules | dict[str, PriceRiseRules] | None = None,
     collapse: bool = True,
     stage: Stage | None = None,
+    latest: bool = False,
 ) -> DataFrame:
     """The claim report: months to claim for, with first/last missing months.
 
@@ -264,8 +272,12 @@ def reconcile(
     builds the spans and the report from those files; ``join`` is lazy and
     computes the reconciliation for both branches; ``window`` is lazy and one
     pass, but a contract is one window group.
+
+    ``latest``: of repeated disconnections, upgrades and billing statuses only
+    the last counts (``operators.latest``), instead of each making its own rows.
     """
     several = not isinstance(network, str)
+    src = latest_feeds(src) if latest else src
     if span_strategy == "staged":
         stage = stage or Stage(src.sales.sparkSession)
         rows = staged_claims(src, stage, network, rate_strategy, rules, collapse)
@@ -274,19 +286,37 @@ def reconcile(
     return claim_report(classified, span_strategy, period, several)
 
 
+MONTH = "input_filter"
+
+
 def run_reconciliation(
     spark: SparkSession,
     src: ReconSources,
     target: str,
     path: str | None = None,
+    by_month: bool = False,
+    rejects: str | None = None,
     **kw,
 ) -> DataFrame:
     """Build the report and materialise it as ``target`` (or Parquet at ``path``).
 
-    The same job publishes the second copy by passing another target.  The
-    stage lives as long as this call.
+    The same job publishes the second copy by passing another target.  The old
+    result stands until the new one is whole.  ``by_month`` makes one partition
+    a month, which the optional period window then prunes; with ``period`` and
+    an existing ``path`` the run replaces the months it has rows of and leaves
+    the others.  ``rejects``: a path for the payments that meet no contract
+    month.  The stage lives as long as this call.
     """
     with Stage(spark) as stage:
         report = reconcile(src, **{"stage": stage, **kw})
-        write_result(conform(report, claim_report_schema("network" in report.columns)), target, path=path)
-    return spark.read.parquet(path) if path is not None else spark.table(target)
+        result = conform(report, claim_report_schema("network" in report.columns))
+        if by_month and path is not None and kw.get("period") is not None:
+            refresh_partitions(result, path, MONTH)
+        else:
+            write_result(result, target, path=path, partition=MONTH if by_month else None)
+        if rejects is not None:
+            sales = sales_clean(src.sales, kw.get("network", "O2"))
+            write_result(rejected_payments(payments_union(src.postpay, src.ftu), sales), "rejects", path=rejects)
+    if path is None:
+        return spark.table(target).select(*result.columns)
+    return read_published(spark, path, result.schema, MONTH)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from monthledger.functions.pricing import VODAFONE, price_rise, price_rise_exclusive, price_rise_simple_accrual
 from monthledger.operators.claims import claim_rows, label_columns, missing_spans
+from monthledger.operators.latest import latest_billing, latest_disconnections, latest_upgrades
 from monthledger.operators.months import (
     month_spine,
     priced_months,
@@ -25,6 +26,7 @@ from monthledger.operators.months import (
     with_calendar,
     with_prorata_days,
 )
+from monthledger.operators.rejects import rejection_counts, with_rejection
 from monthledger.operators.sources_clean import (
     non_billing_clean,
     payment_horizon,
@@ -42,10 +44,12 @@ from monthledger.plans.job import (
     payment_horizon_value,
     payment_snapshot,
     reconcile,
+    run_reconciliation,
 )
 from monthledger.plans.oracle import CLAIMS_PERIOD
-from monthledger.sources.fixtures import fixture_sources
+from monthledger.sources.fixtures import fixture_sources, repeated_sources, skewed_sources
 from monthledger.sources.stage import Stage
+from monthledger.sources.tables import read_published
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -64,10 +68,10 @@ def for_check(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str):
+def query(name: str, feeds: Callable[[SparkSession, str], ReconSources] = fixture_sources):
     def deco(fn: Callable[[ReconSources], DataFrame]) -> Callable:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return for_check(fn(fixture_sources(spark, sf_dir)))
+            return for_check(fn(feeds(spark, sf_dir)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -414,6 +418,16 @@ def _claims_in_period(src):
     return reconcile(src, period=CLAIMS_PERIOD)
 
 
+@query("claims_published")
+def _claims_published(src):
+    """K1, F8: the report published by month, the window read back from its months."""
+    spark = src.sales.sparkSession
+    stage = Stage(spark)
+    path = f"{stage.path}/published"
+    published = run_reconciliation(spark, src, "claims", path=path, by_month=True, stage=stage)
+    return read_published(spark, path, published.schema, "input_filter", *CLAIMS_PERIOD)
+
+
 @query("reconcile_claims")
 def _reconcile_claims(src):
     """The full claim report (flagship)."""
@@ -435,5 +449,59 @@ def _rate_lookup_all_networks(src):
     return df.select("network", *CM, "vat", "commission_rate_1", "commission_rate_2")
 
 
+# ------------------------------------------------- repeated and skewed feeds --
+@query("latest_disconnections", repeated_sources)
+def _latest_disconnections(src):
+    """The last disconnection of each contract."""
+    return latest_disconnections(src.disconnections)
+
+
+@query("latest_upgrades", repeated_sources)
+def _latest_upgrades(src):
+    """The last upgrade of each contract."""
+    return latest_upgrades(upgrades_clean(src.base_movements))
+
+
+@query("latest_billing", repeated_sources)
+def _latest_billing(src):
+    """The last billing status of each contract and period."""
+    return latest_billing(src.base_movements)
+
+
+@query("reconcile_latest", repeated_sources)
+def _reconcile_latest(src):
+    """The claim report where the last of repeated feed rows counts."""
+    return reconcile(src, latest=True)
+
+
+@query("reconcile_repeated", repeated_sources)
+def _reconcile_repeated(src):
+    """The same feeds with every repeated row counted."""
+    return reconcile(src)
+
+
+@query("reconcile_skewed", skewed_sources)
+def _reconcile_skewed(src):
+    """A contract with a fifth of all rows, copies, overlapping rates."""
+    return reconcile(src)
+
+
+# ------------------------------------------------------------ rejected rows --
+def _judged(src: ReconSources) -> DataFrame:
+    return with_rejection(payments_union(src.postpay, src.ftu), sales_clean(src.sales))
+
+
+@query("rejected_payments")
+def _rejected_payments(src):
+    """Payments that meet no contract month, with the reason."""
+    return _judged(src).where(F.col("reason").isNotNull())
+
+
+@query("rejection_counts", skewed_sources)
+def _rejection_counts(src):
+    """Payment lines and amounts by reason, over the skewed feeds."""
+    return rejection_counts(_judged(src))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -10,6 +10,7 @@ each feed is a DataFrame over the Parquet scans, so it grows with the tables.
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,3 +127,71 @@ def fixture_sources(spark: SparkSession, sf_dir: str) -> ReconSources:
         base_movements=base_movements,
         rates=rates,
     )
+
+
+def repeated_sources(spark: SparkSession, sf_dir: str) -> ReconSources:
+    """The feeds with several disconnections and base movements a contract.
+
+    One row per order line instead of one per order.  Lines 1 and 4 disconnect
+    on the same day for different reasons; movements of a contract share
+    periods and, at times, dates.
+    """
+    src = fixture_sources(spark, sf_dir)
+    line, key = F.col("l_linenumber").cast("int"), F.col("l_orderkey")
+    lines = _payment_lines(spark, sf_dir, _orders(spark, sf_dir)).select("l_orderkey", "l_linenumber", "d")
+    disconnections = lines.where(key % 7 == 0).select(
+        key.cast("string").alias("usi"),
+        F.date_add(F.add_months("d", (key % 40).cast("int")), (line * 10) % 30).alias("disconnection_date"),
+        F.concat(F.lit("line "), line.cast("string")).alias("disconnection_reason"),
+    )
+    base_movements = lines.where(key % 5 == 0).select(
+        key.cast("string").alias("usi"),
+        F.date_format(F.add_months("d", (key % 33 + line % 3).cast("int")), "dd/MM/yyyy HH:mm").alias("last_upgrade_date"),
+        F.concat(F.lit("channel "), line.cast("string")).alias("upgrade_channel"),
+        F.when(key % 10 == 0, "BASE OFF").otherwise("BASE ON").alias("base_indicator"),
+        F.date_format(F.add_months("d", (key % 11 + line % 2).cast("int")), "yyyyMM").cast("int").alias("period"),
+        F.when((key + line) % 3 == 0, "NON BILLED").otherwise("BILLED").alias("billed_status"),
+    )
+    return replace(src, disconnections=disconnections, base_movements=base_movements)
+
+
+HOT_CONTRACT = "HOT"
+#: Rate rows that overlap the card: another rate, and one that prices alike.
+OVERLAPPING_RATES = [
+    ("O2", Decimal("0.20"), Decimal("0.60"), Decimal("0.30"), dt.date(2023, 3, 1), dt.date(2023, 5, 31)),
+    ("O2", Decimal("0.20"), Decimal("0.70"), Decimal("0.30"), dt.date(2023, 9, 1), dt.date(2023, 10, 31)),
+]
+
+
+def skewed_sources(spark: SparkSession, sf_dir: str) -> ReconSources:
+    """The feeds with a hot contract, copies and overlapping rates.
+
+    Every fifth order's sale and payments belong to one contract, ``HOT``,
+    whose payments carry one pair of codes; it also has the disconnections and
+    movements of the few orders below 64.  A third of the sales and of the
+    disconnections stand there twice.
+    """
+    src = fixture_sources(spark, sf_dir)
+    hot = F.col("usi").cast("long") % 5 == 0
+
+    def with_hot(df: DataFrame, *codes: str) -> DataFrame:
+        own = {"usi": F.when(hot, HOT_CONTRACT).otherwise(F.col("usi"))}
+        return df.withColumns({**{c: F.when(hot, "H1").otherwise(F.col(c)) for c in codes}, **own})
+
+    def doubled(df: DataFrame) -> DataFrame:
+        third = F.col("usi").cast("long") % 3 == 0
+        return df.withColumn("_n", F.explode(F.when(third, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_n")
+
+    def few_hot(df: DataFrame) -> DataFrame:
+        number = F.col("usi").cast("long")
+        return with_hot(df.where((number % 5 != 0) | (number < 64)))
+
+    return replace(
+        src,
+        sales=with_hot(doubled(src.sales)),
+        postpay=with_hot(src.postpay, "lvl5", "sos_code"),
+        ftu=with_hot(src.ftu, "level5", "soscode"),
+        disconnections=few_hot(doubled(src.disconnections)),
+        base_movements=few_hot(src.base_movements),
+        rates=conform(spark.createDataFrame(RATE_CARD + OVERLAPPING_RATES, RATES), RATES),
+    )

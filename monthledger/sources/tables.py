@@ -6,13 +6,16 @@ other column at the Parquet scan and pushes the job's filters into it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from monthledger.functions.dates import date_lit
 from monthledger.sources.schemas import SOURCE_SCHEMAS
+from monthledger.sources.stage import file_system
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -55,21 +58,92 @@ def read_source(spark: SparkSession, name: str, where: SourceLocation | str) ->
     return conform(df, schema)
 
 
-def write_result(df: DataFrame, target: str, mode: str = "overwrite", path: str | None = None) -> None:
+def _swap_path(df: DataFrame, path: str, partition: str | None) -> None:
+    """Write beside ``path``, then take its place: until the new files are
+    whole the old ones stand, and a failed rename puts them back."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    new, old = (f"{path}.{kind}-{uuid.uuid4().hex}" for kind in ("new", "old"))
+    fs, at = file_system(spark, path)
+    new_at, old_at = file_system(spark, new)[1], file_system(spark, old)[1]
+    fs.mkdirs(new_at)
+    fs.deleteOnExit(new_at)  # tasks of a failed write may put files there after the delete below
+    try:
+        writer = df.write.mode("overwrite")
+        (writer.partitionBy(partition) if partition else writer).parquet(new)
+        had = fs.exists(at)
+        if had and not fs.rename(at, old_at):
+            raise OSError(f"could not move {path} aside")
+        if not fs.rename(new_at, at):
+            if had:
+                fs.rename(old_at, at)
+            raise OSError(f"could not move the new result to {path}")
+        fs.delete(old_at, True)
+    finally:
+        fs.delete(new_at, True)
+
+
+def _swap_table(df: DataFrame, target: str, partition: str | None) -> None:
+    """The same with tables: a new table, two renames, one drop."""
+    spark = df.sparkSession
+    schema, _, name = target.rpartition(".")
+    if schema:
+        spark.sql(f"create schema if not exists {schema}")
+    mark = uuid.uuid4().hex
+    new, old = (f"{schema}.{name}_{kind}_{mark}".lstrip(".") for kind in ("new", "old"))
+    try:
+        writer = df.write.mode("error")
+        (writer.partitionBy(partition) if partition else writer).saveAsTable(new)
+        had = spark.catalog.tableExists(target)
+        if had:
+            spark.sql(f"alter table {target} rename to {old}")
+        try:
+            spark.sql(f"alter table {new} rename to {target}")
+        except Exception:
+            if had:
+                spark.sql(f"alter table {old} rename to {target}")
+            raise
+        spark.sql(f"drop table if exists {old}")
+    finally:
+        spark.sql(f"drop table if exists {new}")
+
+
+def write_result(df: DataFrame, target: str, mode: str = "overwrite", path: str | None = None, partition: str | None = None) -> None:
     """Materialise a result as a table (``schema.name``) or as Parquet files.
 
     Both published outputs of the job are this call with another ``target``;
-    the target's schema is created if it is not there.
+    the target's schema is created if it is not there.  ``overwrite`` writes
+    the new result whole before it takes the old one's place; other modes are
+    Spark's own.  ``partition``: one folder a value of this column, rows of a
+    value brought together (a large value split) before they are written.
     """
+    if partition:
+        df = df.hint("rebalance", partition)
+    if mode == "overwrite":
+        return _swap_path(df, path, partition) if path is not None else _swap_table(df, target, partition)
     writer = df.write.mode(mode)
+    writer = writer.partitionBy(partition) if partition else writer
     if path is not None:
         writer.parquet(path)
     else:
-        if "." in target:
-            df.sparkSession.sql(f"create schema if not exists {target.rpartition('.')[0]}")
         writer.saveAsTable(target)
 
 
+def refresh_partitions(df: DataFrame, path: str, partition: str) -> None:
+    """Replace only the partitions that ``df`` has rows of; Spark stages them
+    and moves them at the job's end, so a failed job changes nothing."""
+    df.hint("rebalance", partition).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+
+
+def read_published(spark: SparkSession, path: str, schema: T.StructType, partition: str, start=None, end=None) -> DataFrame:
+    """A partitioned result; a window on ``partition`` reads its folders alone."""
+    df = spark.read.schema(schema).parquet(path)
+    if start is not None:
+        df = df.where(F.col(partition) >= date_lit(start))
+    if end is not None:
+        df = df.where(F.col(partition) <= date_lit(end))
+    return df.select(*schema.fieldNames())
+
+
 def register_view(df: DataFrame, name: str) -> None:
     """Expose a result as a session view (the default, unmaterialised output)."""
     df.createOrReplaceTempView(name)

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from monthledger.plans import job
 from monthledger.plans.job import ReconSources
+from monthledger.operators import latest as L
 from monthledger.operators import months as M
+from monthledger.operators import rejects as R
 from monthledger.operators.claims import claim_rows, missing_spans
 from monthledger.sources import schemas as S
 from monthledger.sources.fixtures import RATE_CARD, fixture_sources
 from monthledger.sources.stage import Stage
-from monthledger.sources.tables import conform
+from monthledger.sources.tables import conform, read_published, write_result
 from conftest import SMALL_SF
 
 d = dt.date.fromisoformat
@@ -395,6 +397,83 @@ def test_report_tables_in_two_targets_and_view(spark, tmp_path):
         spark.sql(f"drop schema {name} cascade")
 
 
+def _published(spark, tmp_path, name="claims", **kw):
+    p = [pay("1", "Jan-23", "0.00"), pay("1", "Mar-23", "2.00")]
+    src = sources(spark, sales=[sale("1")], postpay=p)
+    path = str(tmp_path / name)
+    return src, path, job.run_reconciliation(spark, src, name, path=path, by_month=True, **kw)
+
+
+def test_published_by_month_and_pruned(spark, tmp_path):
+    src, path, written = _published(spark, tmp_path)
+    assert _rows(written) == _rows(job.reconcile(src)) and written.columns == [f.name for f in S.CLAIM_REPORT]
+    assert sorted(x.name for x in (tmp_path / "claims").glob("input_filter=*")) == [f"input_filter=2023-0{m}-01" for m in (1, 2, 3)]
+    feb = read_published(spark, path, S.CLAIM_REPORT, "input_filter", "2023-02-01", "2023-02-28")
+    assert _rows(feb) == _rows(job.reconcile(src, period=("2023-02-01", "2023-02-28"))) and feb.count() == 1
+    assert re.search(r"PartitionFilters: \[[^]]*input_filter", _plan(feb))
+    scan = feb._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.relation().location().listFiles(scan.partitionFilters(), scan.dataFilters()).size() == 1
+
+
+def test_a_period_run_replaces_its_months_only(spark, tmp_path):
+    src, path, before = _published(spark, tmp_path)
+    old = before.collect()
+    dearer = ReconSources(**{**src.__dict__, "sales": conform(spark.createDataFrame([sale("1", mrc="60.00")], S.SALES), S.SALES)})
+    now = job.run_reconciliation(spark, dearer, "claims", path=path, by_month=True, period=("2023-02-01", "2023-02-28")).collect()
+    other = lambda rows: Counter(tuple(r) for r in rows if r.claim_month != d("2023-02-01"))
+    assert other(now) == other(old) and len(now) == len(old)
+    value = lambda rows: next(r.expectedtotalvalue for r in rows if r.claim_month == d("2023-02-01"))
+    assert value(now) == 2 * value(old)
+
+
+def test_a_failed_write_leaves_the_old_result(spark, tmp_path):
+    src, path, before = _published(spark, tmp_path)
+    old = _rows(before)
+    broken = spark.range(0, 3, 1, 1).selectExpr("id as x", "raise_error('no') as y")
+    with pytest.raises(Exception, match="no"):
+        write_result(broken, "claims", path=path)
+    assert _rows(spark.read.schema(S.CLAIM_REPORT).parquet(path).select(*before.columns)) == old
+    assert [x.name for x in tmp_path.iterdir()] == ["claims"]
+    spark.sql(f"create schema kept location '{tmp_path / 'kept'}'")
+    write_result(spark.range(2), "kept.t")
+    with pytest.raises(Exception, match="no"):
+        write_result(broken, "kept.t")
+    assert spark.table("kept.t").count() == 2
+    write_result(spark.range(5), "kept.t")
+    assert spark.table("kept.t").count() == 5 and [r.tableName for r in spark.sql("show tables in kept").collect()] == ["t"]
+    spark.sql("drop schema kept cascade")
+
+
+def test_rejected_payments_have_a_reason_each(spark, tmp_path):
+    p = [pay("1", "Jan-23", "1.00"), pay(None, "Jan-23", "2.00"), pay("1", "someday", "3.00"), pay(None, None, "4.00"), pay("9", "Jan-23", "5.00"), pay("9", "Jan-23", "5.00"), pay("1", "Dec-22", "6.00"), pay("1", "Jan-26", "7.00"), pay("1", "Dec-25", "8.00"), pay("2", "Jan-23", "9.00")]
+    src = sources(spark, sales=[sale("1"), sale("1", "2023-05-05"), sale("1", "2022-12-31", net="Vodafone"), sale("2", status="Cancelled"), sale(None)], postpay=p)
+    judged = R.with_rejection(job.payments_union(src.postpay, src.ftu), job.sales_clean(src.sales))
+    assert {r.commission_value: r.reason for r in judged.collect()} == {
+        Decimal("1.00"): None, Decimal("2.00"): R.NO_ID, Decimal("3.00"): R.UNREADABLE, Decimal("4.00"): R.NO_ID, Decimal("5.00"): R.UNKNOWN,
+        Decimal("6.00"): R.OUTSIDE, Decimal("7.00"): None, Decimal("8.00"): None, Decimal("9.00"): R.UNKNOWN,
+    }
+    counts = {r.reason: (r.payment_lines, r.commission_value) for r in R.rejection_counts(judged).collect()}
+    assert counts[R.UNKNOWN] == (3, Decimal("19.00")) and counts["accepted"] == (3, Decimal("16.00"))
+    out = str(tmp_path / "rejects")
+    job.run_reconciliation(spark, src, "r", path=str(tmp_path / "report"), rejects=out)
+    assert _rows(spark.read.parquet(out)) == _rows(judged.where("reason is not null"))
+
+
+def test_latest_rows_win(spark):
+    disc = [("1", d("2023-02-01"), "a"), ("1", d("2023-03-01"), "b"), ("1", d("2023-03-01"), "c"), ("1", None, "z"), ("2", None, "x"), ("2", None, None), (None, d("2023-01-01"), "n")]
+    got = L.latest_disconnections(sources(spark, disc=disc).disconnections)
+    assert _rows(got) == Counter([("1", d("2023-03-01"), "c"), ("2", None, "x"), (None, d("2023-01-01"), "n")])
+    bm = [("1", "15/03/2023 10:00", "w", "BASE OFF", 202302, "NON BILLED"), ("1", "16/03/2023 10:00", "v", "BASE ON", 202302, "BILLED"), ("1", "15/04/2023 10:00", "u", "BASE OFF", 202303, "BILLED")]
+    src = sources(spark, sales=[sale("1")], postpay=[pay("1", "Mar-23", "1.00")], disc=disc[:4], bm=bm)
+    latest = L.latest_feeds(src)
+    assert _rows(latest.billing) == Counter([("1", 202302, "BILLED"), ("1", 202303, "BILLED")])
+    assert [tuple(r)[:3] for r in latest.upgrades.collect()] == [("1", d("2023-04-15"), "u")]
+    assert job.classified_months(latest).count() == 3 < job.classified_months(src).count()
+    assert L.latest_disconnections(sources(spark).disconnections).count() == 0
+    plan = _plan(L.latest_disconnections(sources(spark, disc=disc).disconnections))
+    assert "partial_max" in plan
+
+
 def test_read_feeds_and_write_report(spark, small, tmp_path):
     """Readers (declared schemas, edge casts) and the materialised output."""
     names = {
