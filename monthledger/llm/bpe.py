@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,35 +35,76 @@ CACHE = 300_000
 FILE = "byte_bpe_multi_50k.tiktoken"
 
 
+def tables(data: bytes) -> dict:
+    """What tasks need of a rank file, as arrays: tokens by rank (bytes and
+    ends), the rank of each byte, and the hash table from (left, right) ranks
+    to the merged one. Built once, on the driver."""
+    ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in data.splitlines() if line)}
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for t, r in ranks.items():
+        tokens[r] = t
+    pairs = [(ranks[t[:i]], ranks[t[i:]], r) for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+    p = np.array(pairs, dtype=np.int64).reshape(-1, 3)
+    keys, merged = p[:, 0] << 32 | p[:, 1], p[:, 2]
+    bits = max(4, int(np.ceil(np.log2(len(keys) * 4 + 1))))
+    table, vals = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+    at, left = slots(keys, bits), np.arange(len(keys))
+    while len(left):  # linear probing, all keys at once: the first key at a free slot stays
+        s = at[left]
+        free = table[s] == -1
+        first = np.zeros(len(left), bool)
+        first[np.unique(np.where(free, s, -1), return_index=True)[1]] = True
+        put = free & first
+        table[s[put]], vals[s[put]] = keys[left[put]], merged[left[put]]
+        left = left[~put]
+        at[left] = (at[left] + 1) & ((1 << bits) - 1)
+    byte = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int32)
+    return {"byte": byte, "bits": bits, "keys": table, "vals": vals, **token_bytes(tokens)}
+
+
+def token_bytes(tokens: list[bytes]) -> dict:
+    return {"token_bytes": np.frombuffer(b"".join(tokens), np.uint8), "token_ends": np.cumsum([0, *map(len, tokens)])}
+
+
+def slots(keys, bits: int):
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def gather(flat: np.ndarray, ends: np.ndarray, at: np.ndarray):
+    """(the pieces ``at`` of ``flat``, one after the other, their ends);
+    piece i is flat[ends[i]:ends[i + 1]]."""
+    sizes = (ends[1:] - ends[:-1])[at]
+    stops = np.cumsum(sizes)
+    if not len(at):
+        return flat[:0], stops
+    return flat[np.repeat(ends[at] - (stops - sizes), sizes) + np.arange(stops[-1])], stops
+
+
 class Vocabulary:
-    """Tokens by rank, and a hash table from (left, right) to the merged rank."""
+    """Encodes texts by the arrays of ``tables``; remembers pieces it has met."""
 
-    def __init__(self, data: bytes, pattern: str):
-        self.ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in data.splitlines() if line)}
+    def __init__(self, data, pattern: str):
+        held = data if isinstance(data, dict) else tables(data)
+        self.byte, self.bits, self.keys, self.vals = (held[k] for k in ("byte", "bits", "keys", "vals"))
+        self.token_bytes, self.token_ends = held["token_bytes"], held["token_ends"]
         self.cut = regex.compile(pattern)
-        self.tokens = [b""] * (max(self.ranks.values()) + 1)
-        for t, r in self.ranks.items():
-            self.tokens[r] = t
-        self.byte = np.array([self.ranks[bytes([i])] for i in range(256)], dtype=np.int32)
-        pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
-        p = np.array(pairs, dtype=np.int64)
-        keys, ranks = p[:, 0] << 32 | p[:, 1], p[:, 2]
-        self.bits = int(np.ceil(np.log2(len(keys) * 4)))
-        self.keys, self.vals = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int32)
-        slot, left = self.slot(keys), np.arange(len(keys))
-        while len(left):  # linear probing, all keys at once: the first key at a free slot stays
-            s = slot[left]
-            free = self.keys[s] == -1
-            first = np.zeros(len(left), bool)
-            first[np.unique(np.where(free, s, -1), return_index=True)[1]] = True
-            put = free & first
-            self.keys[s[put]], self.vals[s[put]] = keys[left[put]], ranks[left[put]]
-            left = left[~put]
-            slot[left] = (slot[left] + 1) & ((1 << self.bits) - 1)
-        self.known: dict[str, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.ends = np.zeros(0, np.int32), np.zeros(1, np.int64)
+
+    @cached_property
+    def tokens(self) -> list[bytes]:
+        whole = self.token_bytes.tobytes()
+        return [whole[a:b] for a, b in zip(self.token_ends, self.token_ends[1:])]
+
+    @cached_property
+    def ranks(self) -> dict[bytes, int]:
+        return {t: r for r, t in enumerate(self.tokens) if t}
 
     def slot(self, keys):
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        return slots(keys, self.bits)
 
     def lookup(self, a, b):
         """Rank of each merged pair, or a value above all ranks."""
@@ -87,24 +130,30 @@ class Vocabulary:
         raw = np.frombuffer(b"".join(r.ljust(width, b"\0") for r in rows), np.uint8).reshape(n, width)
         m = np.where(np.arange(width) < lens[:, None], self.byte[raw], -1)
         rank = self.lookup(m[:, :-1], m[:, 1:]) if width > 1 else np.zeros((n, 0), np.int32)
-        done, live = [None] * n, np.arange(n)
+        done, live, left = [None] * n, np.arange(n), lens.copy()
         none = 2**31 - 1
         while len(live):
             at = rank.argmin(axis=1) if rank.shape[1] else np.zeros(len(live), np.int64)
             best = rank[np.arange(len(live)), at] if rank.shape[1] else np.full(len(live), none)
             over = best == none
-            for i in np.nonzero(over)[0]:
-                done[live[i]] = m[i][m[i] >= 0]
-            keep = ~over
-            live, m, at, best = live[keep], m[keep], at[keep], best[keep]
-            if not len(live):
-                break
+            if over.any():
+                for i in np.nonzero(over)[0]:
+                    done[live[i]] = m[i, : left[i]].copy()
+                keep = ~over
+                live, left, m, rank, at, best = live[keep], left[keep], m[keep], rank[keep], at[keep], best[keep]
+                if not len(live):
+                    break
             r = np.arange(len(live))
             m[r, at] = best
-            cols = np.arange(m.shape[1] - 1)
-            m = np.where(cols <= at[:, None], m[:, :-1], m[:, 1:])  # compaction
-            m = m[:, : int((m >= 0).sum(axis=1).max())]
-            rank = self.lookup(m[:, :-1], m[:, 1:])
+            left = left - 1
+            width = int(left.max())
+            # compaction of the ids, and of the ranks but for the pairs beside the merge
+            cols = np.arange(width)
+            m = np.where(cols <= at[:, None], m[:, :width], m[:, 1 : width + 1])
+            rank = np.where(cols[: width - 1] < at[:, None], rank[:, : width - 1], rank[:, 1:width])
+            for beside, ok in ((at - 1, at > 0), (at, at + 1 < left)):
+                x, y = r[ok], beside[ok]
+                rank[x, y] = self.lookup(m[x, y], m[x, y + 1])
         return done
 
     def merge_long(self, piece: bytes) -> np.ndarray:
@@ -130,30 +179,32 @@ class Vocabulary:
         buckets: dict[int, list[str]] = {}
         for p in pieces:
             buckets.setdefault(max(2, 1 << (len(p.encode()) - 1).bit_length()), []).append(p)
+        found = []
         for width, group in buckets.items():
-            if width > LONGEST:
-                for p in group:
-                    self.known[p] = self.merge_long(p.encode())
-                continue
             step = max(1, 2**18 // width)
             for s in range(0, len(group), step):
                 part = group[s : s + step]
-                self.known.update(zip(part, self.merge_rows([p.encode() for p in part])))
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+                raw = [p.encode() for p in part]
+                found += map(self.merge_long, raw) if width > LONGEST else self.merge_rows(raw)
+                self.known.update(zip(part, range(len(self.known), len(self.known) + len(part))))
+        if found:
+            self.flat = np.concatenate([self.flat, *found])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(f) for f in found])])
+
+    def encode_flat(self, texts: list[str]):
+        """(ids of all texts, one after the other; end of each text's ids)."""
         cut = [self.cut.findall(t) for t in texts]
         if len(self.known) > CACHE:
-            self.known.clear()
-        self.learn({p for c in cut for p in c if p not in self.known})
-        get = self.known.__getitem__
-        return [np.concatenate([get(p) for p in c]) if c else np.zeros(0, np.int32) for c in cut]
+            self.forget()
+        known = self.known
+        self.learn({p for c in cut for p in c if p not in known})
+        at = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(cut)), np.int64)
+        ids, stops = gather(self.flat, self.ends, at)
+        return ids, np.append(0, stops)[np.cumsum([0, *map(len, cut)])]
 
-
-def _vocabulary(data, pattern, held={}):
-    key = hash((data, pattern))
-    if key not in held:
-        held[key] = Vocabulary(data, pattern)
-    return held[key]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        ids, ends = self.encode_flat(texts)
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 def load(path: str | None = None, pattern: str | None = None) -> tuple[bytes, str]:
@@ -166,18 +217,18 @@ def load(path: str | None = None, pattern: str | None = None) -> tuple[bytes, st
 
 def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:
     """Adds the token ids of ``text``; the rank file is read on the driver and broadcast."""
-    shared = df.sparkSession.sparkContext.broadcast(load(path, pattern))
+    data, pattern = load(path, pattern)
+    shared = df.sparkSession.sparkContext.broadcast((tables(data), pattern))
     kept = [c for c in df.columns if c != out]
     schema = df.select(*kept).schema.add(out, T.ArrayType(T.IntegerType()))
 
     def run(batches):
-        v = _vocabulary(*shared.value)
+        v = Vocabulary(*shared.value)
         for b in batches:
             for s in range(0, b.num_rows, 200):
                 part = b.slice(s, 200)
-                ids = v.encode([t or "" for t in part.column(text).to_pylist()])
-                ends = np.cumsum([0, *map(len, ids)])
-                arr = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else [], pa.int32()))
+                ids, ends = v.encode_flat([t or "" for t in part.column(text).to_pylist()])
+                arr = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], arr], names=[*kept, out])
 
     return df.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
@@ -185,18 +236,22 @@ def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, t
 
 def decode(df: DataFrame, path: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Adds the bytes that the ids stand for."""
-    shared = df.sparkSession.sparkContext.broadcast(load(path))
+    tokens = tables(load(path)[0])
+    shared = df.sparkSession.sparkContext.broadcast((tokens["token_bytes"], tokens["token_ends"]))
     kept = [c for c in df.columns if c != out]
     schema = df.select(*kept).schema.add(out, T.BinaryType())
 
     def run(batches):
-        v = _vocabulary(*shared.value)
-        get = v.tokens.__getitem__
+        flat, ends = shared.value
         for b in batches:
             for s in range(0, b.num_rows, 200):
                 part = b.slice(s, 200)
-                back = [b"".join(map(get, x or ())) for x in part.column(ids).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(back, pa.binary())], names=[*kept, out])
+                lists = part.column(ids)
+                sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+                raw, stops = gather(flat, ends, lists.flatten().to_numpy(zero_copy_only=False))
+                at = np.append(0, stops)[np.cumsum(np.append(0, sizes))]
+                back = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], back], names=[*kept, out])
 
     return df.mapInArrow(run, schema)
 
