@@ -114,6 +114,8 @@ def test_caps_recall_at_production_parameters(dim):
     x = caps._unit(rng.standard_normal((1000, dim)))
     mine = c.decode(x)
     assert min(map(len, mine)) >= caps.LEAST
+    assert np.mean([len(np.intersect1d(mine[i], mine[i - k])) for k in (1, 7) for i in range(1000)]) < 0.05  # unlike vectors hardly meet
+    assert all((a == b).all() for a, b in zip(mine, [c.decode(r[None])[0] for r in x]))  # alone as in a batch
     for cosine in (0.90, 0.91, 0.95, 0.99):
         other = c.decode(planted(x, cosine, rng))
         assert np.mean([len(np.intersect1d(a, b)) > 0 for a, b in zip(mine, other)]) >= 0.995, cosine
