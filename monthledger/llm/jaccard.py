@@ -28,6 +28,8 @@ result. Extra columns are ignored by ``components`` and kept by the stage.
 
 from __future__ import annotations
 
+import string
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -83,8 +85,6 @@ def histogram(x: np.ndarray) -> bytes | None:
 def shingle_sets(docs: DataFrame, n: int = 5, full: bool = True) -> DataFrame:
     """doc_id, n_shingles, sig of every row; ``full``: the histogram and the set too."""
 
-    chosen = "_sig" in docs.columns  # rows whose set has another signature go
-
     def run(batches):
         held = Words()
         for b in batches:
@@ -94,33 +94,31 @@ def shingle_sets(docs: DataFrame, n: int = 5, full: bool = True) -> DataFrame:
                 if len(held) > 400_000:
                     held = Words()
                 sigs = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-                ids = part.column("doc_id")
-                if chosen:
-                    keep = [i for i, w in enumerate(part.column("_sig").to_pylist()) if w == sigs[i]]
-                    sets, sigs, ids = [sets[i] for i in keep], [sigs[i] for i in keep], ids.take(pa.array(keep, pa.int64()))
-                if not sets:
-                    continue
-                out = [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary())]
+                out = [part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary())]
                 if full:
                     ends = np.cumsum([0, *map(len, sets)])
                     out += [pa.array([histogram(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets), pa.int64()))]
                 yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "sig", "hist", "hashes"][: len(out)])
 
-    columns = [F.col("doc_id").cast("long").alias("doc_id"), "text", *["_sig"] * chosen]
-    return docs.select(*columns).mapInArrow(run, SETS if full else SIZES)
-
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS if full else SIZES)
 
-def distinct_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """The full set of one row per distinct set. ``reps``: (sig, rep, n_rows),
-    n_rows the rows that hold both. Only where a doc_id repeats its text do
-    sets travel to be made distinct."""
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+def distinct_sets(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int) -> DataFrame:
+    """The full set of one row per distinct set. ``rows``: doc_id, sig of all
+    rows, ``reps``: (sig, rep).
 
-    def of(chosen):
-        return shingle_sets(texts.join(chosen.select(F.col("rep").alias("doc_id"), F.col("sig").alias("_sig")), "doc_id"), n)
-
-    return of(reps.where("n_rows = 1")).unionByName(of(reps.where("n_rows > 1")).dropDuplicates(["doc_id", "sig"]))
+    Texts are not shuffled: those of the documents that name no set (copies,
+    empty texts) are left out by the list of their ids, which Spark broadcasts
+    while it is small. Rows of a repeated doc_id are taken by their signature.
+    """
+    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    ids = ids.join(reps.select(F.col("rep").alias("doc_id")).distinct().withColumn("named", F.lit(True)), "doc_id", "left")
+    ids = materialize(ids.where("rows > 1 or named is null"), "ids")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
+    once = shingle_sets(texts.join(ids.select("doc_id"), "doc_id", "left_anti"), n)
+    again = shingle_sets(texts.join(ids.where("rows > 1 and named").select("doc_id"), "doc_id", "left_semi"), n)
+    again = again.join(reps.select("sig", F.col("rep").alias("doc_id")), ["sig", "doc_id"], "left_semi").dropDuplicates(["doc_id", "sig"])
+    return once.unionByName(again)
 
 
 def deciding(x: np.ndarray, take: int, hot: np.ndarray) -> np.ndarray:
@@ -201,7 +199,7 @@ def column_pairs(q: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs that pass the histogram bound leave it.
     """
     q = materialize(q, "columns")
-    mark = lambda seed: F.sum(F.xxhash64("doc", "n", F.lit(seed)).bitwiseAND(F.lit((1 << 31) - 1))).alias(f"s{seed}")
+    mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "doc", "n")).alias(f"s{seed}")  # noqa: E731  two of 64 bits
     cols = q.groupBy("col").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("g"), mark(1), mark(2)).where("low <> high")
     cols = cols.groupBy("g", "s1", "s2").agg(F.min("col").alias("col")).select("col", "g")
     q = materialize(q.join(cols, "col"), "open")
@@ -270,10 +268,8 @@ def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     rows = materialize(shingle_sets(docs, n, full=False), "sizes")
     named = rows.where("doc_id is not null and n_shingles > 0")
-    held = named.groupBy("sig", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    one = held.groupBy("sig").agg(F.min(F.struct("doc_id", "n")).alias("s"))
-    one = materialize(one.select("sig", F.col("s.doc_id").alias("rep"), F.col("s.n").alias("n_rows")), "reps")
-    edges = link_edges(materialize(distinct_sets(docs, one, n), "distinct"), percent)
+    one = materialize(named.groupBy("sig").agg(F.min("doc_id").alias("rep")), "reps")
+    edges = link_edges(materialize(distinct_sets(docs, rows, one, n), "distinct"), percent)
     same = named.select("doc_id", "sig").join(one, "sig").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(edges.union(same))
     out = rows.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
@@ -285,8 +281,15 @@ def op8(spark, sf_dir: str) -> DataFrame:
 
 
 def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest doc_id."""
-    c = components(docs).where("doc_id <> component_id").select(F.col("doc_id").alias("_id"))
-    kept = docs.join(c, F.col("doc_id") == F.col("_id"), "left_anti")
-    null = kept.where("doc_id is null")
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(null)
+    """One document of each group stays: that with the smallest doc_id. Rows of
+    one doc_id count once if their words are equal; if not, each stays. Rows
+    without doc_id stay. Only rows of repeated ids are shuffled."""
+    c = materialize(components(docs), "components")
+    gone = materialize(c.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = materialize(c.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
+    words = F.trim(F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase), r"[\x20\x09-\x0D]+", " "))
+    mark = next(f"_words{'_' * k}" for k in range(len(docs.columns) + 1) if f"_words{'_' * k}" not in docs.columns)
+    again = kept.join(repeated, "doc_id", "left_semi").withColumn(mark, F.sha2(words, 256)).dropDuplicates(["doc_id", mark])
+    return once.unionByName(again.select(*docs.columns))

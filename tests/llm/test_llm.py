@@ -463,3 +463,21 @@ def test_pipeline_rows_brute_force(spark, docs, tmp_path):
     names = ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert got.columns == names
     assert Counter((r.doc_id, tuple(r.ids), *r[2:]) for r in got.collect()) == brute_pipeline(given, labels)
+
+
+CLASH = "_id long, _sig binary, sig binary, grade int, _score double, _spans string, part int, own int, blob string, n long, rows int, named int, _words string"
+
+
+def test_jaccard_with_clashing_columns_and_repeated_ids(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, "quite another text of its own with seven more words in it"), (1, base.upper()), (2, base + " tail"), (3, None), (3, ""), (4, base), (None, base), (5, "x y")]
+    more = (9, b"s", b"t", 1, 0.5, "sp", 2, 3, "bl", 4, 5, 6, "w")
+    df = spark.createDataFrame([(*r, *more) for r in rows], f"doc_id long, text string, {CLASH}")
+    plain = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(tuple(r) for r in jaccard.components(df).collect())
+    assert got == Counter(tuple(r) for r in jaccard.components(plain).collect())
+    assert {(r[0], r[2]) for r in got} == {(1, 1), (2, 1), (3, 3), (4, 1), (None, None), (5, 5)}
+    out = jaccard.jaccard_stage(spark, df, SF)
+    assert out.columns == df.columns
+    kept = sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
+    assert kept == [(0, base), (1, rows[1][1]), (1, base), (3, ""), (5, "x y")]
