@@ -36,6 +36,8 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 RULE_VERSION = "rules-1"
+#: Matches whose spans are put together at a time.
+RUN = 256
 SPAN = "array<struct<start:int,rank:int,stop:int,kind:string>>"
 
 
@@ -46,7 +48,7 @@ def spans_of(text: Column, rank: int, kind: str, pattern: str, group: int, least
     full, counted = F.regexp_extract_all(text, p, F.lit(0)), F.regexp_extract_all(text, p, F.lit(group))
     parts = F.transform(F.slice(F.split(text, pattern, -1), 1, F.size(full)), lambda x: F.length(x))
     rows = F.arrays_zip(parts.alias("gap"), full.alias("hit"), counted.alias("value"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
+    step_of = lambda row: row["gap"] + F.length(row["hit"])
 
     def step(acc, row):
         begin = acc["at"] + row["gap"]
@@ -55,7 +57,23 @@ def spans_of(text: Column, rank: int, kind: str, pattern: str, group: int, least
         kept = F.when(F.length(row["value"]) >= least, F.concat(acc["out"], F.array(span))).otherwise(acc["out"])
         return F.struct(stop.alias("at"), kept.cast(SPAN).alias("out"))
 
-    found = F.aggregate(rows, start, step, lambda acc: acc["out"])
+    def spans(cut):
+        """Appending copies what is there: so lists of ``RUN`` matches, then
+        the runs' starts, then the spans of each run from its start."""
+        sums = F.transform(cut, lambda run: F.aggregate(run, F.lit(0), lambda at, row: at + step_of(row)))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        starts = F.aggregate(
+            sums, zero, lambda acc, n: F.struct((acc["at"] + n).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"]
+        )
+        runs = F.arrays_zip(cut.alias("run"), starts.alias("at"))
+        begin = lambda x: F.struct(x["at"].alias("at"), F.array().cast(SPAN).alias("out"))
+        return F.flatten(F.transform(runs, lambda x: F.aggregate(x["run"], begin(x), step, lambda acc: acc["out"])))
+
+    def cut(all_rows):
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(all_rows) - 1) / RUN).cast("int")), lambda i: F.slice(all_rows, i * RUN + 1, F.lit(RUN)))
+
+    once = lambda value, use: F.element_at(F.transform(F.array(value), use), 1)  # noqa: E731  a value used more than once
+    found = once(rows, lambda r: once(cut(r), spans))
     return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
 
 

@@ -4,6 +4,7 @@ import hashlib
 import inspect
 import json
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -481,3 +482,27 @@ def test_jaccard_with_clashing_columns_and_repeated_ids(spark):
     assert out.columns == df.columns
     kept = sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
     assert kept == [(0, base), (1, rows[1][1]), (1, base), (3, ""), (5, "x y")]
+
+
+def test_wrapper_of_deep_and_wide_pages(spark):
+    open_tags = "".join("<b>" if i % 2 else "<span>" for i in range(5000))
+    deep = "<div>" * 3000 + "deep text" + "</div>" * 3000
+    wide = "".join(f"<i>a{i}</i><u>b{i}</u>" for i in range(1000))
+    pages = [
+        (i, f"http://h{i % 3}/x", f"<html><body><article><p>Head {i}</p><p>one {open_tags} two {i}</p>{deep if i % 2 else ''}<p>{wide} {i}</p></article></body></html>")
+        for i in range(6)
+    ]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    t = time.time()
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert time.time() - t < 60
+    for i in range(6):
+        assert got[i].startswith(f"Head {i}") and f"two {i}" in got[i] and ("deep text" in got[i]) == bool(i % 2) and "a999b999" in got[i]
+
+
+def test_a_text_of_many_secrets_is_scanned_in_time(spark):
+    n = 3 * secrets.RUN + 7
+    text = "é token=abcdef1 " * n + "short token=ab " + "f" * 30
+    got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
+    assert [(s.start, s.stop) for s in got if s.kind == "assign"] == [(m.start(), m.end()) for m in re.finditer("token=abcdef1", text)]
+    assert [(s.start, s.stop) for s in got if s.kind == "hex"] == [(len(text) - 30, len(text))]
