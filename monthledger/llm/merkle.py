@@ -6,14 +6,17 @@ equal texts; ``differing`` walks down only branches whose hashes differ. The
 fingerprint is the root, then the leaves in order; the likeness of two
 fingerprints is the share of leaves (by length) that both hold.
 
-The next document in descending doc_id comes from a range split on explicit
-bounds: rows stream in order within a range, and each range gets one carried
-row from the range below it. No range is held in memory.
+The next document in descending doc_id comes from a split into ranges of
+doc_id: rows stream in order within a range, and each range gets one carried
+row, the last of the range below it. No range is held in memory. Spark's range
+partitioner makes the ranges from the ids alone; their number comes from the
+session (``RANGES`` times its shuffle partitions), never from the rows, and
+only their largest ids, one number each, go into the plan.
 
 Cases: null text is empty (one leaf, the empty one); likeness of equal
 fingerprints is 1; null doc_id sorts last in descending order; repeated doc_ids
-sort by text; a single document is its own next; empty table, empty result;
-extra columns are ignored.
+sort by text (rows of one id share a range); a single document is its own next;
+empty table, empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import re
 from collections import Counter
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from monthledger.llm.common import ship, table
@@ -32,7 +35,13 @@ ship(__name__)
 
 LEAF = re.compile(r"[^\n]{1,400}?(?:[.!?](?=\s)|\n|$)\s*|[^\n]{1,400}(?<=\s)|[^\n]{1,400}|\n", re.S)
 SECTION = re.compile(r"\n[^\S\n]*\n\s*")
-ROWS_PER_RANGE = 2000
+#: Ranges of doc_id for each shuffle partition of the session.
+RANGES = 4
+
+RESULT = (
+    "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+    "differing array<struct<section:int,paragraph:int>>"
+)
 
 
 def h(data: str) -> str:
@@ -56,11 +65,14 @@ def tree(text: str) -> tuple[str, list]:
     return root, sections
 
 
-def fingerprint(text: str) -> str:
-    root, sections = tree(text)
+def printed(root: str, sections: list) -> str:
     return root + ":" + ",".join(f"{x}{n:x}" for _, ps in sections for _, leaves in ps for x, n in leaves)
 
 
+def fingerprint(text: str) -> str:
+    return printed(*tree(text))
+
+
 def likeness(a: str, b: str) -> float:
     if a.partition(":")[0] == b.partition(":")[0]:
         return 1.0
@@ -70,46 +82,55 @@ def likeness(a: str, b: str) -> float:
     return 2 * size(x & y) / total if total else 1.0
 
 
-def differing(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) of ``b`` whose branch has no equal in ``a``."""
-    (ra, sa), (rb, sb) = tree(a), tree(b)
+def branches(a: tuple, b: tuple) -> list[tuple[int, int]]:
+    """(section, paragraph) of tree ``b`` whose branch has no equal in ``a``."""
+    (ra, sa), (rb, sb) = a, b
     if ra == rb:
         return []
     known, paragraphs = {s for s, _ in sa}, {p for _, ps in sa for p, _ in ps}
     return [(i, j) for i, (s, ps) in enumerate(sb) if s not in known for j, (p, _) in enumerate(ps) if p not in paragraphs]
 
 
+def differing(a: str, b: str) -> list[tuple[int, int]]:
+    """(section, paragraph) of ``b`` whose branch has no equal in ``a``."""
+    return branches(tree(a), tree(b))
+
+
 def edited(text: str, nxt: str) -> str:
     k = len(text) // 2
     return text[: len(text) - k] + nxt[:k]
 
 
-def with_next(docs: DataFrame) -> tuple[DataFrame, str]:
-    """Rows keyed by range, each range led by the last row of the one below."""
+def range_tops(ids: DataFrame, ranges: int) -> list[int]:
+    """The largest id of each range, ascending: at most ``ranges`` numbers."""
+    dealt = ids.where("doc_id is not null").repartitionByRange(ranges, "doc_id").withColumn("part", F.spark_partition_id())
+    return sorted(r.top for r in dealt.groupBy("part").agg(F.max("doc_id").alias("top")).collect())
+
+
+def range_of(value: Column, tops: Column, n: int) -> Column:
+    """How many of the ``n`` sorted ``tops`` lie below ``value``, by halving steps (null: 0)."""
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(n.bit_length()))]) if n else F.array().cast("array<int>")
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(tops, at + step - 1) < value, at + step).otherwise(at))
+
+
+def with_next(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Rows keyed by range, each range led by the last row of the one below
+    (the first range by the last row of all)."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ids = d.select("doc_id")
-    n = ids.count()
-    parts = max(1, n // ROWS_PER_RANGE)
-    cuts = ids.where("doc_id is not null").approxQuantile("doc_id", [i / parts for i in range(1, parts)], 0.25 / parts) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    tree_of = lambda lo, hi: F.lit(lo) if lo == hi else F.when(F.col("doc_id") <= cuts[(lo + hi) // 2], tree_of(lo, (lo + hi) // 2)).otherwise(tree_of((lo + hi) // 2 + 1, hi))
-    part = F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(tree_of(0, len(cuts))).cast("int")
-    d = d.withColumn("part", part)
-    last = [(r.part, r.top) for r in d.select("part", "doc_id").groupBy("part").agg(F.max("doc_id").alias("top")).orderBy("part").collect()]
-    order = [p for p, _ in last]
-    below = dict(zip(order, [*order[-1:], *order[:-1]]))
-    heir = {below[p]: p for p in order}
-    tops = [t for _, t in last if t is not None]
-    lead = d.where(F.col("doc_id").isin(tops) if tops else F.lit(True)).groupBy("part", "doc_id").agg(F.max("text").alias("text"))
-    if not tops:  # only null ids
-        lead = d.groupBy("part", "doc_id").agg(F.max("text").alias("text"))
-    to = F.create_map(*[F.lit(x) for kv in heir.items() for x in kv]) if heir else F.create_map(F.lit(0), F.lit(0))
-    lead = lead.select("doc_id", "text", to[F.col("part")].alias("part"), F.lit(0).alias("own"))
-    return lead.unionByName(d.withColumn("own", F.lit(1))), max(1, len(order))
+    found = range_tops(d.select("doc_id"), RANGES * parts)
+    n = len(found)
+    tops = F.split(F.lit(",".join(map(str, found))), ",").cast("array<bigint>")  # folded to one constant
+    d = d.withColumn("part", range_of(F.col("doc_id"), tops, n))
+    last = F.col("doc_id") == F.get(tops, F.col("part")) if n else F.lit(True)  # without any id all rows are one range
+    lead = d.where(last).groupBy("part", "doc_id").agg(F.max("text").alias("text"))
+    lead = lead.select("doc_id", "text", ((F.col("part") + 1) % max(1, n)).alias("part"), F.lit(0).alias("own"))
+    return lead.unionByName(d.withColumn("own", F.lit(1))), parts
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_text and both fingerprints with their likeness."""
+    """doc_id, n_chars, edited_text, both fingerprints, their likeness to each
+    other and to the next document's, and the paragraphs where the edit is seen."""
     rows, parts = with_next(docs)
     rows = rows.repartition(parts, "part").sortWithinPartitions("part", "own", F.col("doc_id").asc_nulls_first(), "text")
 
@@ -123,9 +144,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 if own:
                     if prev_print is None:
                         prev_print = fingerprint(prev)
-                    mine, e = fingerprint(text), edited(text, prev)
-                    ep = fingerprint(e)
-                    out.append((doc_id, len(text), e, mine, ep, likeness(mine, ep), likeness(mine, prev_print)))
+                    e = edited(text, prev)
+                    own_tree, new_tree = tree(text), tree(e)
+                    mine, ep = printed(*own_tree), printed(*new_tree)
+                    where = [{"section": i, "paragraph": j} for i, j in branches(own_tree, new_tree)]
+                    out.append((doc_id, len(text), e, mine, ep, likeness(mine, ep), likeness(mine, prev_print), where))
                     prev, prev_print = text, mine
                 if len(out) >= 200:
                     yield frame(out)
@@ -134,12 +157,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 yield frame(out)
 
     def frame(out):
-        names = ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+        names = ["doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "differing"]
         return pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    return rows.mapInPandas(run, "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    return rows.mapInPandas(run, RESULT)
 
 
 def op10(spark, sf_dir: str) -> DataFrame:
     f = fingerprints(table(spark, sf_dir, "documents"))
-    return f.select("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    where = F.transform("differing", lambda x: F.concat_ws(".", x["section"].cast("string"), x["paragraph"].cast("string")))
+    return f.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+        F.array_join(where, ",").alias("differing"),
+    )

@@ -12,6 +12,7 @@ import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from monthledger.llm import bpe, caps, html, jaccard, licenses, merkle, mixing, quality, secrets, warc
 from monthledger.llm.queries import QUERIES
@@ -375,21 +376,56 @@ def test_licenses_every_sentence_is_found():
             assert [x[3] for x in licenses.known(t)] == [k], (k, t)
 
 
-def test_merkle(spark, docs, edge, monkeypatch):
-    monkeypatch.setattr(merkle, "ROWS_PER_RANGE", 17)
-    rows = sorted(docs.select("doc_id", "text").collect(), reverse=True)
+def by_text(a, b):
+    """Paragraphs of ``b`` without an equal in ``a``, in sections without an equal, found by comparing texts."""
+
+    def cut(t):
+        ends = [m.end() for m in merkle.SECTION.finditer(t)]
+        parts = [t[i:j] for i, j in zip([0, *ends], [*ends, len(t)])]
+        return [p.splitlines(keepends=True) or [""] for p in parts if p or len(parts) == 1]
+
+    old = cut(a)
+    lines = {x for s in old for x in s}
+    return [(i, j) for i, s in enumerate(cut(b)) if s not in old for j, x in enumerate(s) if x not in lines]
+
+
+@pytest.mark.parametrize("ranges", [1, 4, 60])
+def test_merkle(spark, docs, edge, monkeypatch, ranges):
+    monkeypatch.setattr(merkle, "RANGES", ranges)
+    rows = docs.orderBy(docs.doc_id.desc()).collect()
     got = {r.doc_id: r for r in merkle.fingerprints(docs).collect()}
-    for k, r in enumerate(rows):
-        nxt = rows[(k + 1) % len(rows)].text
+    assert len(got) == len(rows)
+    for i, r in enumerate(rows):
+        nxt = rows[(i + 1) % len(rows)].text
         g, e = got[r.doc_id], merkle.edited(r.text, nxt)
         assert (g.edited_text, g.n_chars, g.fingerprint) == (e, len(r.text), merkle.fingerprint(r.text))
         assert g.near_next == pytest.approx(merkle.likeness(g.fingerprint, merkle.fingerprint(nxt))) and 0 <= g.near_edited <= 1
-    for t in ("", "a\n\nb\n c. d! e", "x" * 2000, "\n\n\n", " \n"):
+        assert [(x.section, x.paragraph) for x in g.differing] == (by_text(r.text, e) if e != r.text else [])
+    for t in ("", "a", "x\n\ny\n\n", "One. Two! " * 50, "\n\n\n", "a" * 5000):
         assert sum(n for _, ps in merkle.tree(t)[1] for _, lv in ps for _, n in lv) == len(t)
     assert merkle.differing("a.\n\nb.\nc.", "a.\n\nb.\nd.") == [(1, 1)]
     assert merkle.fingerprints(edge).count() == len(EDGE) and merkle.fingerprints(edge.limit(0)).count() == 0
 
 
+def test_merkle_next_row_of_null_and_repeated_ids(spark):
+    rows = [(3, "c"), (None, "n2"), (1, "a"), (None, "n1"), (3, "cc"), (2, None)]
+    for part in (rows, [r for r in rows if r[0] is None], rows[:1]):
+        got = merkle.fingerprints(spark.createDataFrame(part, "doc_id long, text string")).collect()
+        want = sorted(((i, t or "") for i, t in part), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        pairs = [(i, merkle.edited(t, want[k - 1][1])) for k, (i, t) in enumerate(want)]
+        assert sorted(((g.doc_id, g.edited_text) for g in got), key=str) == sorted(pairs, key=str)
+
+
+def test_merkle_plan_does_not_grow_with_the_rows(spark):
+    sizes = []
+    for n in (1_000, 200_000):
+        d = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("one. two").alias("text"))
+        rows, parts = merkle.with_next(d)
+        plan = rows._jdf.queryExecution().logical().toString()
+        sizes.append((parts, len(re.findall(r"CASE WHEN", plan)), rows.select("part").distinct().count()))
+    assert sizes[0] == sizes[1]
+
+
 def test_registered(spark):
     import __spark_entry__ as e
 
