@@ -7,7 +7,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: One space or \t \n \v \f \r: the white space that parts words.
@@ -53,14 +53,42 @@ def arrow_batches(rows, schema, most_rows: int = 4096, most_chars: int = 4_000_0
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path of ``path``."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def passing(spark: SparkSession, path: str) -> None:
+    """``path`` is deleted when the driver's file system closes: results that
+    are still lazy read it until then."""
+    fs, folder = file_system(spark, path)
+    fs.deleteOnExit(folder)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage,
     survives lost executors, and gives later joins a real size."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
+    passing(df.sparkSession, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns as one struct, so that no name among them meets a helper
+    column; ``unpacked`` gives them back."""
+    return F.struct(*[F.col(quoted(c)) for c in df.columns])
+
+
+def unpacked(df: DataFrame, like: DataFrame, row: str = "row") -> DataFrame:
+    return df.select(*[F.col(f"{row}.{quoted(c)}").alias(c) for c in like.columns])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """(a, b) long edges -> (node, root), root the smallest node reachable.
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import connected_components, materialize, ship, table
+from monthledger.llm.common import connected_components, materialize, packed, ship, table, unpacked
 
 ship(__name__)
 
@@ -286,10 +286,10 @@ def jaccard_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     without doc_id stay. Only rows of repeated ids are shuffled."""
     c = materialize(components(docs), "components")
     gone = materialize(c.where("doc_id <> component_id").select("doc_id").distinct(), "gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.select("doc_id", packed(docs).alias("row")).join(gone, "doc_id", "left_anti")
     repeated = materialize(c.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
-    once = kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-    words = F.trim(F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), string.ascii_uppercase, string.ascii_lowercase), r"[\x20\x09-\x0D]+", " "))
-    mark = next(f"_words{'_' * k}" for k in range(len(docs.columns) + 1) if f"_words{'_' * k}" not in docs.columns)
-    again = kept.join(repeated, "doc_id", "left_semi").withColumn(mark, F.sha2(words, 256)).dropDuplicates(["doc_id", mark])
-    return once.unionByName(again.select(*docs.columns))
+    once = kept.join(repeated, "doc_id", "left_anti")
+    text = F.coalesce("row.text", F.lit(""))
+    words = F.trim(F.regexp_replace(F.translate(text, string.ascii_uppercase, string.ascii_lowercase), r"[\x20\x09-\x0D]+", " "))
+    again = kept.join(repeated, "doc_id", "left_semi").withColumn("words", F.sha2(words, 256)).dropDuplicates(["doc_id", "words"])
+    return unpacked(once.select("row").unionByName(again.select("row")), docs)

@@ -7,23 +7,25 @@ the target is a weighted sample without replacement: every document draws the
 exponential key -ln(u)/quality, the source is sorted by key, and the prefix
 whose running size stays nearest to the remaining budget is taken once more.
 
-The draw u is a hash of doc_id and seed, so reruns agree. A hot source
+The draw u is a hash of doc_id (of the text where that is null) and seed, so
+reruns agree. A hot source
 is never sorted in one task: keys fall into ``BUCKETS`` ranges, the sums of
 (source, bucket) are combined map-side, and only rows inside one (source,
 bucket) are sorted together.
 
 Cases: null or empty text has size 0; null source is a source of its own, last
 in order; null or missing quality weighs 1; repeated rows are rows of their
-own (ties of the key break by doc_id, then by order); an empty table gives an
-empty result; extra columns are ignored.
+own (ties of the key break by doc_id, then by order; the stage deals the copies
+of rows that are equal in doc_id, source and size over them by text); an empty
+table gives an empty result; extra columns are ignored, in the stage kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import WORD, materialize, table
+from monthledger.llm.common import WORD, materialize, packed, table, unpacked
 
 BUCKETS = 4096
 MAX_EPOCHS = 3
@@ -81,18 +83,27 @@ def label_quality(labels: DataFrame) -> DataFrame:
     return rows.groupBy("doc_id").agg(F.min("quality").alias("quality"))
 
 
-def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies of every document."""
+def size_of(text: Column) -> Column:
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
+
+
+def mixed(docs: DataFrame, labels: DataFrame | None, seed: str) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies of every row."""
     text = F.coalesce("text", F.lit(""))
-    h = F.md5(F.concat_ws("\x1f", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))))
+    h = F.md5(F.concat_ws("\x1f", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("-"), F.md5(text)))))
     draw = (F.conv(F.substring(h, 1, 12), 16, 10).cast("double") + 0.5) / float(16**12)
-    d = docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), draw.alias("draw"))
+    d = docs.select("doc_id", "source", size_of(text).alias("size"), draw.alias("draw"))
     if labels is not None:
         d = d.join(label_quality(labels), "doc_id", "left")
     else:
         d = d.withColumn("quality", F.lit(1.0))
     d = materialize(d, "sizes").withColumn("key", F.struct("doc_id", "size"))
-    d = plan_mix(d).withColumn("taken", F.col("copies") * F.col("size"))
+    return plan_mix(d).select("doc_id", "source", "size", "source_size", "target", "copies")
+
+
+def mix(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies of every document."""
+    d = mixed(docs, labels, seed).withColumn("taken", F.col("copies") * F.col("size"))
     return d.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
@@ -100,19 +111,37 @@ def op1(spark, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def repeat(docs: DataFrame, labels: DataFrame | None = None, seed: str = "mix-1") -> DataFrame:
+    """Every row as often as the mix takes it.
+
+    Rows that agree in doc_id, source and size mostly have the same number of
+    copies and meet it in one join. The few such groups whose rows differ (by
+    one, in the order of the text) are numbered; no other text is sorted.
+    """
+    same = ["p_id", "p_source", "p_size"]
+    plan = mixed(docs, labels, seed).select(F.col("doc_id").alias("p_id"), F.col("source").alias("p_source"), F.col("size").alias("p_size"), "copies")
+    plan = plan.groupBy(*same).agg(F.max("copies").alias("most"), F.sum("copies").alias("total"), F.count(F.lit(1)).alias("n"))
+    plan = materialize(plan.where("total > 0"), "copies")
+    rows = docs.select(packed(docs).alias("row"), F.col("doc_id").alias("id"), F.col("source").alias("source"), size_of(F.col("text")).alias("size"))
+    match = F.col("id").eqNullSafe(F.col("p_id")) & F.col("source").eqNullSafe(F.col("p_source")) & (F.col("size") == F.col("p_size"))
+    even = rows.join(plan.where("total = most * n"), match).select("row", F.col("most").alias("copies"))
+    uneven = rows.join(materialize(plan.where("total < most * n"), "uneven"), match)
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("row.text"))
+    more = F.col("total") - F.col("n") * (F.col("most") - 1)  # so many rows have one copy more than the rest
+    uneven = uneven.withColumn("nth", nth).select("row", F.when(F.col("nth") <= more, F.col("most")).otherwise(F.col("most") - 1).alias("copies"))
+    out = even.unionByName(uneven).where("copies > 0")
+    return unpacked(out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs)
+
+
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it."""
-    plan = mix(docs, table(spark, sf_dir, "labels"))
-    per_id = plan.where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    out = docs.withColumnRenamed("doc_id", "_id").join(per_id, F.col("_id").eqNullSafe(F.col("doc_id"))).drop("doc_id")
-    out = out.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return out.withColumnRenamed("_id", "doc_id").select(*docs.columns)
+    return repeat(docs, table(spark, sf_dir, "labels"))
 
 
 SQL = r"""
 with d as (
  select doc_id, source, len(regexp_extract_all(coalesce(text,''), '[^\x20\x09-\x0D]+')) as size,
-  (('0x' || substr(md5(concat_ws(chr(31),'mix-1',coalesce(doc_id::varchar,'-'))),1,12))::bigint::double + 0.5)/281474976710656.0 as draw
+  (('0x' || substr(md5(concat_ws(chr(31),'mix-1',coalesce(doc_id::varchar,'-' || md5(coalesce(text,''))))),1,12))::bigint::double + 0.5)/281474976710656.0 as draw
  from documents),
 q as (select doc_id, min(case when quality=1 and coalesce(toxic,0)=0 then 2.0 else 0.5 end) as quality from labels
  where doc_id is not null and quality is not null group by doc_id),

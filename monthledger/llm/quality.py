@@ -9,8 +9,9 @@ kept if that tail probability is at least ``KEEP``.
 
 Cases: null or empty text has only the bias and the "empty" shape; labels with
 null doc_id or quality are left out, null toxic counts as 0, of several labels
-the lowest grade counts; without labels, or with one grade only, every document
-is kept; repeated rows each get a row; extra columns are ignored.
+the lowest grade counts, and of several texts of a labelled doc_id the smallest
+is fitted on; without labels, or with one grade only, every document is kept;
+repeated rows each get a row; extra columns are ignored, in the stage kept.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import ship, table
+from monthledger.llm.common import packed, ship, table, unpacked
 
 ship(__name__)
 
@@ -109,7 +110,8 @@ def graded(labels: DataFrame) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
     chosen = graded(labels).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "grade")
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))  # at most max_rows texts
 
     def prepare(batches):
         held = {}
@@ -117,12 +119,12 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS):
             yield pd.DataFrame({"doc_id": b["doc_id"], "x": [features(t, held) for t in b["text"]], "grade": b["grade"]})
 
     x = rows.mapInPandas(prepare, "doc_id long, x array<int>, grade int")
-    got = x.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(max_rows).collect()
+    got = x.orderBy("doc_id").limit(max_rows).collect()
     return fit([(np.array(r.x, np.int32), r.grade) for r in got])
 
 
 def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """docs with expected_grade, p_top and kept."""
+    """Each row of docs as struct ``row``, and ``_score``: expected_grade, p_top and kept."""
     model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, max_rows))
 
     @F.pandas_udf("expected_grade double, p_top double, kept boolean")
@@ -135,13 +137,13 @@ def classify(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Da
         p = 1 / (1 + np.exp(-np.clip(s[:, None] - theta[None, :], -30, 30))) if len(s) else np.zeros((0, 2))
         return pd.DataFrame({"expected_grade": p.sum(axis=1), "p_top": p[:, 1], "kept": p[:, 1] >= KEEP})
 
-    return docs.withColumn("_score", score("text"))
+    return docs.select(packed(docs).alias("row"), score("text").alias("_score"))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:
     scored = classify(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return scored.select("doc_id", "_score.*")
+    return scored.select("row.doc_id", "_score.*")
 
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return classify(docs, table(spark, sf_dir, "labels")).where("_score.kept").select(*docs.columns)
+    return unpacked(classify(docs, table(spark, sf_dir, "labels")).where("_score.kept"), docs)

@@ -10,7 +10,9 @@ Cases: null text is the empty blob; repeated rows each get their row; ties of
 the start sort by kind as listed; an empty table gives an empty result; long
 texts are scanned whole; extra columns are kept by ``redact`` and ignored by
 ``scan``. Hot blobs meet only as (id, digest) rows, which adaptive execution
-splits; a blob's text is read through one of its documents.
+splits; a blob's text is read through one of its documents. Once a ledger is
+there, texts are narrowed to unseen blobs before anything of them is shuffled:
+while those are few Spark broadcasts their digests, and only their texts move.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import materialize, new_path, table
+from monthledger.llm.common import file_system, materialize, new_path, packed, passing, quoted, table
 
 #: Fixed values: (kind, pattern, group whose length counts, least length).
 BASE_RULES = (
@@ -89,29 +91,43 @@ def version_of(rules, version: str = RULE_VERSION) -> str:
 def scan(docs: DataFrame, ledger: str | None = None, rules=RULES, version: str = RULE_VERSION) -> DataFrame:
     """(doc_id, blob, spans) of every row; the ledger at ``ledger`` grows."""
     spark, version = docs.sparkSession, version_of(rules, version)
+    own = ledger is None
     ledger = ledger or new_path(spark, "ledger")
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", F.sha2(text, 256).alias("blob"))
-    rows = materialize(rows, "blobs")
-    who = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    fresh = rows.groupBy("blob").agg(F.min(who).alias("who"))
+    rows = materialize(docs.select("doc_id", digest_of(docs).alias("blob")), "blobs")
+    fresh = rows.groupBy("blob").agg(F.min(who(rows)).alias("who"))
     schema = f"blob string, spans {SPAN}, rule_version string"
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-    there = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    fs, path = file_system(spark, ledger)
+    there = fs.exists(path)
     if there:
         known = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version)
-        fresh = fresh.join(known.select("blob"), "blob", "left_anti")
-    # equal rows of one doc_id collapse before the one shuffle of texts
-    own = docs.select(F.sha2(text, 256).alias("blob"), who.alias("who"), text.alias("text")).dropDuplicates(["blob", "who"])
-    texts = own.join(fresh, ["blob", "who"])
-    found = texts.select("blob", scan_text(F.col("text"), rules).alias("spans"), F.lit(version).alias("rule_version"))
+        fresh = materialize(fresh.join(known.select("blob"), "blob", "left_anti"), "unseen")
+    found = unseen_texts(docs, fresh, there).select("blob", scan_text(F.col("text"), rules).alias("spans"), F.lit(version).alias("rule_version"))
     found.write.mode("append").partitionBy("rule_version").parquet(ledger)
+    if own:
+        passing(spark, ledger)
     known = spark.read.schema(schema).parquet(ledger).where(F.col("rule_version") == version)
     hits = known.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
     out = rows.join(hits, "blob", "left")
     return out.select("doc_id", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
 
 
+def who(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"].cast("string"), F.lit(""))
+
+
+def digest_of(docs: DataFrame) -> Column:
+    return F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+
+
+def unseen_texts(docs: DataFrame, fresh: DataFrame, some_seen: bool) -> DataFrame:
+    """(blob, who, text), one row for each row of ``fresh`` (blob, who)."""
+    texts = docs.select(digest_of(docs).alias("blob"), who(docs).alias("who"), F.coalesce("text", F.lit("")).alias("text"))
+    if some_seen:
+        return texts.join(fresh, ["blob", "who"], "left_semi").dropDuplicates(["blob", "who"])
+    # equal rows of one doc_id collapse before the one shuffle of texts
+    return texts.dropDuplicates(["blob", "who"]).join(fresh, ["blob", "who"])
+
+
 def joined(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
@@ -127,10 +143,10 @@ def op4(spark, sf_dir: str) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
     """Documents with every found span masked; overlapping spans get one mask."""
-    found = scan(docs).where(F.size("spans") > 0).groupBy(F.col("blob").alias("_blob")).agg(F.first("spans").alias("_spans"))
-    d = docs.withColumn("_own", F.sha2(F.coalesce("text", F.lit("")), 256))
-    d = d.join(found, F.col("_own") == F.col("_blob"), "left")
-    text = F.col("text")
+    found = scan(docs).where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("spans"))
+    d = docs.select(packed(docs).alias("row"), digest_of(docs).alias("own"))
+    d = d.join(found, F.col("own") == F.col("blob"), "left")
+    text = F.col("row.text")
 
     def step(acc, s):
         gap = F.substring(text, acc["at"] + 1, s["start"] - acc["at"])
@@ -138,11 +154,11 @@ def redact(docs: DataFrame, mask: str = "[SECRET]") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["stop"]).alias("at"), out.alias("out"))
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate("_spans", zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    d = d.withColumn("text", F.when(F.col("_spans").isNull(), text).otherwise(masked))
-    if "n_chars" in docs.columns:
-        d = d.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
-    return d.select(*docs.columns)
+    masked = F.aggregate("spans", zero, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
+    d = d.withColumn("masked", F.when(F.col("spans").isNull(), text).otherwise(masked))
+    chars = F.when(F.col("spans").isNull(), F.col("row.n_chars")).otherwise(F.length("masked").cast("long")) if "n_chars" in docs.columns else None
+    new = {"text": F.col("masked"), "n_chars": chars}
+    return d.select(*[new.get(c, F.col(f"row.{quoted(c)}")).alias(c) for c in docs.columns])
 
 
 def secrets_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

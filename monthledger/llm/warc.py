@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from monthledger.llm.common import materialize, new_path, ship, table
+from monthledger.llm.common import materialize, new_path, passing, ship, table
 
 ship(__name__)
 
@@ -121,6 +121,7 @@ def read(spark, path: str) -> DataFrame:
 def op2(spark, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     write(table(spark, sf_dir, "pages"), path)
+    passing(spark, path)
     return read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -15,6 +15,7 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from monthledger.llm import bpe, caps, html, jaccard, licenses, merkle, mixing, quality, secrets, warc
+from monthledger.llm.common import materialize
 from monthledger.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -235,7 +236,7 @@ def test_bpe_equals_tiktoken(spark, docs, edge):
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fit_on, held = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0").toPandas()
-    got = quality.classify(docs.select("doc_id", "text"), fit_on).select("doc_id", "_score.kept").toPandas().drop_duplicates("doc_id").merge(held, on="doc_id")
+    got = quality.classify(docs.select("doc_id", "text"), fit_on).select("row.doc_id", "_score.kept").toPandas().drop_duplicates("doc_id").merge(held, on="doc_id")
     clean, rest = (got.quality == 1) & (got.toxic == 0), (got.quality == 0) | (got.toxic == 1)
     assert got[clean].kept.mean() > 0.97 and (~got[rest].kept).mean() > 0.85
 
@@ -542,3 +543,57 @@ def test_a_text_of_many_secrets_is_scanned_in_time(spark):
     got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().spans
     assert [(s.start, s.stop) for s in got if s.kind == "assign"] == [(m.start(), m.end()) for m in re.finditer("token=abcdef1", text)]
     assert [(s.start, s.stop) for s in got if s.kind == "hex"] == [(len(text) - 30, len(text))]
+
+
+def test_stages_with_clashing_columns(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"some words and more of them, number {i} " * (i % 3 + 1) + ("password = abcdef12345 end" if i % 2 else "")) for i in range(12)] + [(None, "no id")]
+    names = f"{CLASH}, `a.b` int, row string, id int, copies int, most int, spans string, masked string, who string, copied int, `key` string, draw int, source string"
+    more = (9, b"s", b"t", 1, 0.5, "sp", 2, 3, "bl", 4, 5, 6, "w", 7, "r", 8, 9, 10, "x", "m", "o", 1, "k", 2, "src")
+    df = spark.createDataFrame([(*r, *more) for r in rows], f"doc_id long, text string, {names}")
+    plain = df.select("doc_id", "text", "source")
+    for name, stage in corpus_pipeline.STAGES:
+        out, same = stage(spark, df, SF), stage(spark, plain, SF)
+        assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in same.collect()), name
+        if name != "byte_bpe":
+            assert out.columns == df.columns, name
+            assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter((r.doc_id, r.text) for r in same.collect()), name
+            assert all(tuple(r)[2:] == more for r in out.collect()), name
+
+
+def test_mix_repeats_rows_not_ids(spark):
+    rows = [(i % 7 if i % 5 else None, " ".join(["w"] * (i % 4 + 1)) + f" {i % 3}", "abc"[i % 3]) for i in range(90)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want, got = Counter(), Counter()
+    for r in mixing.mix(d).collect():
+        want[r.doc_id, r.size] += r.copies
+    for r in mixing.repeat(d).collect():
+        got[r.doc_id, len(r.text.split())] += 1
+    assert got == +want
+    given = Counter(rows)
+    for key, n in Counter(tuple(r) for r in mixing.repeat(d).collect()).items():
+        assert n <= 3 * given[key]
+
+
+def test_null_ids_do_not_share_a_draw(spark):
+    d = spark.createDataFrame([(None, f"text {i}", "a") for i in range(300)] + [(i, "w w", "b") for i in range(300)], "doc_id long, text string, source string")
+    assert {r.copies for r in mixing.mix(d).where("source_size = 600 and doc_id is null").collect()} <= {0, 1, 2, 3}
+    held = mixing.mixed(d, None, "s").where("doc_id is null").groupBy("copies").count().count()
+    assert held in (1, 2)
+
+
+def test_second_scan_moves_unseen_texts_only(spark, docs, tmp_path):
+    d = docs.select("doc_id", "text")
+    ledger = str(tmp_path / "ledger")
+    secrets.scan(d, ledger).count()
+    grown = d.unionByName(spark.createDataFrame([(10**6, "token = abcdef98765"), (10**6 + 1, "nothing")], d.schema))
+    fresh = materialize(spark.createDataFrame([(hashlib.sha256(b"nothing").hexdigest(), str(10**6 + 1))], "blob string, who string"), "unseen")
+    texts = secrets.unseen_texts(grown, fresh, True)
+    assert [r.text for r in texts.collect()] == ["nothing"]
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    twice = {r.doc_id: r.spans for r in secrets.scan(grown, ledger).collect()}
+    assert [(x.kind, x.start, x.stop) for x in twice[10**6]] == [("assign", 0, 19)]
+    once = {r.doc_id: r.spans for r in secrets.scan(grown).collect()}
+    assert once == twice and spark.read.parquet(ledger).count() == grown.select("text").na.fill("").distinct().count()
