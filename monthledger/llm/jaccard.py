@@ -5,19 +5,20 @@ rows are collapsed first. The product runs over the columns that can decide a
 pair: of a row of s shingles the first s - ceil(t * s) + 1 in one global order
 (a pair at t or more shares one of them), so overlap starts from those columns
 only, and pairs whose sizes alone rule out t are dropped. Very frequent
-columns go last in the order, which keeps the result exact under any choice;
-they are counted over all rows (later rounds: those that moved up) and at most
-``HOT`` of them are broadcast.
+columns go last in the order. They come from bounded counts that each task
+gathers while it takes the sizes, and at most ``HOT`` of them are broadcast;
+the result is exact under any choice.
 
 Groups of near copies are not expanded into pairs. Each block of a column first
 meets its smallest document (a star); exact overlaps are counted for the stars,
 linked documents are contracted, and only pairs in different components go on,
 in products of bounded blocks (``column_pairs``).
 
-A first pass keeps only sizes and signatures; the sets are computed again, for
-one row per distinct set, and written once. A 256-byte histogram of each set
-bounds the overlap of a pair from above, so sets move only for pairs that the
-bound leaves open; the decision is the exact overlap.
+A first pass keeps only sizes, signatures and those counts; a second one, over
+one row per distinct set, writes the deciding columns and a 256-byte histogram
+of the set. Histograms bound the overlap of a pair from above, so whole sets are
+made, a third time, only for the documents of pairs that the bound leaves open;
+the decision is the exact overlap.
 
 Cases: null, empty or blank text: no shingles, no links. Fewer than n words:
 the sequence is the one shingle. Null doc_id: a row without links, component
@@ -42,11 +43,13 @@ ship(__name__)
 
 HOT = 200_000
 HOT_DF = 100
-ROUNDS = 2
+CHUNK = 2_000_000
+SKETCH = 16_384
 SMALL = 32
 BLOCK = 1000
-SIZES = "doc_id long, n_shingles long, sig binary"
-SETS = SIZES + ", hist binary, hashes array<long>"
+HELD = 200_000
+SIZES = "doc_id long, n_shingles long, sig binary, cols array<long>, counts array<long>"
+DECIDING = "doc_id long, n_shingles long, sig binary, hist binary, cols array<long>"
 
 
 class Words(dict):
@@ -82,43 +85,116 @@ def histogram(x: np.ndarray) -> bytes | None:
     return h.astype(np.uint8).tobytes() if h.max() < 256 else None
 
 
-def shingle_sets(docs: DataFrame, n: int = 5, full: bool = True) -> DataFrame:
-    """doc_id, n_shingles, sig of every row; ``full``: the histogram and the set too."""
+def each_set(batches, n: int):
+    """(doc_ids, sets) of 256 rows at a time."""
+    held = Words()
+    for b in batches:
+        for s in range(0, b.num_rows, 256):
+            part = b.slice(s, 256)
+            yield part.column("doc_id"), [shingle_hashes(t, n, held) for t in part.column("text").to_pylist()]
+            if len(held) > HELD:
+                held = Words()
+
+
+def signature(x: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(x.tobytes())
+
+
+def lists(arrays: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(arrays), pa.int64()))
+
+
+def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
+    """One row: the ``SKETCH`` most frequent columns that occur twice or more, and their counts."""
+    cols, counts = np.unique(np.concatenate(sets), return_counts=True)
+    at = np.nonzero(counts > 1)[0]
+    if len(at) > SKETCH:
+        at = at[np.argpartition(counts[at], -SKETCH)[-SKETCH:]]
+    none = [pa.nulls(1, t) for t in (pa.int64(), pa.int64(), pa.binary())]
+    return pa.RecordBatch.from_arrays([*none, lists([cols[at]]), lists([counts[at]])], names=["doc_id", "n_shingles", "sig", "cols", "counts"])
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+
+def sizes(docs: DataFrame, n: int = 5) -> DataFrame:
+    """doc_id, n_shingles, sig of every row, and rows without sig that hold
+    columns with their counts among the unlike sets of ``CHUNK`` entries."""
 
     def run(batches):
-        held = Words()
-        for b in batches:
-            for s in range(0, b.num_rows, 256):
-                part = b.slice(s, 256)
-                sets = [shingle_hashes(t, n, held) for t in part.column("text").to_pylist()]
-                if len(held) > 400_000:
-                    held = Words()
-                sigs = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
-                out = [part.column("doc_id"), pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary())]
-                if full:
-                    ends = np.cumsum([0, *map(len, sets)])
-                    out += [pa.array([histogram(x) for x in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets), pa.int64()))]
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "sig", "hist", "hashes"][: len(out)])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SETS if full else SIZES)
-
-
-def distinct_sets(docs: DataFrame, rows: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """The full set of one row per distinct set. ``rows``: doc_id, sig of all
-    rows, ``reps``: (sig, rep).
-
-    Texts are not shuffled: those of the documents that name no set (copies,
-    empty texts) are left out by the list of their ids, which Spark broadcasts
-    while it is small. Rows of a repeated doc_id are taken by their signature.
-    """
+        chunk, seen, held = [], set(), 0
+        for ids, sets in each_set(batches, n):
+            sigs = [signature(x) for x in sets]
+            none = pa.nulls(len(sets), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary()), none, none], names=["doc_id", "n_shingles", "sig", "cols", "counts"])
+            for x, sig in zip(sets, sigs):
+                if sig not in seen:
+                    seen.add(sig)
+                    chunk.append(x)
+                    held += len(x)
+            if held > CHUNK:
+                yield frequent(chunk)
+                chunk, seen, held = [], set(), 0
+        if chunk:
+            yield frequent(chunk)
+
+    return numbered(docs).mapInArrow(run, SIZES)
+
+
+def hot_columns(counted: DataFrame) -> np.ndarray:
+    """At most ``HOT`` columns, sorted, that the tasks counted over ``HOT_DF`` times."""
+    each = counted.where("sig is null").select(F.explode(F.arrays_zip("cols", "counts")).alias("c"))
+    df = each.groupBy(F.col("c.cols").alias("col")).agg(F.sum("c.counts").alias("df"))
+    top = df.where(F.col("df") > HOT_DF).orderBy(F.desc("df"), "col").limit(HOT)
+    return np.sort(np.array([r.col for r in top.select("col").collect()], np.int64))
+
+
+def chosen(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """doc_id, rows, named: of the documents that hold no distinct set (copies,
+    empty texts) or whose id is repeated. ``rows``: doc_id, sig of all rows,
+    ``reps``: (sig, rep)."""
     ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
     ids = ids.join(reps.select(F.col("rep").alias("doc_id")).distinct().withColumn("named", F.lit(True)), "doc_id", "left")
-    ids = materialize(ids.where("rows > 1 or named is null"), "ids")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
-    once = shingle_sets(texts.join(ids.select("doc_id"), "doc_id", "left_anti"), n)
-    again = shingle_sets(texts.join(ids.where("rows > 1 and named").select("doc_id"), "doc_id", "left_semi"), n)
+    return ids.where("rows > 1 or named is null")
+
+
+def deciding_columns(docs: DataFrame, ids: DataFrame, reps: DataFrame, n: int, percent: int, hot: np.ndarray) -> DataFrame:
+    """Size, histogram and deciding columns of one row per distinct set.
+
+    Texts are not shuffled: those of ``chosen`` documents are left out by the
+    list of their ids, which Spark broadcasts while it is small. Rows of a
+    repeated doc_id are taken by their signature.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def run(batches):
+        hot = shared.value
+        for ids, sets in each_set(batches, n):
+            cols = [deciding(x, len(x) - -(-percent * len(x) // 100) + 1, hot) if len(x) else x for x in sets]
+            sigs, hists = [signature(x) for x in sets], [histogram(x) for x in sets]
+            out = [ids, pa.array([len(x) for x in sets], pa.int64()), pa.array(sigs, pa.binary()), pa.array(hists, pa.binary()), lists(cols)]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "n_shingles", "sig", "hist", "cols"])
+
+    texts = numbered(docs).where("doc_id is not null")
+    once = texts.join(ids.select("doc_id"), "doc_id", "left_anti").mapInArrow(run, DECIDING)
+    again = texts.join(ids.where("rows > 1 and named").select("doc_id"), "doc_id", "left_semi").mapInArrow(run, DECIDING)
     again = again.join(reps.select("sig", F.col("rep").alias("doc_id")), ["sig", "doc_id"], "left_semi").dropDuplicates(["doc_id", "sig"])
-    return once.unionByName(again)
+    return once.unionByName(again).drop("sig")
+
+
+def whole_sets(docs: DataFrame, ids: DataFrame, repeated: DataFrame, n: int) -> DataFrame:
+    """doc_id, hashes of the documents in ``ids``; unlike texts of one id each give a row."""
+
+    def run(batches):
+        for ids, sets in each_set(batches, n):
+            yield pa.RecordBatch.from_arrays([ids, lists(sets)], names=["doc_id", "hashes"])
+
+    texts = numbered(docs).join(ids, "doc_id", "left_semi")
+    once = texts.join(repeated, "doc_id", "left_anti").mapInArrow(run, "doc_id long, hashes array<long>")
+    again = texts.join(repeated, "doc_id", "left_semi").mapInArrow(run, "doc_id long, hashes array<long>")
+    return once.unionByName(again.dropDuplicates(["doc_id", "hashes"]))
 
 
 def deciding(x: np.ndarray, take: int, hot: np.ndarray) -> np.ndarray:
@@ -129,32 +205,6 @@ def deciding(x: np.ndarray, take: int, hot: np.ndarray) -> np.ndarray:
     return np.concatenate([x[~common], x[common]])[:take]
 
 
-def prefixes(sets: DataFrame, percent: int, hot: np.ndarray, before: np.ndarray | None = None) -> DataFrame:
-    """(doc, n, column) of the deciding columns of each row, hot ones last;
-    with ``before``, only those that were not deciding with that hot list."""
-    shared = sets.sparkSession.sparkContext.broadcast((hot, before))
-
-    def run(batches):
-        hot, before = shared.value
-        for b in batches:
-            for s in range(0, b.num_rows, 256):
-                part = b.slice(s, 256)
-                ids, ns, cols = [], [], []
-                for d, row in zip(part.column("doc_id").to_pylist(), part.column("hashes")):
-                    x = row.values.to_numpy(zero_copy_only=False)
-                    take = len(x) - -(-percent * len(x) // 100) + 1
-                    p = deciding(x, take, hot)
-                    if before is not None:
-                        p = np.setdiff1d(p, deciding(x, take, before), assume_unique=True)
-                    ids.append(np.full(len(p), d, np.int64))
-                    ns.append(np.full(len(p), len(x), np.int64))
-                    cols.append(p)
-                if ids:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v), pa.int64()) for v in (ids, ns, cols)], names=["doc", "n", "col"])
-
-    return sets.select("doc_id", "hashes").mapInArrow(run, "doc long, n long, col long")
-
-
 def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those (a, b) whose histograms allow an overlap that reaches the
     threshold: the class-wise minima add up to at least the true overlap."""
@@ -177,12 +227,12 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, whole, percent: int) -> DataFrame:
     """Those (a, b) whose exact overlap reaches the threshold; only sets of
-    pairs that pass ``possible`` are moved."""
+    pairs that pass ``possible`` are made, by ``whole`` from their ids."""
     pairs = materialize(possible(pairs, sets, percent), "possible")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    needed = materialize(sets.select("doc_id", "hashes").join(ids, "doc_id", "left_semi"), "needed")
+    needed = materialize(whole(materialize(ids, "ids")), "needed")
     x = needed.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
     y = needed.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y"))
     p = pairs.join(x, "a").join(y, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
@@ -241,35 +291,30 @@ def column_pairs(q: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return few.union(many.where("a <> b")).distinct()
 
 
-def link_edges(sets: DataFrame, percent: int) -> DataFrame:
+def link_edges(sets: DataFrame, whole, percent: int) -> DataFrame:
     """Edges (a, b) that connect exactly what all links connect. ``sets``: one
-    row per distinct non-empty set."""
-    hot, before = np.zeros(0, np.int64), None
-    for _ in range(ROUNDS):  # after the first round only columns that moved up are counted
-        p = prefixes(sets, percent, hot, before)
-        top = p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > HOT_DF).orderBy(F.desc("df"), "col").limit(HOT)
-        grown = np.union1d(hot, np.array([r.col for r in top.select("col").collect()], np.int64))
-        if len(grown) == len(hot) or len(grown) > HOT:
-            break
-        hot, before = grown, hot
-    p = prefixes(sets, percent, hot)
+    row per distinct non-empty set, of which ``whole`` makes the hashes."""
+    p = sets.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("cols").alias("col"))
     p = materialize(p.join(p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "col"), "prefixes")
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
     first = p.groupBy("col").agg(F.min(F.struct("doc", "n")).alias("s")).select("col", F.col("s.doc").alias("b"), F.col("s.n").alias("m"))
     stars = materialize(p.join(first, "col").where((F.col("doc") != F.col("b")) & fits).select(F.col("doc").alias("a"), "b").distinct(), "pairs")
-    linked = materialize(verified(stars, sets, percent), "stars")
+    linked = materialize(verified(stars, sets, whole, percent), "stars")
     roots = materialize(connected_components(linked), "roots")
     q = p.join(roots, F.col("doc") == F.col("node"), "left").select("col", "doc", "n", F.coalesce("root", "doc").alias("root"))
     rest = column_pairs(q, sets, percent).join(stars, ["a", "b"], "left_anti")
-    return linked.union(verified(rest, sets, percent))
+    return linked.union(verified(rest, sets, whole, percent))
 
 
 def components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    rows = materialize(shingle_sets(docs, n, full=False), "sizes")
+    counted = materialize(sizes(docs, n), "sizes")
+    rows = counted.where("sig is not null").select("doc_id", "n_shingles", "sig")
     named = rows.where("doc_id is not null and n_shingles > 0")
     one = materialize(named.groupBy("sig").agg(F.min("doc_id").alias("rep")), "reps")
-    edges = link_edges(materialize(distinct_sets(docs, rows, one, n), "distinct"), percent)
+    ids = materialize(chosen(rows, one), "ids")
+    sets = materialize(deciding_columns(docs, ids, one, n, percent, hot_columns(counted)), "distinct")
+    edges = link_edges(sets, lambda wanted: whole_sets(docs, wanted, ids.where("rows > 1").select("doc_id"), n), percent)
     same = named.select("doc_id", "sig").join(one, "sig").where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     roots = connected_components(edges.union(same))
     out = rows.select("doc_id", "n_shingles").join(roots, F.col("doc_id") == F.col("node"), "left")
