@@ -1,10 +1,12 @@
 """License scans by sentence rules.
 
 Texts are cut into sentences at sentence ends and blank lines; a single newline
-is a space. Known licence sentences (letters and digits count, case and comment
-marks do not) are looked for where a sentence, a line or a part after a colon or
-semicolon begins, those of over twelve words at every word; one of over six
-words may go on, a shorter one must end there.
+is a space. A sentence is normalised to its words (ASCII letters and digits,
+lower case; comment marks and punctuation fall away) and mapped to the identifier
+of a known licence sentence by a dictionary of normalised sentences, whose keys
+are their first ``HEAD`` words. Sentences are looked up where a sentence, a line or
+a part after a colon or semicolon begins, those of over twelve words at every
+word; one of over six words may go on, a shorter one must end there.
 A rule is an ordered sequence of identifiers; where it appears in a document's
 sequence (unknown sentences in between allowed up to ``gap``) the licence is
 found. Rules are tried longest first and a sentence serves one match.
@@ -105,39 +107,111 @@ RULES = (
     ("CC-BY-4.0", ("ccby-ref",)),
     ("BSD", ("bsd-redist",)),
 )
+#: Fixed values: (licence, sentence that names it alone), titles of full texts among them.
+REFERENCES = (
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "This * is licensed under the MIT License"),
+    ("Apache-2.0", "This * is licensed under the Apache License, Version 2.0"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("GPL-2.0", "GNU General Public License Version 2, June 1991"),
+    ("GPL-3.0", "GNU General Public License Version 3, 29 June 2007"),
+    ("LGPL-2.1", "GNU Lesser General Public License Version 2.1, February 1999"),
+    ("LGPL-3.0", "GNU Lesser General Public License Version 3, 29 June 2007"),
+    ("AGPL-3.0", "GNU Affero General Public License Version 3, 19 November 2007"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "Creative Commons Attribution-ShareAlike 4.0 International"),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
+)
+#: Names after an SPDX tag; an expression of several is not taken apart.
+SPDX = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+    "EPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense",
+)
+NAMED = {f"named-{i}": r for i, r in enumerate(REFERENCES)} | {f"spdx-{n}": (n, f"SPDX-License-Identifier: {n}") for n in SPDX}
+SENTENCES |= {k: s for k, (_, s) in NAMED.items()}
+RULES += tuple((name, (k,)) for k, (name, _) in NAMED.items())
 GAP = 2
+HEAD = 5
+ANY_WORDS = 12
 CUT = re.compile(r"(?<=[.!?])\s+|\n[^\S\n]*\n\s*")
 STOP = re.compile(r"(?<=[.!?:;])\s|\n[^\S\n]*\n|\Z")
 LINE_END = re.compile(r"[^A-Za-z0-9\n]*?(?=(?<=[.!?:;])\s|\n|\Z)")
-WORDS = re.compile(r"[A-Za-z0-9]+|\*")
+WORD = re.compile("[A-Za-z0-9]+")
 FIELDS = "array<struct<license:string,first_sentence:int,last_sentence:int,start:int,stop:int>>"
 
 
-def matcher(sentence: str) -> re.Pattern:
-    """The sentence's words with anything but words between them."""
-    words = ["[A-Za-z0-9]+(?:[^A-Za-z0-9]+[A-Za-z0-9]+){0,11}?" if w == "*" else w for w in WORDS.findall(sentence)]
-    return re.compile("[^A-Za-z0-9]+".join(words) + "(?![A-Za-z0-9])", re.I | re.A)
+def normal(text: str) -> list[str]:
+    return [w.lower() for w in WORD.findall(text)]
+
+
+class Words:
+    """The normalised words of a text from a place on, read as far as asked for."""
+
+    def __init__(self, text: str, at: int):
+        self.left, self.words, self.ends = WORD.finditer(text, at), [], []
+
+    def run(self, at: int, n: int) -> list[str]:
+        while len(self.words) < at + n and (m := next(self.left, None)):
+            self.words.append(m[0].lower())
+            self.ends.append(m.end())
+        return self.words[at : at + n]
+
+
+class Sentence:
+    """A known sentence: its runs of words between the places of any 1 to ``ANY_WORDS`` words."""
+
+    def __init__(self, name: str, text: str):
+        self.name, self.cuts = name, len(CUT.findall(text))
+        self.runs = [normal(r) for r in text.split("*")]
+        self.size = sum(map(len, self.runs)) + len(self.runs) - 1
+        self.key = " ".join(self.runs[0][:HEAD])
+
+    def end(self, words: Words) -> int | None:
+        """Where the sentence ends if the text's words begin with it."""
+        at = 0
+        for i, run in enumerate(self.runs):
+            gaps = range(1, ANY_WORDS + 1) if i else (0,)
+            gap = next((g for g in gaps if words.run(at + g, len(run)) == run), None)
+            if gap is None:
+                return None
+            at += gap + len(run)
+        return words.ends[at - 1]
+
+
+#: first words -> known sentences, longest first; and the number of words that keys have.
+KNOWN: dict[str, list[Sentence]] = {}
+for _s in sorted((Sentence(k, s) for k, s in SENTENCES.items()), key=lambda s: -s.size):
+    KNOWN.setdefault(_s.key, []).append(_s)
+SIZES = sorted({k.count(" ") + 1 for k in KNOWN})
+LONG_KEYS = {k for k, s in KNOWN.items() if s[0].size > 12}
+
+
+def heads(keys) -> str:
+    """Pattern of the first two words of the keys: places worth a look."""
+    two = sorted({"[^A-Za-z0-9]+".join(k.split()[:2]) for k in keys})
+    return f"(?=({'|'.join(two)})(?![A-Za-z0-9]))"
 
 
-#: first word -> (identifier, pattern, cuts inside the sentence, number of words), longest first.
-KNOWN: dict[str, list] = {}
-for _k, _s in sorted(SENTENCES.items(), key=lambda x: -len(x[1].split())):
-    KNOWN.setdefault(_s.split()[0].lower(), []).append((_k, matcher(_s), len(CUT.findall(_s)), len(WORDS.findall(_s))))
-HEADS = "|".join(KNOWN)
-ANY = re.compile(rf"(?<![A-Za-z0-9])({HEADS})(?![A-Za-z0-9])", re.I | re.A)
-START = re.compile(rf"(?:(?:\A|\n)[^A-Za-z0-9\n]*+|(?<=[.!?:;])\s[^A-Za-z0-9\n.!?:;]*+)({HEADS})(?![A-Za-z0-9])", re.I | re.A)
+LONG = re.compile(rf"(?<![A-Za-z0-9]){heads(LONG_KEYS)}", re.I | re.A)
+START = re.compile(rf"(?:(?:\A|\n)[^A-Za-z0-9\n]*+|(?<=[.!?:;])\s[^A-Za-z0-9\n.!?:;]*+){heads(KNOWN)}", re.I | re.A)
 
 
-def identify(text: str, at: int, word: str, begins: bool) -> tuple[str, int] | None:
+def identify(text: str, at: int, begins: bool) -> tuple[str, int] | None:
     """(identifier, end) of the known sentence that begins at ``at``."""
-    for k, pattern, cuts, words in KNOWN[word.lower()]:
-        m = pattern.match(text, at) if begins or words > 12 else None
-        if m and sum(1 for _ in CUT.finditer(text, at, m.end())) <= cuts:
-            end = LINE_END.match(text, m.end())
+    words = Words(text, at)
+    found = [s for n in SIZES for s in KNOWN.get(" ".join(words.run(0, n)), ()) if begins or s.size > 12]
+    for s in sorted(found, key=lambda s: -s.size):
+        stop = s.end(words)
+        if stop and sum(1 for _ in CUT.finditer(text, at, stop)) <= s.cuts:
+            end = LINE_END.match(text, stop)
             if end:
-                return k, at + len(text[at : end.end()].rstrip())
-            if words > 6:
-                return k, STOP.search(text, m.end()).start()
+                return s.name, at + len(text[at : end.end()].rstrip())
+            if s.size > 6:
+                return s.name, STOP.search(text, stop).start()
     return None
 
 
@@ -145,9 +219,8 @@ def known(text: str) -> list[tuple]:
     """(sentence number, start, stop, identifier) of the known sentences."""
     out, stop, cut, number = [], 0, 0, 0
     begins = {m.start(1) for m in START.finditer(text)}
-    for m in ANY.finditer(text):
-        at = m.start()
-        if at >= stop and (found := identify(text, at, m[1], at in begins)):
+    for at in sorted(begins | {m.start(1) for m in LONG.finditer(text)}):
+        if at >= stop and (found := identify(text, at, at in begins)):
             number += sum(1 for _ in CUT.finditer(text, cut, at))
             cut, stop = at, found[1]
             out.append((number, at, stop, found[0]))

@@ -3,6 +3,7 @@
 import hashlib
 import inspect
 import json
+import random
 import re
 import time
 from collections import Counter
@@ -370,6 +371,59 @@ def test_licenses_wrapped_notices(text, name):
         assert [f[0] for f in found] == [name]
 
 
+def brute_known(text):
+    """(start, identifier) of known sentences: every word position against every sentence."""
+    toks = [(m[0].lower(), m.start(), m.end()) for m in re.finditer("[A-Za-z0-9]+", text)]
+    parts = [(k, s, [re.findall("[a-z0-9]+", r.lower()) for r in s.split("*")]) for k, s in licenses.SENTENCES.items()]
+    out, stop = [], 0
+    for i, (_, at, _) in enumerate(toks):
+        gap = text[toks[i - 1][2] if i else 0 : at]
+        begins = i == 0 or "\n" in gap or re.search(r"[.!?:;]\s[^.!?:;]*$", gap)
+        best = None
+        for k, s, (first, *rest) in parts:
+            if first[0] != toks[i][0]:
+                continue
+            for g in range(1, 13) if rest else (0,):
+                runs = [first] + [[None] * g + r for r in rest]
+                want = [w for r in runs for w in r]
+                have = toks[i : i + len(want)]
+                if len(have) == len(want) and all(w in (None, h[0]) for w, h in zip(want, have)):
+                    break
+            else:
+                continue
+            size, end = sum(map(len, [first, *rest])) + len(rest), have[-1][2]
+            after = text[end : toks[i + len(want)][1] if i + len(want) < len(toks) else len(text)]
+            ends = "\n" in after or i + len(want) == len(toks) or re.search(r"[.!?:;]\s", after)
+            cuts = len(re.findall(r"(?<=[.!?])\s+|\n[^\S\n]*\n\s*", text[at:end]))
+            if (begins or size > 12) and (ends or size > 6) and cuts <= len(re.findall(r"(?<=[.!?])\s+", s)):
+                goes_on = len(re.split(r"(?<=[.!?:;])\s|\n[^\S\n]*\n", text[end:])[0])  # a sentence that goes on is its whole sentence
+                best = max(best or (0,), (size, k, end if ends else end + goes_on))
+        if best and at >= stop:
+            out.append((at, best[1]))
+            stop = best[2]
+    return out
+
+
+def test_licenses_brute_force(docs):
+    texts = [r.text or "" for r in docs.collect()][:60] + [t for t, _ in NOTICES]
+    rng = random.Random(5)
+    for _ in range(60):
+        some = [s.replace("*", "any words") for s in rng.sample(sorted(licenses.SENTENCES.values()), 4)]
+        texts.append(rng.choice((" ", "\n", ". ", "\n\n")).join(x.upper() if rng.random() < 0.3 else x for x in ["Some text", *some, "the end"]))
+    assert sum(len(brute_known(t)) for t in texts) > 100
+    for t in texts:
+        assert [(x[1], x[3]) for x in licenses.known(t)] == brute_known(t), t
+
+
+@pytest.mark.parametrize("text,names", [
+    ("// SPDX-License-Identifier: GPL-2.0-only\nint x;", ["GPL-2.0-only"]), ("SPDX-License-Identifier: MIT-0", []),
+    ("This project is licensed under the MIT License - see the file", ["MIT"]), ("    Apache License\n    Version 2.0, January 2004\n", ["Apache-2.0"]),
+    ("Boost Software License - Version 1.0 - August 17th, 2003", ["BSL-1.0"]), ("Eclipse Public License - v 2.0", ["EPL-2.0"]), ("the mit license is short", []),
+])
+def test_licenses_references(text, names):
+    assert [f[0] for f in licenses.scan_text(text)] == names
+
+
 def test_licenses_every_sentence_is_found():
     for k, s in licenses.SENTENCES.items():
         s = s.replace("*", "some words")
