@@ -11,7 +11,7 @@ role are never content, and inside the wrapper all text is content, constant or
 not. A page without its host's path falls back to its article, main or body.
 
 Elements more than ``DEPTH`` deep stand beside each other, as in browsers; no
-text is lost by it. Child lists of over ``PAIRS`` pairs are aligned in order.
+text is lost by it. Child lists of any length get the same exact alignment.
 
 Cases: null or empty html and pages without text give an empty text; repeated
 rows each get a row; null url belongs to the host ""; extra columns are ignored.
@@ -19,12 +19,13 @@ rows each get a row; null url belongs to the host ""; extra columns are ignored.
 
 from __future__ import annotations
 
-import bisect
 import json
+import math
 import re
 import zlib
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ BLOCK = {"address", "article", "blockquote", "body", "dd", "details", "div", "dl
 STEPS = BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6"}  # a wrapper is none of these
 NOISE = re.compile(r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice\w*|popup|modal|newsletter|subscribe|sidebar|menu|nav\w*|breadcrumb\w*|footer|header|comment\w*|disqus|share|social|related|widget)(?:$|[\s_-])", re.I)
 SALTS = 64
-#: Elements within each other, and child pairs that are aligned exactly.
+#: Elements within each other, and child pairs beyond which the same table is made row by row.
 DEPTH = 150
 PAIRS = 40_000
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "dialog", "alert"}
@@ -141,10 +142,9 @@ def texted(t: list) -> bool:
 
 
 def match(a: list, b: list) -> list[tuple[int, int]]:
-    """Simple tree matching of two child lists: the heaviest ordered pairing; of
-    very long lists like ends, then the next like sibling of each."""
+    """Simple tree matching of two child lists: the heaviest ordered pairing."""
     if len(a) * len(b) > PAIRS:
-        return next_like(a, b)
+        return match_rows(a, b)
     w = [[weight(x, y) for y in b] for x in a]
     m = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i in range(len(a)):
@@ -162,26 +162,67 @@ def match(a: list, b: list) -> list[tuple[int, int]]:
     return pairs[::-1]
 
 
-def next_like(a: list, b: list) -> list[tuple[int, int]]:
-    """An ordered pairing in linear time: equal keys from both ends, and between
-    them each child with the next of its key."""
-    head, most = 0, min(len(a), len(b))
-    while head < most and a[head][0] == b[head][0]:
-        head += 1
-    tail = 0
-    while tail < most - head and a[-1 - tail][0] == b[-1 - tail][0]:
-        tail += 1
-    where: dict[str, list[int]] = {}
-    for j in range(head, len(b) - tail):
-        where.setdefault(b[j][0], []).append(j)
-    middle, last = [], head - 1
-    for i in range(head, len(a) - tail):
-        at = where.get(a[i][0], [])
-        k = bisect.bisect_right(at, last)
-        if k < len(at):
-            last = at[k]
-            middle.append((i, last))
-    return [(i, i) for i in range(head)] + middle + [(len(a) - tail + i, len(b) - tail + i) for i in range(tail)]
+def match_rows(a: list, b: list) -> list[tuple[int, int]]:
+    """The pairing of ``match``, a row of its table at a time: every so many rows
+    are kept, and those between made again on the way back."""
+    weights = row_weights(a, b)
+
+    def below(row, i):
+        out = np.zeros_like(row)
+        out[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + weights(i)))
+        return out
+
+    step = math.isqrt(len(a)) + 1
+    row, kept = np.zeros(len(b) + 1, dtype=np.int64), []
+    for i in range(len(a)):
+        if i % step == 0:
+            kept.append(row)
+        row = below(row, i)
+    pairs, i, j = [], len(a), len(b)
+    while i and j:
+        top = (i - 1) // step * step
+        m = [kept[top // step]]
+        for k in range(top, i):
+            m.append(below(m[-1], k))
+        while i > top and j:
+            if m[i - top][j] == m[i - top - 1][j]:
+                i -= 1
+            elif m[i - top][j] == m[i - top][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((i, j))
+    return pairs[::-1]
+
+
+def row_weights(a: list, b: list):
+    """A function of i: the weights of a[i] with each of b. Children of one
+    shape weigh alike, so each two shapes are weighed once."""
+    shapes_a, shapes_b = [shape(x) for x in a], [shape(y) for y in b]
+    kinds = list(dict.fromkeys(shapes_b))
+    number = {s: k for k, s in enumerate(kinds)}
+    of = np.array([number[s] for s in shapes_b])
+    one = dict(zip(shapes_b, b))
+    like: dict[str, list[int]] = {}
+    for s in kinds:
+        like.setdefault(s[0], []).append(number[s])
+    known: dict = {}
+
+    def weights(i):
+        s = shapes_a[i]
+        if s not in known:
+            known[s] = {k: weight(a[i], one[kinds[k]]) for k in like.get(s[0], [])}
+        by_kind = np.zeros(len(kinds), dtype=np.int64)
+        for k, w in known[s].items():
+            by_kind[k] = w
+        return by_kind[of]
+
+    return weights
+
+
+def shape(t: list) -> tuple:
+    """Keys of a tree without its texts."""
+    return (t[0], tuple(map(shape, t[2])))
 
 
 def weight(a: list, b: list) -> int:

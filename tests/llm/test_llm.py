@@ -651,3 +651,22 @@ def test_second_scan_moves_unseen_texts_only(spark, docs, tmp_path):
     assert [(x.kind, x.start, x.stop) for x in twice[10**6]] == [("assign", 0, 19)]
     once = {r.doc_id: r.spans for r in secrets.scan(grown).collect()}
     assert once == twice and spark.read.parquet(ledger).count() == grown.select("text").na.fill("").distinct().count()
+
+
+def test_wide_child_lists_are_aligned_as_narrow_ones(monkeypatch):
+    rnd = random.Random(5)
+
+    def tree(depth):
+        return [rnd.choice("abc"), rnd.randrange(3), [tree(depth - 1) for _ in range(rnd.randrange(4))] if depth else []]
+
+    for _ in range(20):
+        a, b = ([tree(2) for _ in range(rnd.randrange(18, 30))] for _ in range(2))
+        monkeypatch.setattr(html, "PAIRS", 10**9)
+        want = html.match(a, b), html.merge(["r", 0, a], ["r", 0, b])
+        monkeypatch.setattr(html, "PAIRS", 200)
+        assert (html.match(a, b), html.merge(["r", 0, a], ["r", 0, b])) == want
+    wide = [[[rnd.choice("abc"), 0, []] for _ in range(n)] for n in (900, 1100)]
+    monkeypatch.setattr(html, "PAIRS", 40_000)
+    got = html.match(*wide)
+    monkeypatch.setattr(html, "PAIRS", 10**9)
+    assert got == html.match(*wide)
