@@ -513,3 +513,28 @@ def test_rate_rows_without_an_end_or_start_match_nothing(spark, strategy):
     rates = spark.createDataFrame(rows, "vat decimal(10,4), commission_rate_1 decimal(10,4), commission_rate_2 decimal(10,4), active_date date, end_date date")
     got = M.rate_lookup(spine, rates, strategy, F.lit(d("2023-06-01"))).select("claim_month", "commission_rate_1").collect()
     assert {(str(r[0]), None if r[1] is None else float(r[1])) for r in got} == {("2023-01-01", None), ("2023-02-01", 0.3)} and len(got) == 2
+
+
+def test_only_months_that_meet_a_feed_are_shuffled(spark, monkeypatch):
+    """Months by broadcast, by shuffle and left alone give the rows of the
+    uncollapsed plan, also with overlapping rates and null contracts."""
+    sales = [sale("hot", mrc=f"{10 + i}.00") for i in range(60)] + [sale(str(i)) for i in range(9)] + [sale("1"), sale(None)]
+    p = [pay("hot", "Mar-23", "1.00"), pay("1", "Mar-23", "2.00"), pay("1", "Mar-23", "2.00", sos="R2"), pay("2", "Feb-24", "0.50"), pay("3", "Dec-17", "5.00"), pay(None, "Jun-24", "1.00")]
+    bm = [(u, "10/01/2024 00:00", "c", "BASE ON", m, "NON BILLED") for u, m in (("hot", 202305), ("hot", 202305), ("2", 202306), (None, 202306), ("4", None))]
+    rates = [*RATE_CARD, ("O2", Decimal("0.2"), Decimal("0.5"), Decimal("0.3"), d("2023-05-01"), d("2023-06-30"))]
+    for card in (None, rates):
+        src = sources(spark, sales=sales, postpay=p, bm=bm, rates=card)
+        want = _rows(job.classified_months(src, collapse=False).drop("_copies"))
+        for least in (10_000, 10):
+            monkeypatch.setattr(job, "HOT_SALES", least)
+            monkeypatch.setattr(job, "HOT_SHARE", 2)
+            assert _rows(job.classified_months(src).drop("_copies")) == want
+    far = job.meeting(src, "O2", True, None).marks.where("_met <> 0")
+    assert {r.usi for r in far.collect()} == {"2"}
+
+
+def test_claim_rows_are_not_shuffled_to_their_spans(spark, small):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
+    plan = _plan(job.reconcile(fixture_sources(own, SMALL_SF)))
+    assert "Exchange" not in plan and "Join" not in plan
