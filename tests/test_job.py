@@ -538,3 +538,21 @@ def test_claim_rows_are_not_shuffled_to_their_spans(spark, small):
     own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as at scale
     plan = _plan(job.reconcile(fixture_sources(own, SMALL_SF)))
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_claims_are_filtered_after_the_months_are_priced(spark):
+    """The filter on claim types is not pushed below the pricing (which it would repeat)."""
+    df = spark.range(4).withColumn("price", F.col("id") * 3 + 1)
+    kept = job.settled(df).where("price > 4")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter") < plan.index("Generate inline")
+    assert sorted(tuple(r) for r in kept.collect()) == [(2, 7), (3, 10)]
+
+
+def test_classified_months_are_settled(spark):
+    src = sources(spark, sales=[sale("1"), sale(None)], postpay=[pay("1", "Mar-23", "1.00")])
+    plan = job.classified_months(src)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate inline") == 2  # months that meet a feed, and the others
+    kept = ["usi", "claim_month", "payment_status", "expected_commission"]
+    a, b = [sorted(map(str, job.classified_months(src, settle=s).select(*kept).collect())) for s in (True, False)]
+    assert a == b and len(a) == 6
