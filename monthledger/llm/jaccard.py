@@ -106,8 +106,13 @@ def lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def frequent(sets: list[np.ndarray]) -> pa.RecordBatch:
-    """One row: the ``SKETCH`` most frequent columns that occur twice or more, and their counts."""
-    cols, counts = np.unique(np.concatenate(sets), return_counts=True)
+    """One row: the ``SKETCH`` most frequent columns that occur twice or more, and their counts.
+    ``sets`` is emptied, and the columns are sorted in place: a task holds them once."""
+    x = np.concatenate(sets)
+    sets.clear()
+    x.sort()
+    starts = np.flatnonzero(np.concatenate([[len(x) > 0], x[1:] != x[:-1]])[: len(x)])
+    cols, counts = x[starts], np.diff(starts, append=len(x))
     at = np.nonzero(counts > 1)[0]
     if len(at) > SKETCH:
         at = at[np.argpartition(counts[at], -SKETCH)[-SKETCH:]]
@@ -227,10 +232,28 @@ def possible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def enough_columns(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those (a, b) that share enough deciding columns to reach the threshold.
+
+    Of the set whose deciding columns end first in the global order, every
+    common element among them is a deciding column of the other as well; so the
+    overlap is at most the shared deciding columns and that set's other elements.
+    Large sets fill all classes of their histograms, which then rule out little.
+    """
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    kept = sets.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "cols")
+    p = pairs.join(kept.toDF("a", "n", "x"), "a").join(kept.toDF("b", "m", "y"), "b")
+    others = F.greatest(F.col("n") - F.size("x"), F.col("m") - F.size("y"))
+    p = p.withColumn("most", F.least("n", "m", F.size(F.array_intersect("x", "y")) + others))
+    return p.where(100 * F.col("most") >= percent * (F.col("n") + F.col("m") - F.col("most"))).select("a", "b").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, whole, percent: int) -> DataFrame:
     """Those (a, b) whose exact overlap reaches the threshold; only sets of
-    pairs that pass ``possible`` are made, by ``whole`` from their ids."""
+    pairs that pass ``possible`` and ``enough_columns`` are made, by ``whole``
+    from their ids."""
     pairs = materialize(possible(pairs, sets, percent), "possible")
+    pairs = materialize(enough_columns(pairs, sets, percent), "enough")
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     needed = materialize(whole(materialize(ids, "ids")), "needed")
     x = needed.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x"))
@@ -295,10 +318,11 @@ def link_edges(sets: DataFrame, whole, percent: int) -> DataFrame:
     """Edges (a, b) that connect exactly what all links connect. ``sets``: one
     row per distinct non-empty set, of which ``whole`` makes the hashes."""
     p = sets.select(F.col("doc_id").alias("doc"), F.col("n_shingles").alias("n"), F.explode("cols").alias("col"))
-    p = materialize(p.join(p.groupBy("col").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "col"), "prefixes")
+    p = p.repartition("col")  # shuffled once: the counts and the rows read the same exchange
+    first = p.groupBy("col").agg(F.min(F.struct("doc", "n")).alias("s"), F.count(F.lit(1)).alias("df")).where("df > 1")
+    p = materialize(p.join(first.select("col", F.col("s.doc").alias("b"), F.col("s.n").alias("m")), "col"), "prefixes")
     fits = (F.col("n") * 100 >= F.col("m") * percent) & (F.col("m") * 100 >= F.col("n") * percent)
-    first = p.groupBy("col").agg(F.min(F.struct("doc", "n")).alias("s")).select("col", F.col("s.doc").alias("b"), F.col("s.n").alias("m"))
-    stars = materialize(p.join(first, "col").where((F.col("doc") != F.col("b")) & fits).select(F.col("doc").alias("a"), "b").distinct(), "pairs")
+    stars = materialize(p.where((F.col("doc") != F.col("b")) & fits).select(F.col("doc").alias("a"), "b").distinct(), "pairs")
     linked = materialize(verified(stars, sets, whole, percent), "stars")
     roots = materialize(connected_components(linked), "roots")
     q = p.join(roots, F.col("doc") == F.col("node"), "left").select("col", "doc", "n", F.coalesce("root", "doc").alias("root"))

@@ -670,3 +670,20 @@ def test_wide_child_lists_are_aligned_as_narrow_ones(monkeypatch):
     got = html.match(*wide)
     monkeypatch.setattr(html, "PAIRS", 10**9)
     assert got == html.match(*wide)
+
+
+def test_enough_columns_rules_out_large_unlike_sets_and_no_link(spark):
+    rng = np.random.default_rng(5)
+    full = np.sort(rng.integers(-(2**62), 2**62, 12_000))
+    base = full[:6000]
+    hot = np.sort(rng.choice(full, 500, replace=False))
+    near = lambda swap: np.sort(np.concatenate([np.delete(base, rng.choice(6000, swap, replace=False)), full[6000 : 6000 + swap]]))
+    sets = [base, near(300), near(660), near(900), np.sort(np.concatenate([base[:1], full[6001:]]))]
+    rows = [(i, len(x), [int(v) for v in jaccard.deciding(x, len(x) - -(-80 * len(x) // 100) + 1, hot)]) for i, x in enumerate(sets)]
+    df = spark.createDataFrame(rows, "doc_id long, n_shingles long, cols array<long>")
+    pairs = [(a, b) for a in range(5) for b in range(a)]
+    both = {(a, b): len(np.intersect1d(sets[a], sets[b])) for a, b in pairs}
+    linked = {p for p in pairs if 100 * both[p] >= 80 * (len(sets[p[0]]) + len(sets[p[1]]) - both[p])}
+    got = {tuple(r) for r in jaccard.enough_columns(spark.createDataFrame(pairs, "a long, b long"), df, 80).collect()}
+    assert {(1, 0), (2, 0)} <= linked <= got
+    assert not {p for p in got if p[0] == 4}  # one shared column of 1201
