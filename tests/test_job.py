@@ -19,7 +19,7 @@ from monthledger.operators.claims import claim_rows, missing_spans
 from monthledger.sources import schemas as S
 from monthledger.sources.fixtures import RATE_CARD, fixture_sources
 from monthledger.sources.stage import Stage
-from monthledger.sources.tables import conform, read_published, write_result
+from monthledger.sources.tables import conform, read_published, refresh_partitions, write_result
 from conftest import SMALL_SF
 
 d = dt.date.fromisoformat
@@ -556,3 +556,37 @@ def test_classified_months_are_settled(spark):
     kept = ["usi", "claim_month", "payment_status", "expected_commission"]
     a, b = [sorted(map(str, job.classified_months(src, settle=s).select(*kept).collect())) for s in (True, False)]
     assert a == b and len(a) == 6
+
+
+def test_marks_are_read_by_the_number_of_the_month(spark):
+    """No month row computes its place in the calendar to find whether it meets a feed."""
+    sales = [sale(str(i), f"{2019 + i // 12}-{i % 12 + 1:02d}-15") for i in range(70)]
+    payments = [pay(str(i), f"{(d('2019-01-01').replace(year=2019 + (i + n) // 12, month=(i + n) % 12 + 1)):%b-%y}", "1.00") for i in range(70) for n in (0, i % 36, 35)]
+    src = sources(spark, sales=sales, postpay=payments)
+    paid = job.classified_months(src).where("commission_paid is not null").select("usi", "month_number").collect()
+    assert {(int(r.usi), r.month_number - 1) for r in paid} == {(i, n) for i in range(70) for n in (0, i % 36, 35)}
+    met = job.meeting(src, "O2", True, job.payments_by_month(job.monthly_payments(src)))
+    spine = job._spine(src, "O2", True, job.payment_horizon_value(src), met, None)
+    far = job._ways(spine, met)[1][0]
+    assert {(int(r.usi), r.month_number - 1) for r in far.collect()} == {(int(r.usi), r.month_number - 1) for r in paid}
+    conditions = re.findall(r"Filter \(*shiftright\(_met.*", far._jdf.queryExecution().optimizedPlan().toString())
+    assert conditions and not any("year(" in c for c in conditions)
+
+
+def test_months_of_a_year_are_written_by_one_task(spark, tmp_path):
+    """So a contract's rows stay neighbours in the shuffle, which compresses them together."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    own.conf.set("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "false")
+    rows = own.range(240).selectExpr("id", "add_months(date'2021-01-01', cast(id % 24 as int)) as m")
+    path = str(tmp_path / "t")
+    for kw in ({}, {"mode": "append"}):
+        write_result(rows, "t", path=path, partition="m", **kw)
+    refresh = rows.where("m < date'2022-01-01'")
+    refresh_partitions(refresh, path, "m")
+    kept = own.read.parquet(path)
+    assert sorted(r.id for r in kept.collect()) == sorted([*range(240), *[i for i in range(240) if i % 24 >= 12]])
+    tasks = kept.selectExpr("year(m) as y", "regexp_extract(input_file_name(), 'part-([0-9]+)', 1) as task").distinct()
+    assert all(r["count"] == 1 for r in tasks.groupBy("y").count().collect()) and len(kept.columns) == 2
+    write_result(rows.selectExpr("id", "cast(m as string) as m"), "s", path=str(tmp_path / "s"), partition="m")
+    assert own.read.parquet(str(tmp_path / "s")).count() == 240
