@@ -215,21 +215,49 @@ def load(path: str | None = None, pattern: str | None = None) -> tuple[bytes, st
         return f.read(), pattern or public_tokenizers.PATTERN
 
 
-def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", out: str = "ids") -> DataFrame:
-    """Adds the token ids of ``text``; the rank file is read on the driver and broadcast."""
+#: Rows that a task encodes or decodes at a time.
+STEP = 200
+
+
+def sliced(batches):
+    for b in batches:
+        for s in range(0, b.num_rows, STEP):
+            yield b.slice(s, STEP)
+
+
+def id_lists(v: Vocabulary, texts: pa.Array) -> pa.ListArray:
+    ids, ends = v.encode_flat([t or "" for t in texts.to_pylist()])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
+
+
+def bytes_of(lists: pa.ListArray, flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes that each list of ids stands for; token i is flat[ends[i]:ends[i + 1]]."""
+    sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
+    raw, stops = gather(flat, ends, lists.flatten().to_numpy(zero_copy_only=False))
+    at = np.append(0, stops)[np.cumsum(np.append(0, sizes))]
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
+
+
+def encode(df: DataFrame, path: str | None = None, pattern: str | None = None, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """Adds the token ids of ``text``; the rank file is read on the driver and broadcast.
+
+    ``decoded``: also adds, in a column of this name, the bytes that the ids
+    stand for, as ``decode`` does, but in the same Python worker: a ``decode``
+    after it would hold a second one for each task."""
     data, pattern = load(path, pattern)
     shared = df.sparkSession.sparkContext.broadcast((tables(data), pattern))
-    kept = [c for c in df.columns if c != out]
+    kept = [c for c in df.columns if c not in (out, decoded)]
     schema = df.select(*kept).schema.add(out, T.ArrayType(T.IntegerType()))
+    if decoded:
+        schema = schema.add(decoded, T.BinaryType())
 
     def run(batches):
         v = Vocabulary(*shared.value)
-        for b in batches:
-            for s in range(0, b.num_rows, 200):
-                part = b.slice(s, 200)
-                ids, ends = v.encode_flat([t or "" for t in part.column(text).to_pylist()])
-                arr = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], arr], names=[*kept, out])
+        for part in sliced(batches):
+            added = [id_lists(v, part.column(text))]
+            if decoded:
+                added.append(bytes_of(added[0], v.token_bytes, v.token_ends))
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *added], names=schema.names)
 
     return df.select(*dict.fromkeys([*kept, text])).mapInArrow(run, schema)
 
@@ -243,15 +271,9 @@ def decode(df: DataFrame, path: str | None = None, ids: str = "ids", out: str =
 
     def run(batches):
         flat, ends = shared.value
-        for b in batches:
-            for s in range(0, b.num_rows, 200):
-                part = b.slice(s, 200)
-                lists = part.column(ids)
-                sizes = np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
-                raw, stops = gather(flat, ends, lists.flatten().to_numpy(zero_copy_only=False))
-                at = np.append(0, stops)[np.cumsum(np.append(0, sizes))]
-                back = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw))])
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], back], names=[*kept, out])
+        for part in sliced(batches):
+            back = bytes_of(part.column(ids), flat, ends)
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], back], names=[*kept, out])
 
     return df.mapInArrow(run, schema)
 
@@ -261,7 +283,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def with_digests(docs: DataFrame) -> DataFrame:
-    both = decode(encode(docs.select("doc_id", "text")).select("doc_id", "ids"))
+    both = encode(docs.select("doc_id", "text"), decoded="decoded")
     return both.select(
         "doc_id",
         "ids",

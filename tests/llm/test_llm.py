@@ -234,6 +234,16 @@ def test_bpe_equals_tiktoken(spark, docs, edge):
     assert bpe.encode(edge.limit(0)).count() == 0
 
 
+def test_bpe_digests_hold_one_python_worker_a_task(spark, docs, edge):
+    for d in (docs.select("doc_id", "text").limit(300), edge.select("doc_id", "text")):
+        both = bpe.with_digests(d)
+        assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        apart = sorted(((r.doc_id, r.ids, hashlib.sha256(bytes(r.decoded)).hexdigest()) for r in bpe.decode(bpe.encode(d)).collect()), key=str)
+        assert sorted(((r.doc_id, r.ids, r.decoded_sha256) for r in both.collect()), key=str) == apart
+    again = bpe.encode(spark.createDataFrame([(b"old", "a b", [7])], "decoded binary, text string, ids array<int>"), decoded="decoded").first()
+    assert bytes(again.decoded) == b"a b" and again.asDict().keys() == {"text", "ids", "decoded"}
+
+
 def test_quality_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     fit_on, held = labels.where("doc_id % 4 <> 0"), labels.where("doc_id % 4 = 0").toPandas()
