@@ -590,3 +590,11 @@ def test_months_of_a_year_are_written_by_one_task(spark, tmp_path):
     assert all(r["count"] == 1 for r in tasks.groupBy("y").count().collect()) and len(kept.columns) == 2
     write_result(rows.selectExpr("id", "cast(m as string) as m"), "s", path=str(tmp_path / "s"), partition="m")
     assert own.read.parquet(str(tmp_path / "s")).count() == 240
+
+
+@pytest.mark.parametrize("name", ["rate_lookup_by_month", "ftu_flag", "payment_status"])
+def test_months_are_not_planned_to_be_shuffled_to_meet_the_rate_card(spark, name):
+    from monthledger.plans.queries import REGISTRY
+
+    plan = REGISTRY[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [claim_month" in plan and "hashpartitioning(claim_month" not in plan
