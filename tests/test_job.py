@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from monthledger.plans import job
 from monthledger.plans.job import ReconSources
+from monthledger.plans.queries import queries
 from monthledger.operators import latest as L
 from monthledger.operators import months as M
 from monthledger.operators import rejects as R
@@ -250,6 +251,47 @@ def test_all_networks_equal_the_runs_of_each(spark, small):
     assert _rows(every) == single and len({k[0] for k in single}) == 2
 
 
+def _awkward(spark) -> ReconSources:
+    """Months on every side of what may be a claim: disconnections in, before and after the contract and on a month's
+    last day, early and late upgrades, months without a rate, unbilled ones, copies, no contract id."""
+    sales = [sale(str(i), "2023-01-10", mrc=f"{20 + i}.00") for i in range(12)] + [sale("3"), sale("3"), sale(None), sale("12", "2017-06-30"), sale("13", "2025-01-01", mrc="-5.00"), sale("14", mrc="0.00")]
+    off = lambda u, day: (u, f"{day} 09:00", "c", "BASE OFF", 202303, "NON BILLED")
+    return sources(
+        spark,
+        sales=sales,
+        postpay=[pay("0", "Mar-23", "1.00"), pay("2", "May-23", "9.00"), pay("3", "Apr-24", "1.00"), pay("5", "Feb-24", "50.00"), pay(None, "Dec-25", "1.00")],
+        ftu=[("4", "Jun-23", Decimal("0.01"), "m", "5L1", "R1"), ("6", "Jan-23", Decimal("-3.00"), "m", "5L1", "R1")],
+        disc=[(u, day and d(day), "r") for u, day in (("1", "2023-05-31"), ("2", "2023-05-01"), ("3", "2022-12-31"), ("3", "2024-02-29"), ("4", "2030-01-01"), ("5", None), ("6", "2023-01-10"), (None, "2023-02-01"))],
+        bm=[off("7", "01/10/2024"), off("7", "01/02/2023"), off("8", "30/09/2024"), off("9", "10/01/2022"), off("2", "01/11/2024"), off(None, "01/11/2024")],
+        rates=RATE_CARD + [("O2", Decimal("0.20"), Decimal("0.60"), Decimal("0.30"), d("2023-03-01"), d("2023-05-31"))],
+    )
+
+
+@pytest.mark.parametrize("collapse, strategy", [(True, "auto"), (True, "range"), (False, "auto")])
+def test_months_that_cannot_be_claims_are_not_priced(spark, collapse, strategy):
+    src = _awkward(spark)
+    every = job.classified_months(src, rate_strategy=strategy, collapse=collapse)
+    fewer = job.classified_months(src, rate_strategy=strategy, collapse=collapse, claims_only=True)
+    assert _rows(claim_rows(fewer)) == _rows(claim_rows(every))
+    assert _rows(claim_rows(fewer)) and fewer.count() < every.count()
+    disconnected = (F.col("disconnection_date") <= F.last_day("claim_month")) | F.col("usi").isNull() | (F.col("last_upgrade_date") >= d("2024-10-01"))
+    assert fewer.where(disconnected).count() == 0 and every.where(disconnected).count() > 0
+
+
+@pytest.mark.parametrize("latest", [False, True])
+def test_the_report_of_fewer_months_is_whole(spark, latest):
+    src = _awkward(spark)
+    whole = _rows(job.reconcile(src, span_strategy="join", latest=latest))
+    assert whole and _rows(job.reconcile(src, span_strategy="attached", latest=latest)) == whole
+    assert _rows(job.reconcile(src, latest=latest)) == whole
+
+
+@pytest.mark.parametrize("name", ["reconcile_skewed"])
+def test_large_reports_are_not_written_to_be_written_again(spark, name):
+    report = queries()[name](spark, SMALL_SF)
+    assert not any("/claims/" in f for f in report.inputFiles()) and any("/payments/" in f for f in report.inputFiles())
+
+
 def test_one_contract_id_in_two_networks(spark):
     src = sources(
         spark,
