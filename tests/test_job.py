@@ -286,7 +286,7 @@ def test_the_report_of_fewer_months_is_whole(spark, latest):
     assert _rows(job.reconcile(src, latest=latest)) == whole
 
 
-@pytest.mark.parametrize("name", ["reconcile_skewed"])
+@pytest.mark.parametrize("name", ["reconcile_repeated", "reconcile_skewed"])
 def test_large_reports_are_not_written_to_be_written_again(spark, name):
     report = queries()[name](spark, SMALL_SF)
     assert not any("/claims/" in f for f in report.inputFiles()) and any("/payments/" in f for f in report.inputFiles())
