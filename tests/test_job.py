@@ -6,11 +6,13 @@ import datetime as dt
 import re
 from collections import Counter
 from decimal import Decimal
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 
 from monthledger.plans import job
+from monthledger.functions.pricing import O2, VODAFONE, price_rise, price_rise_by_network
 from monthledger.plans.job import ReconSources
 from monthledger.plans.queries import queries
 from monthledger.operators import latest as L
@@ -251,6 +253,30 @@ def test_all_networks_equal_the_runs_of_each(spark, small):
     assert _rows(every) == single and len({k[0] for k in single}) == 2
 
 
+def test_no_method_of_the_pricing_is_too_long_to_compile(spark, small, tmp_path):
+    """The JVM interprets methods of over 8000 bytes, and gave up on some of 7000 too."""
+    with Stage(spark, str(tmp_path)) as stage:
+        rows = job.claims_with_spans(small, stage, job.ALL_NETWORKS)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            stages = rows._jdf.queryExecution().debug().codegenToSeq()
+            sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size()) if "uplifted_mrc" in stages.apply(i)._1()]
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sizes and max(sizes) < 7500, sizes
+
+
+def test_a_network_with_the_default_rules_has_no_branch_of_its_own(spark):
+    row = "'{}' as net, cast(30 as decimal(18,2)) as mrc, date'2021-06-10' as conn, date'2024-04-01' as fy"
+    rows = reduce(lambda a, b: a.union(b), [spark.sql("select " + row.format(n)) for n in ("O2", "Vodafone", "Other")])
+    rows = rows.union(spark.sql("select " + row.format("x").replace("'x'", "cast(null as string)")))
+    got = {r.net: r.v for r in rows.select("net", price_rise_by_network("net", "mrc", "conn", "fy").alias("v")).collect()}
+    own = rows.select("net", price_rise("mrc", "conn", "fy", O2).alias("o2"), price_rise("mrc", "conn", "fy", VODAFONE).alias("v")).first()
+    assert own.o2 != own.v and got == {"O2": own.o2, "Vodafone": own.v, "Other": own.v, None: own.v}
+    assert str(price_rise_by_network("net", "mrc", "conn", "fy")).count("Vodafone") == 0
+    assert rows.select(price_rise_by_network("net", "mrc", "conn", "fy", {"Vodafone": VODAFONE}).alias("v")).first().v == own.v
+
+
 def _awkward(spark) -> ReconSources:
     """Months on every side of what may be a claim: disconnections in, before and after the contract and on a month's
     last day, early and late upgrades, months without a rate, unbilled ones, copies, no contract id."""
@@ -286,7 +312,7 @@ def test_the_report_of_fewer_months_is_whole(spark, latest):
     assert _rows(job.reconcile(src, latest=latest)) == whole
 
 
-@pytest.mark.parametrize("name", ["reconcile_repeated", "reconcile_skewed"])
+@pytest.mark.parametrize("name", ["reconcile_all_networks", "reconcile_repeated", "reconcile_skewed"])
 def test_large_reports_are_not_written_to_be_written_again(spark, name):
     report = queries()[name](spark, SMALL_SF)
     assert not any("/claims/" in f for f in report.inputFiles()) and any("/payments/" in f for f in report.inputFiles())
