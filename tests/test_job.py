@@ -472,6 +472,12 @@ def _published(spark, tmp_path, name="claims", **kw):
     return src, path, job.run_reconciliation(spark, src, name, path=path, by_month=True, **kw)
 
 
+def test_published_months_are_well_compressed(spark, tmp_path):
+    _, path, _ = _published(spark, tmp_path)
+    files = spark.read.parquet(path).inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
 def test_published_by_month_and_pruned(spark, tmp_path):
     src, path, written = _published(spark, tmp_path)
     assert _rows(written) == _rows(job.reconcile(src)) and written.columns == [f.name for f in S.CLAIM_REPORT]
